@@ -58,6 +58,7 @@ def _load_all() -> None:
     # Importing the query modules fills REGISTRY.
     from lakepipe.plans import queries_gold  # noqa: F401
     from lakepipe.plans import queries_ops  # noqa: F401
+    from lakepipe.plans import queries_silver  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
