@@ -88,14 +88,15 @@ class BucketedTable:
         return df.withColumn(BUCKET_COL, bucket_of(self.keys, self.buckets))
 
     def create(self, df: DataFrame) -> None:
-        self.with_bucket(df).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(self.root)
+        b = self.with_bucket(df)
+        b.repartition(F.col(BUCKET_COL)).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(self.root)
 
     def replace_buckets(self, df: DataFrame) -> None:
         """Rewrite exactly the buckets present in ``df`` (which must carry
         the bucket column).  The new content is staged under the shared
         checkpoint folder first because it was computed from the table."""
         stage = scratch_path(self.spark, "bucket-stage")
-        df.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
+        df.repartition(F.col(BUCKET_COL)).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
         (
             self.spark.read.parquet(stage)
             .write.mode("overwrite")

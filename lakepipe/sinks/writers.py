@@ -60,7 +60,13 @@ def write_gold(
         if _is_empty(df):
             return WriteReport(path, "skipped-empty")
         obs = Observation()
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if partition_cols:
+            # One writer task per partition value: one file per directory
+            # instead of one per (task, value).  Gold rows are aggregates,
+            # so no single value is large.
+            out = out.repartition(*[F.col(c) for c in partition_cols])
+        w = out.write.mode(mode)
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         if dynamic_partitions:
