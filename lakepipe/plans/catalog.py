@@ -59,6 +59,7 @@ def _load_all() -> None:
     from lakepipe.plans import queries_gold  # noqa: F401
     from lakepipe.plans import queries_ops  # noqa: F401
     from lakepipe.plans import queries_silver  # noqa: F401
+    from lakepipe.plans import queries_functions  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
