@@ -212,6 +212,23 @@ def q_scd2_second_load(spark, sf_dir):
     return table.read()
 
 
+_SCD_SECOND_SQL = _SCD_CTES + """select u1.*, case when u1.id in (select id from u2) then false else true end as is_current,
+  date '2001-09-01' as effective_date,
+  case when u1.id in (select id from u2) then date '2001-10-01' else cast(null as date) end as end_date
+from u1
+union all
+select *, true, date '2001-10-01', cast(null as date) from u2"""
+
+
+@register("scd2_bucketed", _SCD_SECOND_SQL, "SNK-10 SNK-11 SNK-12 (bucket-partition strategy)")
+def q_scd2_bucketed(spark, sf_dir):
+    u1, u2 = _scd_updates(Tables(spark, sf_dir))
+    table = BucketedTable(spark, scratch_path(spark, "scd2-bucketed"), ["id"], 16)
+    scd2_apply(spark, u1, table, "id", DAY1)
+    scd2_apply(spark, u2, table, "id", DAY2)
+    return table.read()
+
+
 # ------------------------------------------------------------- gold writes
 # The funnel table, written twice in different ways and read back.
 

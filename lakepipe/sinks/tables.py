@@ -54,6 +54,22 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version under {self.root}")
         return self.spark.read.parquet(self.path(v))
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` committed snapshots (and any
+        uncommitted directory older than them).  Call only when no reader
+        still uses an old snapshot."""
+        committed = self._committed()
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        dropped = []
+        for name in list_dirs(self.spark, self.root):
+            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) < oldest_kept:
+                fs, p = hadoop_fs(self.spark, f"{self.root}/{name}")
+                fs.delete(p, True)
+                dropped.append(int(name[2:]))
+        return sorted(dropped)
+
     def commit(self, df: DataFrame) -> int:
         """Write ``df`` as the next snapshot; returns its version number."""
         # Every directory name counts, committed or not, so a retried commit
