@@ -497,3 +497,34 @@ def q_seed_synthetic_key(spark, sf_dir):
     return df.agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("n_distinct"),
         F.min("order_id").cast("int").alias("min_id"), F.max("order_id").alias("max_id"))
+
+
+# --------------------------------------------------------------- end to end
+# Raw bookings -> bronze (append) -> silver stream (clean, latest per key,
+# upsert) -> gold funnel written partitioned by date -> read back.
+
+
+def _e2e_oracle() -> str:
+    from lakepipe.plans.queries_silver import SILVER_ORACLES
+
+    order = "updatedAt desc nulls last, userId, sessionId, fitnessCenterId, bookingDate, status, createdAt"
+    return f"""with c as ({SILVER_ORACLES['booking']}),
+s as (select * from (select *, row_number() over (partition by id order by {order}) rn from c) where rn = 1)
+select cast(createdAt as date) as date, count(*) as total_bookings,
+  cast(sum(case when status = 'COMPLETED' then 1 else 0 end) as bigint) as completed,
+  cast(sum(case when status = 'CANCELLED' then 1 else 0 end) as bigint) as cancelled,
+  date '2001-10-01' as snapshot_date, timestamp '2001-10-01 00:00:00' as snapshot_ts
+from s group by 1"""
+
+
+@register("e2e_booking_funnel", _e2e_oracle(), "§3 end to end: SNK-1 SRC-5 SM-2 SNK-4 SNK-5 SNK-8")
+def q_e2e_booking_funnel(spark, sf_dir):
+    from lakepipe.plans.gold import run_gold
+    from lakepipe.streaming.silver_stream import run_silver_tables
+
+    lake = LakeLayout(scratch_path(spark, "lake"))
+    append_bronze(raw_frame(spark, sf_dir, "Booking"), lake.bronze("Booking"), "2001-10-01")
+    spec = silver.SILVER_SPECS["booking"]
+    tables = run_silver_tables(spark, lake, [spec], lambda s: BucketedTable(spark, lake.silver(s.entity), ["id"], 16))
+    run_gold(spark, lambda e: tables[e].read(), lake.gold, CLOCK, names=["gold_booking_funnel"])
+    return _read_funnel(spark, lake.gold("gold_booking_funnel"))

@@ -51,3 +51,27 @@ def run_silver_once(*args, **kwargs) -> StreamingQuery:
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
+
+
+def run_silver_tables(
+    spark: SparkSession,
+    layout,
+    specs,
+    table_for,
+    guard_stale: bool = False,
+) -> dict[str, object]:
+    """Run the bronze -> silver stream of every spec once (availableNow).
+
+    ``specs``: iterable of ``SilverSpec``; ``table_for(spec)`` returns the
+    silver table object (``VersionedTable`` for small entities,
+    ``BucketedTable`` for large ones).  Returns ``{entity: table}``."""
+    from lakepipe.sources.bronze import read_bronze_stream
+
+    out = {}
+    for spec in specs:
+        table = table_for(spec)
+        stream = spec.clean(read_bronze_stream(spark, layout.bronze(spec.bronze), layout.schema_dir(spec.bronze)))
+        run_silver_once(stream, spark, layout.checkpoint("silver", spec.entity), table, spec.pk, spec.updated_col,
+                        guard_stale=guard_stale)
+        out[spec.entity] = table
+    return out

@@ -87,3 +87,19 @@ def test_append_bronze_schema_evolution(spark, tmp_root):
     # partition pruning on ingest_date reaches the scan
     plan = read_bronze(spark, p).filter("ingest_date = '2001-01-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+
+
+def test_layer_catalog_tables(spark, tmp_root):
+    from pyspark.sql import types as T
+
+    from lakepipe.sources.catalog import Layer, check_primary_key
+
+    layer = Layer("lp_silver")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+    assert layer.ensure_table(spark, "t1", schema, location=tmp_root + "/t1") is True
+    assert layer.exists(spark, "t1") and layer.ensure_table(spark, "t1", schema) is False
+    spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], schema).write.mode("append").insertInto(
+        layer.qualified("t1"))
+    assert layer.read(spark, "t1").count() == 3
+    bad = {r.id for r in check_primary_key(layer.read(spark, "t1"), "id").collect()}
+    assert bad == {1, None}
