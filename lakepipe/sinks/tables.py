@@ -87,6 +87,9 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+BUCKETS_FILE = "_lakepipe_buckets"
+
+
 class BucketedTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 256):
         self.spark, self.root = spark, root.rstrip("/")
@@ -94,7 +97,38 @@ class BucketedTable:
 
     def exists(self) -> bool:
         fs, p = hadoop_fs(self.spark, f"{self.root}/_SUCCESS")
-        return bool(fs.exists(p))
+        if not fs.exists(p):
+            return False
+        self._check_layout()
+        return True
+
+    def _check_layout(self) -> None:
+        """Rows were placed with the bucket count recorded at creation; a
+        different count would send keys to the wrong bucket."""
+        fs, p = hadoop_fs(self.spark, f"{self.root}/{BUCKETS_FILE}")
+        if not fs.exists(p):
+            return
+        recorded = self._read_marker()
+        if recorded != f"{self.buckets}:{','.join(self.keys)}":
+            raise ValueError(f"{self.root} was created with buckets/keys {recorded}, "
+                             f"not {self.buckets}:{','.join(self.keys)}")
+
+    def _read_marker(self) -> str:
+        jvm = self.spark.sparkContext._jvm
+        fs, p = hadoop_fs(self.spark, f"{self.root}/{BUCKETS_FILE}")
+        stream = fs.open(p)
+        try:
+            return str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")).strip()
+        finally:
+            stream.close()
+
+    def _write_marker(self) -> None:
+        fs, p = hadoop_fs(self.spark, f"{self.root}/{BUCKETS_FILE}")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(f"{self.buckets}:{','.join(self.keys)}".encode()))
+        finally:
+            out.close()
 
     def read(self, with_bucket: bool = False) -> DataFrame:
         df = self.spark.read.parquet(self.root)
@@ -106,6 +140,7 @@ class BucketedTable:
     def create(self, df: DataFrame) -> None:
         b = self.with_bucket(df)
         b.repartition(F.col(BUCKET_COL)).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(self.root)
+        self._write_marker()
 
     def replace_buckets(self, df: DataFrame) -> None:
         """Rewrite exactly the buckets present in ``df`` (which must carry

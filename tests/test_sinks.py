@@ -103,3 +103,12 @@ def test_layer_catalog_tables(spark, tmp_root):
     assert layer.read(spark, "t1").count() == 3
     bad = {r.id for r in check_primary_key(layer.read(spark, "t1"), "id").collect()}
     assert bad == {1, None}
+
+
+def test_bucketed_table_rejects_other_bucket_count(spark, tmp_root):
+    import pytest
+
+    BucketedTable(spark, tmp_root + "/b", ["id"], 4).create(spark.createDataFrame([(1, "a", T1)], SCHEMA))
+    assert BucketedTable(spark, tmp_root + "/b", ["id"], 4).exists()
+    with pytest.raises(ValueError):
+        BucketedTable(spark, tmp_root + "/b", ["id"], 8).exists()
