@@ -112,3 +112,17 @@ def test_bucketed_table_rejects_other_bucket_count(spark, tmp_root):
     assert BucketedTable(spark, tmp_root + "/b", ["id"], 4).exists()
     with pytest.raises(ValueError):
         BucketedTable(spark, tmp_root + "/b", ["id"], 8).exists()
+
+
+def test_bucketed_large_bucket_is_split_across_writers(spark, tmp_root):
+    import glob
+
+    t = BucketedTable(spark, tmp_root + "/b", ["id"], 2)
+    big = spark.range(200_000).selectExpr("id", "'a' as v", "timestamp'2001-01-01' as updatedAt")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        upsert(spark, big, t, "id", "updatedAt")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert t.read().count() == 200_000
+    assert len(glob.glob(tmp_root + "/b/_bucket=0/*.parquet")) > 1
