@@ -230,13 +230,16 @@ def q_scd2_bucketed(spark, sf_dir):
 
 
 # ------------------------------------------------------------- gold writes
-# The funnel table, written twice in different ways and read back.
+# The funnel table, written twice in different ways and read back.  These
+# writer-mode probes partition by month (tens of directories); the funnel's
+# own daily partitioning is exercised by e2e_booking_funnel.
 
-_FUNNEL = """select cast(createdAt as date) as date, count(*) as total_bookings,
+_FUNNEL = """select cast(createdAt as date) as date,
+  cast(date_trunc('month', cast(createdAt as date)) as date) as month, count(*) as total_bookings,
   cast(sum(case when status = 'COMPLETED' then 1 else 0 end) as bigint) as completed,
   cast(sum(case when status = 'CANCELLED' then 1 else 0 end) as bigint) as cancelled,
   date '2001-10-01' as snapshot_date, timestamp '2001-10-01 00:00:00' as snapshot_ts
-from v_booking {where} group by 1"""
+from v_booking {where} group by 1, 2"""
 _LATE = "createdAt >= timestamp '1999-01-01'"
 
 
@@ -244,12 +247,12 @@ def _funnel(spark, sf_dir, late_only=False):
     b = fx.v_booking(Tables(spark, sf_dir))
     if late_only:
         b = b.filter(F.col("createdAt") >= F.lit("1999-01-01 00:00:00").cast("timestamp"))
-    return gold.booking_funnel(b, CLOCK)
+    return gold.booking_funnel(b, CLOCK).withColumn("month", F.trunc("date", "month"))
 
 
-def _read_funnel(spark, path):
+def _read_funnel(spark, path, *extra):
     return spark.read.parquet(path).select(
-        "date", "total_bookings", "completed", "cancelled", "snapshot_date", "snapshot_ts")
+        "date", *extra, "total_bookings", "completed", "cancelled", "snapshot_date", "snapshot_ts")
 
 
 @register(
@@ -259,9 +262,9 @@ def _read_funnel(spark, path):
 )
 def q_write_overwrite_partitioned(spark, sf_dir):
     path = scratch_path(spark, "gold-overwrite")
-    write_gold(spark, _funnel(spark, sf_dir), path, partition_cols=["date"])
-    write_gold(spark, _funnel(spark, sf_dir, late_only=True), path, partition_cols=["date"])
-    return _read_funnel(spark, path)
+    write_gold(spark, _funnel(spark, sf_dir), path, partition_cols=["month"])
+    write_gold(spark, _funnel(spark, sf_dir, late_only=True), path, partition_cols=["month"])
+    return _read_funnel(spark, path, "month")
 
 
 @register(
@@ -272,15 +275,15 @@ def q_write_overwrite_partitioned(spark, sf_dir):
 )
 def q_write_append(spark, sf_dir):
     path = scratch_path(spark, "gold-append")
-    write_gold(spark, _funnel(spark, sf_dir), path, mode="append", partition_cols=["date"])
-    write_gold(spark, _funnel(spark, sf_dir, late_only=True), path, mode="append", partition_cols=["date"])
-    return _read_funnel(spark, path)
+    write_gold(spark, _funnel(spark, sf_dir), path, mode="append", partition_cols=["month"])
+    write_gold(spark, _funnel(spark, sf_dir, late_only=True), path, mode="append", partition_cols=["month"])
+    return _read_funnel(spark, path, "month")
 
 
 @register(
     "write_dynamic_partitions",
     with_views(
-        "select date, total_bookings + case when date >= date '1999-01-01' then 1000 else 0 end as total_bookings, "
+        "select date, month, total_bookings + case when date >= date '1999-01-01' then 1000 else 0 end as total_bookings, "
         "completed, cancelled, snapshot_date, snapshot_ts from (" + _FUNNEL.format(where="") + ")",
         "v_booking",
     ),
@@ -288,20 +291,20 @@ def q_write_append(spark, sf_dir):
 )
 def q_write_dynamic_partitions(spark, sf_dir):
     path = scratch_path(spark, "gold-dynamic")
-    write_gold(spark, _funnel(spark, sf_dir), path, partition_cols=["date"])
+    write_gold(spark, _funnel(spark, sf_dir), path, partition_cols=["month"])
     late = _funnel(spark, sf_dir, late_only=True).withColumn("total_bookings", F.col("total_bookings") + 1000)
-    write_gold(spark, late, path, partition_cols=["date"], dynamic_partitions=True)
-    return _read_funnel(spark, path)
+    write_gold(spark, late, path, partition_cols=["month"], dynamic_partitions=True)
+    return _read_funnel(spark, path, "month")
 
 
 @register("skip_if_empty", with_views(_FUNNEL.format(where=""), "v_booking"), "SNK-14 D22")
 def q_skip_if_empty(spark, sf_dir):
     path = scratch_path(spark, "gold-skip")
-    write_gold(spark, _funnel(spark, sf_dir), path, partition_cols=["date"])
+    write_gold(spark, _funnel(spark, sf_dir), path, partition_cols=["month"])
     empty = _funnel(spark, sf_dir).filter(F.col("total_bookings") < 0)
-    report = write_gold(spark, empty, path, partition_cols=["date"])
+    report = write_gold(spark, empty, path, partition_cols=["month"])
     assert report.action == "skipped-empty", report
-    return _read_funnel(spark, path)
+    return _read_funnel(spark, path, "month")
 
 
 # ------------------------------------------------------------------ bronze

@@ -62,10 +62,11 @@ def write_gold(
         obs = Observation()
         out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if partition_cols:
-            # Cluster by partition value (few files per directory instead of
-            # one per task and value); a REBALANCE lets AQE split a value
-            # that is larger than the advisory partition size.
-            out = out.hint("rebalance", *partition_cols)
+            # One writer task per partition value: one file per directory
+            # instead of one per (task, value), and values written in
+            # parallel.  Gold rows are aggregates, so no value is large.
+            # (Large keyed tables use BucketedTable's rebalance instead.)
+            out = out.repartition(*[F.col(c) for c in partition_cols])
         w = out.write.mode(mode)
         if partition_cols:
             w = w.partitionBy(*partition_cols)
