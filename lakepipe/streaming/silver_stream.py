@@ -30,7 +30,7 @@ def run_silver_stream(
         raise ValueError("run_silver_stream needs a streaming DataFrame")
 
     def merge_microbatch(batch_df: DataFrame, batch_id: int) -> None:
-        upsert(spark, batch_df, table, primary_key, updated_col, guard_stale=guard_stale)
+        upsert(batch_df.sparkSession, batch_df, table, primary_key, updated_col, guard_stale=guard_stale)
 
     w = (
         df_stream.writeStream.foreachBatch(merge_microbatch)

@@ -126,3 +126,30 @@ def test_bucketed_large_bucket_is_split_across_writers(spark, tmp_root):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert t.read().count() == 200_000
     assert len(glob.glob(tmp_root + "/b/_bucket=0/*.parquet")) > 1
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+batches = st.lists(st.lists(st.tuples(st.integers(0, 20), st.sampled_from("xyz"), st.integers(1, 9)),
+                            min_size=1, max_size=12), min_size=1, max_size=3)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches)
+def test_upsert_strategies_match_brute_force(spark, tmp_path_factory, data):
+    import datetime as dt
+
+    root = str(tmp_path_factory.mktemp("u"))
+    tables = [VersionedTable(spark, root + "/v"), BucketedTable(spark, root + "/b", ["id"], 3)]
+    expected = {}
+    for i, batch in enumerate(data):
+        rows_ = [(k, v, dt.datetime(2001, 1, d, i)) for k, v, d in batch]
+        latest = {}
+        for k, v, t in sorted(rows_, key=lambda r: (r[2], [-ord(ch) for ch in r[1]])):
+            latest[k] = (k, v, t)  # newest wins; ties -> smallest v (ascending tie-break)
+        expected.update(latest)
+        for tb in tables:
+            upsert(spark, spark.createDataFrame(rows_, SCHEMA), tb, "id", "updatedAt")
+    for tb in tables:
+        assert rows(tb.read()) == sorted(expected.values())
