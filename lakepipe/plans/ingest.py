@@ -26,7 +26,7 @@ from lakepipe.clock import SYSTEM_CLOCK, Clock
 from lakepipe.operators.merge import upsert_df
 from lakepipe.sinks.tables import VersionedTable
 from lakepipe.sinks.writers import append_bronze
-from lakepipe.sources.jdbc import JdbcOptions, read_jdbc_full
+from lakepipe.sources.jdbc import JdbcOptions, partitioning_for, read_jdbc_full
 from lakepipe.sources.layout import LakeLayout
 
 
@@ -69,8 +69,24 @@ def select_tables(specs: Iterable[TableSpec], schedule: str | None = None) -> li
 Source = Callable[[TableSpec], DataFrame]
 
 
-def jdbc_source(spark: SparkSession, opts: JdbcOptions) -> Source:
-    return lambda spec: read_jdbc_full(spark, opts, spec.name)
+def jdbc_source(
+    spark: SparkSession,
+    opts: JdbcOptions,
+    partition_columns: dict[str, str] | None = None,
+    num_partitions: int = 1,
+) -> Source:
+    """Whole source tables over JDBC.  For tables named in
+    ``partition_columns`` the read is split into ``num_partitions`` ranges
+    of that column (bounds from one min/max query), so executors fetch in
+    parallel instead of one connection reading the table."""
+
+    def src(spec: TableSpec) -> DataFrame:
+        part = None
+        if partition_columns and spec.name in partition_columns and num_partitions > 1:
+            part = partitioning_for(spark, opts, spec.name, partition_columns[spec.name], num_partitions)
+        return read_jdbc_full(spark, opts, spec.name, part)
+
+    return src
 
 
 WATERMARK_SCHEMA = T.StructType(
@@ -137,13 +153,21 @@ def ingest_table(
     force_full: bool = False,
     since=None,
     until=None,
+    overlap_seconds: int = 0,
+    update_watermark: bool = True,
 ) -> IngestResult:
+    """Ingest one table.  ``overlap_seconds > 0`` re-reads rows updated up
+    to that long before the watermark, catching rows committed late with an
+    older timestamp; the copies are absorbed by silver's keyed upsert."""
     wm = store.get(spec.name)
     mode = plan_load(spec, wm, force_full)
     df = source(spec)
     upd = F.col(spec.updated_column) if spec.updated_column else None
     if mode == "incremental":
-        df = df.filter(upd > F.lit(wm))
+        lower = F.lit(wm)
+        if overlap_seconds:
+            lower = lower - F.make_interval(secs=F.lit(overlap_seconds).cast("decimal(18,6)"))
+        df = df.filter(upd > lower)
     if upd is not None and since is not None:
         df = df.filter(upd >= F.lit(since).cast("timestamp"))
     if upd is not None and until is not None:
@@ -151,7 +175,7 @@ def ingest_table(
     report = append_bronze(df, layout.bronze(spec.name), run_date, spec.updated_column)
     rows = int(report.metrics.get("rows", 0) or 0)
     new_wm = report.metrics.get("max_updated")
-    if new_wm is not None and (wm is None or new_wm > wm):
+    if update_watermark and new_wm is not None and (wm is None or new_wm > wm):
         store.set(spec.name, new_wm)
     return IngestResult(spec.name, mode, rows, new_wm if new_wm is not None else wm, report.metrics)
 
@@ -168,22 +192,28 @@ def ingest_all(
     parallelism: int = 1,
     since=None,
     until=None,
+    overlap_seconds: int = 0,
+    scheduler_pool: str | None = None,
 ) -> list[IngestResult]:
     """Ingest the chosen tables.  ``parallelism > 1`` submits the per-table
     jobs from a thread pool so small tables overlap on the cluster; the
     watermark store is updated one table at a time either way."""
     chosen = select_tables(specs, schedule)
 
-    def one(spec):
-        return ingest_table(spark, spec, source, layout, store, run_date, force_full, since, until)
+    def one(spec, update_watermark=True):
+        if scheduler_pool:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", scheduler_pool)
+        return ingest_table(spark, spec, source, layout, store, run_date, force_full, since, until,
+                            overlap_seconds, update_watermark)
 
     if parallelism <= 1:
         return [one(s) for s in chosen]
-    # Reads/writes of different tables run concurrently; the watermark
-    # commits are serialised afterwards by re-running `set` in order.
+    # Tables are read and written concurrently (one Spark job per thread;
+    # with the FAIR scheduler and `scheduler_pool` they share the cluster
+    # fairly).  The small watermark table is then committed once per table,
+    # in order, from this thread.
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(lambda s: _ingest_no_wm(spark, s, source, layout, store, run_date,
-                                                       force_full, since, until), chosen))
+        results = list(pool.map(lambda s: one(s, update_watermark=False), chosen))
     for spec, res in zip(chosen, results):
         if res.watermark is not None and res.rows:
             old = store.get(spec.name)
@@ -192,17 +222,6 @@ def ingest_all(
     return results
 
 
-def _ingest_no_wm(spark, spec, source, layout, store, run_date, force_full, since, until) -> IngestResult:
-    class _ReadOnly:
-        def get(self, name):
-            return store.get(name)
-
-        def set(self, name, value):  # deferred to the caller
-            pass
-
-    return ingest_table(spark, spec, source, layout, _ReadOnly(), run_date, force_full, since, until)
-
-
 def backfill(
     spark: SparkSession,
     specs: Iterable[TableSpec],

@@ -97,3 +97,15 @@ def test_jdbc_options():
     assert "socketTimeout=600" in o.url and "reWriteBatchedInserts=true" in o.url
     assert o.options()["fetchsize"] == "10000" and "secret" not in repr(o)
     assert quote_ident('We"ird') == '"We""ird"'
+
+
+def test_overlap_window_rereads_recent_rows(spark, tmp_root):
+    lay = LakeLayout(tmp_root)
+    store = WatermarkStore(spark, lay.watermarks())
+    spec = TableSpec("orders", "o_orderdate")
+    ingest_table(spark, spec, _src(spark), lay, store, "2001-09-01")
+    wm = store.get("orders")
+    again = ingest_table(spark, spec, _src(spark), lay, store, "2001-09-02", overlap_seconds=86400 * 3)
+    src = _src(spark)(spec)
+    want = src.filter(F.col("o_orderdate") > F.lit(wm - dt.timedelta(days=3))).count()
+    assert again.rows == want > 0
