@@ -63,3 +63,23 @@ def test_dedup_is_per_key_not_global(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").cast("timestamp").alias("u"))
     p = plan(dedup_latest(df, "k", "u"))
     assert "SinglePartition" not in p
+
+
+def test_null_user_keys_are_salted_in_shuffle_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the shuffle's partitions visible
+    try:
+        df = catalog.queries()["booking_with_center"](spark, SF)
+        p = plan(df)
+        assert "hashpartitioning(_b_key" in p
+        # NULL-user rows land in many partitions, not one
+        from pyspark.sql import functions as F
+        b = spark.range(2000).select(F.lit(None).cast("long").alias("userId"), F.col("id"))
+        u = spark.range(10).select(F.col("id"), F.lit(1).alias("fitnessCenterId"))
+        from lakepipe.plans.gold import booking_with_center
+        out = booking_with_center(b, u)
+        parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert out.count() == 2000 and parts > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
