@@ -143,3 +143,19 @@ def test_scd2_invariants(spark, loads):
         assert len(current) == len(set(current))  # at most one current version per key
         for r in got:
             assert (r.end_date is None) == r.is_current
+
+
+def test_upsert_schema_evolution(spark):
+    tgt = spark.createDataFrame([(1, "a", T1)], SCHEMA)
+    bat = spark.createDataFrame([(2, "b", T2, 7)], SCHEMA + ", extra int")
+    got = sorted(tuple(r) for r in upsert_df(tgt, bat, "id").select("id", "v", "extra").collect())
+    assert got == [(1, "a", None), (2, "b", 7)]
+
+
+def test_composite_key_dedup_and_upsert(spark):
+    s = "a long, b string, v string, updatedAt timestamp"
+    df = spark.createDataFrame([(1, "x", "old", T1), (1, "x", "new", T2), (1, "y", "o", T1)], s)
+    d = dedup_latest(df, ["a", "b"], "updatedAt")
+    assert sorted((r.a, r.b, r.v) for r in d.collect()) == [(1, "x", "new"), (1, "y", "o")]
+    up = upsert_df(d, spark.createDataFrame([(1, "y", "z", T3)], s), ["a", "b"])
+    assert sorted((r.a, r.b, r.v) for r in up.collect()) == [(1, "x", "new"), (1, "y", "z")]
