@@ -133,21 +133,28 @@ def scd2_apply(
         raise ValueError("primary_key is required for SCD-2")
     if _is_empty(updates):
         return WriteReport(table.root, "skipped-empty")
-    if isinstance(table, VersionedTable):
-        target = table.read() if table.exists() else None
-        table.commit(scd2_df(target, updates, pk, clock, compare_cols, expire_missing))
-        return WriteReport(table.root, "created" if target is None else "merged")
-    if not table.exists():
-        table.create(scd2_df(None, updates, pk, clock))
-        return WriteReport(table.root, "created")
-    b = table.with_bucket(updates)
-    history = table.read(with_bucket=True)
-    touched = None
-    if not expire_missing:
-        touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # <= buckets ints
-        history = history.filter(F.col(BUCKET_COL).isin(touched))
-    table.replace_buckets(scd2_df(history, b, pk, clock, compare_cols, expire_missing))
-    return WriteReport(table.root, "merged", {"buckets_rewritten": len(touched) if touched else table.buckets})
+    # The updates feed a uniqueness check, the key flags and the insert:
+    # computed once, reused (recomputed from lineage if an executor is lost).
+    updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if isinstance(table, VersionedTable):
+            target = table.read() if table.exists() else None
+            table.commit(scd2_df(target, updates, pk, clock, compare_cols, expire_missing))
+            return WriteReport(table.root, "created" if target is None else "merged")
+        if not table.exists():
+            table.create(scd2_df(None, updates, pk, clock))
+            return WriteReport(table.root, "created")
+        b = table.with_bucket(updates)
+        history = table.read(with_bucket=True)
+        touched = None
+        if not expire_missing:
+            touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # <= buckets ints
+            history = history.filter(F.col(BUCKET_COL).isin(touched))
+        table.replace_buckets(scd2_df(history, b, pk, clock, compare_cols, expire_missing))
+        return WriteReport(table.root, "merged",
+                           {"buckets_rewritten": len(touched) if touched is not None else table.buckets})
+    finally:
+        updates.unpersist()
 
 
 def append_bronze(
