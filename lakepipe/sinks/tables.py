@@ -163,3 +163,13 @@ class BucketedTable:
             .partitionBy(BUCKET_COL)
             .parquet(self.root)
         )
+
+
+def open_table(spark: SparkSession, root: str) -> VersionedTable | BucketedTable:
+    """The table stored at ``root``, whichever layout wrote it."""
+    fs, p = hadoop_fs(spark, f"{root.rstrip('/')}/{BUCKETS_FILE}")
+    if fs.exists(p):
+        probe = BucketedTable(spark, root, [], 1)
+        buckets, keys = probe._read_marker().split(":", 1)
+        return BucketedTable(spark, root, keys.split(","), int(buckets))
+    return VersionedTable(spark, root)

@@ -65,3 +65,20 @@ def test_schema_is_recorded_and_evolves(spark, tmp_root):
     spark.createDataFrame([(2, "b", 3)], "id long, a string, extra int").write.parquet(b + "/ingest_date=2001-01-02")
     assert tracked_schema(spark, b, lay.schema_dir("X")).fieldNames() == s1.fieldNames() == ["id", "a", "ingest_date"]
     assert tracked_schema(spark, b, lay.schema_dir("X"), evolve=True).fieldNames() == ["id", "a", "ingest_date", "extra"]
+
+
+def test_cli_silver_then_gold(spark, tmp_root):
+    """Bronze files -> `python -m lakepipe silver` -> `gold` (same session)."""
+    from lakepipe.__main__ import main
+    from lakepipe.sinks.tables import open_table
+
+    lay = LakeLayout(tmp_root)
+    _drop(spark, [(1, 10, 5, 1, "2001-01-01", "completed", "2001-01-01", "2001-01-06 00:00:00"),
+                  (2, 11, 5, 1, "2001-01-01", "cancelled", "2001-01-02", "2001-01-06 00:00:00")],
+          lay.bronze("Booking"))
+    assert main(["silver", "--root", tmp_root, "--entity", "booking", "--buckets", "4"]) == 0
+    assert open_table(spark, lay.silver("booking")).read().count() == 2
+    assert main(["gold", "--root", tmp_root, "--table", "gold_booking_funnel", "--as-of", "2001-10-01"]) == 0
+    got = sorted((str(r.date), r.total_bookings, r.completed, r.cancelled)
+                 for r in spark.read.parquet(lay.gold("gold_booking_funnel")).collect())
+    assert got == [("2001-01-01", 1, 1, 0), ("2001-01-02", 1, 0, 1)]
