@@ -4,7 +4,8 @@ Each is a pure projection + filter over the raw bronze frame, so it runs
 unchanged on a batch frame or on a streaming frame (the stateful part --
 latest row per key and the upsert -- happens in the micro-batch sink).
 Every job ends the same way: ``createdAt``/``updatedAt`` parsed, rows
-without key or ``updatedAt`` dropped, the rescue column removed, and (for
+without key or ``updatedAt`` dropped, the rescue and bronze load-date
+columns removed, and (for
 fixed-schema entities) the contract projection.
 """
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakepipe.clock import SYSTEM_CLOCK, Clock, add_audit_columns
+from lakepipe.sinks.writers import INGEST_DATE_COL
 from lakepipe.functions import (
     blank_to_null,
     bmi,
@@ -41,6 +43,9 @@ from lakepipe.functions import (
 PK = "id"
 UPDATED = "updatedAt"
 RESCUE_COL = "_rescued_data"
+# Bronze bookkeeping columns that never reach silver (the load-date
+# partition column is a property of the bronze layout, not of the entity).
+BRONZE_ONLY_COLS = (RESCUE_COL, INGEST_DATE_COL)
 SENSITIVE_USER_COLS = ("password", "refreshToken", "loginAttempts", "lastLoginAt")
 
 # Fixed-schema contracts (column order of the silver tables).  Columns in
@@ -96,12 +101,11 @@ def to_ts(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def finish(df: DataFrame, entity: str | None = None, extra_not_null: tuple[str, ...] = ()) -> DataFrame:
-    """Common tail: timestamps, not-null gates, rescue column, contract."""
+    """Common tail: timestamps, not-null gates, bronze-only columns, contract."""
     df = to_ts(df, "createdAt", UPDATED)
     for c in (*extra_not_null, UPDATED, PK):
         df = df.filter(F.col(c).isNotNull())
-    if RESCUE_COL in df.columns:
-        df = df.drop(RESCUE_COL)
+    df = df.drop(*[c for c in BRONZE_ONLY_COLS if c in df.columns])
     if entity is None:
         return df
     return conform(df, entity)
