@@ -9,6 +9,7 @@ it is small (the usual micro-batch); otherwise the join shuffles on the key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,16 +97,20 @@ def scd2_df(
     # One row per update key: _chg = the key gets a new version.
     flags = updates.select(*keys).withColumn("_chg", F.lit(True))
     if compare_cols:
-        sig = F.xxhash64(*[F.col(c) for c in compare_cols])
-        cur = target.filter(F.col("is_current")).select(*keys, sig.alias("_t_sig"))
-        upd = updates.withColumn("_s_sig", sig)
-        unchanged = (
-            upd.select(*keys, "_s_sig")
-            .join(cur, keys, "inner")
-            .filter(F.col("_s_sig") == F.col("_t_sig"))
-            .select(*keys)
+        # Exact, NULL-safe comparison of the values themselves.  (A hash
+        # signature is not enough: Spark's hashes skip NULLs, so moving a
+        # value to a neighbouring NULL column would look unchanged.)
+        cols = [c for c in compare_cols if c not in keys]
+        cur = target.filter(F.col("is_current")).select(
+            *keys, *[F.col(c).alias(f"_t{i}") for i, c in enumerate(cols)]
+        )
+        same = reduce(
+            lambda a, b: a & b,
+            [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate(cols)],
+            F.lit(True),
         )
-        updates = upd.drop("_s_sig").join(unchanged, keys, "left_anti")
+        unchanged = updates.select(*keys, *cols).join(cur, keys, "inner").filter(same).select(*keys)
+        updates = updates.join(unchanged, keys, "left_anti")
         flags = flags.join(unchanged.withColumn("_same", F.lit(True)), keys, "left").select(
             *keys, F.col("_same").isNull().alias("_chg")
         )

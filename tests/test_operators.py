@@ -120,6 +120,17 @@ def test_scd2_compare_and_expire_missing(spark):
     assert got == [(1, True), (2, False), (3, True)]
 
 
+def test_scd2_compare_is_exact_with_nulls(spark):
+    """A value moving into a neighbouring NULL column is a change; equal
+    rows with NULLs are not (hashes skip NULLs, so both need the values)."""
+    schema = "id long, first string, last string"
+    cur = scd2_df(None, spark.createDataFrame([(1, None, "Lee"), (2, "Ann", None)], schema), "id", D1)
+    upd = spark.createDataFrame([(1, "Lee", None), (2, "Ann", None)], schema)
+    nxt = scd2_df(cur, upd, "id", D2, compare_cols=["first", "last"])
+    got = {tuple(r) for r in nxt.select("id", "first", "last", "is_current").collect()}
+    assert got == {(1, None, "Lee", False), (1, "Lee", None, True), (2, "Ann", None, True)}
+
+
 def test_scd2_rejects_duplicates_and_missing_key(spark):
     with pytest.raises(ValueError):
         scd2_df(None, spark.createDataFrame([(1, "a", T1), (1, "b", T1)], SCHEMA), "id", D1)
