@@ -38,6 +38,8 @@ def _args(argv):
     sil.add_argument("--root", required=True)
     sil.add_argument("--entity", action="append", help="only these entities (repeatable)")
     sil.add_argument("--buckets", type=int, default=0, help="bucketed silver tables with this many buckets")
+    sil.add_argument("--range", action="append", default=[], metavar="ENTITY=WIDTH",
+                     help="range layout for an entity whose id grows with time (repeatable)")
     sil.add_argument("--guard-stale", action="store_true")
 
     gld = sub.add_parser("gold", help="silver -> gold KPI tables")
@@ -76,8 +78,12 @@ def main(argv=None) -> int:
 
         specs = [s for s in SILVER_SPECS.values() if not a.entity or s.entity in a.entity]
 
+        ranges = {e: int(w) for e, w in (r.split("=", 1) for r in a.range)}
+
         def table_for(spec):
             root = lake.silver(spec.entity)
+            if spec.entity in ranges:
+                return BucketedTable(spark, root, [spec.pk], range_width=ranges[spec.entity])
             if a.buckets:
                 return BucketedTable(spark, root, [spec.pk], a.buckets)
             return VersionedTable(spark, root)

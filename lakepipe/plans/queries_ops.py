@@ -115,7 +115,12 @@ _UPSERT_SQL = _UPSERT_CTES + "select * from tgt where id not in (select id from
 def _run_upsert(spark, sf_dir, table_kind: str, guard_stale: bool = False):
     t = Tables(spark, sf_dir)
     root = scratch_path(spark, f"upsert-{table_kind}")
-    table = VersionedTable(spark, root) if table_kind == "versioned" else BucketedTable(spark, root, ["id"], 16)
+    if table_kind == "versioned":
+        table = VersionedTable(spark, root)
+    elif table_kind == "range":
+        table = BucketedTable(spark, root, ["id"], range_width=1000)
+    else:
+        table = BucketedTable(spark, root, ["id"], 16)
     upsert(spark, _upsert_target(t), table, "id", "updatedAt")
     upsert(spark, _upsert_batch(t), table, "id", "updatedAt", guard_stale=guard_stale)
     return table.read()
@@ -131,6 +136,11 @@ def q_upsert_bucketed(spark, sf_dir):
     return _run_upsert(spark, sf_dir, "bucketed")
 
 
+@register("upsert_range", _UPSERT_SQL, "SNK-4 (key-range partition strategy)")
+def q_upsert_range(spark, sf_dir):
+    return _run_upsert(spark, sf_dir, "range")
+
+
 @register(
     "upsert_guard_stale",
     _UPSERT_CTES

@@ -8,7 +8,11 @@ A crashed write leaves an uncommitted directory that readers skip.
 
 ``BucketedTable`` serves large keyed tables: rows live in
 ``_bucket = pmod(xxhash64(key), buckets)`` partitions and an upsert rewrites
-only the buckets its batch touches (dynamic partition overwrite).
+only the buckets its batch touches (dynamic partition overwrite).  For an
+entity whose integral key grows with time (bookings, payments), the range
+layout ``_bucket = key div range_width`` keeps a batch of new rows in the
+newest range or two, where hash buckets would send it to every bucket and
+rewrite the whole table on each micro-batch.
 """
 
 from __future__ import annotations
@@ -87,13 +91,35 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def range_of(key: str, width: int) -> Column:
+    """Consecutive runs of ``width`` key values share a partition."""
+    return F.expr(f"`{key}` div {int(width)}")
+
+
 BUCKETS_FILE = "_lakepipe_buckets"
+RANGE_PREFIX = "range="
 
 
 class BucketedTable:
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 256):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        keys: Sequence[str],
+        buckets: int = 256,
+        range_width: int | None = None,
+    ):
+        """Hash layout over ``buckets`` partitions, or, with ``range_width``,
+        one partition per run of ``range_width`` values of a single
+        integral key."""
         self.spark, self.root = spark, root.rstrip("/")
-        self.keys, self.buckets = list(keys), buckets
+        self.keys, self.buckets, self.range_width = list(keys), buckets, range_width
+        if range_width is not None and (len(self.keys) != 1 or range_width < 1):
+            raise ValueError("the range layout needs one integral key and a positive width")
+
+    def _layout(self) -> str:
+        kind = f"{RANGE_PREFIX}{self.range_width}" if self.range_width else str(self.buckets)
+        return f"{kind}:{','.join(self.keys)}"
 
     @staticmethod
     def _clustered(df: DataFrame) -> DataFrame:
@@ -117,9 +143,8 @@ class BucketedTable:
         if not fs.exists(p):
             return
         recorded = self._read_marker()
-        if recorded != f"{self.buckets}:{','.join(self.keys)}":
-            raise ValueError(f"{self.root} was created with buckets/keys {recorded}, "
-                             f"not {self.buckets}:{','.join(self.keys)}")
+        if recorded != self._layout():
+            raise ValueError(f"{self.root} was created with layout {recorded}, not {self._layout()}")
 
     def _read_marker(self) -> str:
         jvm = self.spark.sparkContext._jvm
@@ -134,7 +159,7 @@ class BucketedTable:
         fs, p = hadoop_fs(self.spark, f"{self.root}/{BUCKETS_FILE}")
         out = fs.create(p, True)
         try:
-            out.write(bytearray(f"{self.buckets}:{','.join(self.keys)}".encode()))
+            out.write(bytearray(self._layout().encode()))
         finally:
             out.close()
 
@@ -143,6 +168,8 @@ class BucketedTable:
         return df if with_bucket else df.drop(BUCKET_COL)
 
     def with_bucket(self, df: DataFrame) -> DataFrame:
+        if self.range_width:
+            return df.withColumn(BUCKET_COL, range_of(self.keys[0], self.range_width))
         return df.withColumn(BUCKET_COL, bucket_of(self.keys, self.buckets))
 
     def create(self, df: DataFrame) -> None:
@@ -170,6 +197,8 @@ def open_table(spark: SparkSession, root: str) -> VersionedTable | BucketedTable
     fs, p = hadoop_fs(spark, f"{root.rstrip('/')}/{BUCKETS_FILE}")
     if fs.exists(p):
         probe = BucketedTable(spark, root, [], 1)
-        buckets, keys = probe._read_marker().split(":", 1)
-        return BucketedTable(spark, root, keys.split(","), int(buckets))
+        kind, keys = probe._read_marker().split(":", 1)
+        if kind.startswith(RANGE_PREFIX):
+            return BucketedTable(spark, root, keys.split(","), range_width=int(kind[len(RANGE_PREFIX):]))
+        return BucketedTable(spark, root, keys.split(","), int(kind))
     return VersionedTable(spark, root)

@@ -152,7 +152,7 @@ def scd2_apply(
             history = history.filter(F.col(BUCKET_COL).isin(touched))
         table.replace_buckets(scd2_df(history, b, pk, clock, compare_cols, expire_missing))
         return WriteReport(table.root, "merged",
-                           {"buckets_rewritten": len(touched) if touched is not None else table.buckets})
+                           {"buckets_rewritten": len(touched) if touched is not None else "all"})
     finally:
         updates.unpersist()
 

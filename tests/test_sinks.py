@@ -54,6 +54,30 @@ def test_bucketed_upsert_touches_only_batch_buckets(spark, tmp_root):
     assert table.read().filter("id = 5").first().v == "z"
 
 
+def test_range_layout_new_keys_touch_only_newest_range(spark, tmp_root):
+    """Ids that grow with time: new rows land in the newest range, so the
+    upsert rewrites it (and the range of the one updated row), not every
+    partition as hash buckets would."""
+    from lakepipe.sinks.tables import open_table
+
+    table = BucketedTable(spark, tmp_root + "/r", ["id"], range_width=10)
+    upsert(spark, spark.createDataFrame([(i, "a", T1) for i in range(100)], SCHEMA), table, "id", "updatedAt")
+    batch = spark.createDataFrame([(i, "new", T2) for i in range(100, 106)] + [(5, "z", T2)], SCHEMA)
+    rep = upsert(spark, batch, table, "id", "updatedAt")
+    assert rep.metrics["buckets_rewritten"] == 2
+    got = open_table(spark, tmp_root + "/r")
+    assert got.range_width == 10
+    assert got.read().count() == 106
+    assert {r.id: r.v for r in got.read().filter("v <> 'a'").collect()} == {5: "z", **{i: "new" for i in range(100, 106)}}
+    hashed = BucketedTable(spark, tmp_root + "/h", ["id"], 10)
+    upsert(spark, spark.createDataFrame([(i, "a", T1) for i in range(100)], SCHEMA), hashed, "id", "updatedAt")
+    assert upsert(spark, batch, hashed, "id", "updatedAt").metrics["buckets_rewritten"] > 2
+    import pytest
+
+    with pytest.raises(ValueError):
+        BucketedTable(spark, tmp_root + "/r", ["id"], 10).exists()
+
+
 def test_write_gold_modes(spark, tmp_root):
     full = spark.createDataFrame([(d, n) for d, n in [("2001-01-01", 1), ("2001-01-02", 2)]], "date string, n int")
     part = full.filter("date = '2001-01-02'").withColumn("n", F.lit(20))
