@@ -2,7 +2,12 @@
 
 A zip archive is not splittable, so each archive is decompressed by one
 task -- but many archives spread over many tasks, and the member is
-streamed out in line batches, never held whole."""
+streamed out in record batches, never held whole decompressed.  (The
+compressed archive itself arrives as one ``binaryFile`` row, so one archive
+must stay below ``spark.sql.sources.binaryFile.maxLength``, 2 GB.)
+
+CSV follows RFC 4180 as the seed files do: quoted fields may hold commas,
+newlines and doubled quotes."""
 
 from __future__ import annotations
 
@@ -20,6 +25,8 @@ from lakepipe.sources.layout import path_exists
 
 LINES_PER_BATCH = 50_000
 LINES_SCHEMA = "path string, line_no long, value string"
+# RFC 4180: a quote inside a quoted field is written twice.
+CSV_OPTIONS = {"escape": '"'}
 
 # Seed file -> table and table -> primary key of the source DB.
 SEED_TABLES = {
@@ -44,8 +51,24 @@ SEED_PRIMARY_KEYS = {
 }
 
 
+def csv_records(lines):
+    """Physical lines (with their line endings) -> CSV records.  A record
+    goes on while it holds an odd number of double quotes, i.e. while a
+    quoted field is still open (a doubled quote inside a field counts two
+    and keeps the parity).  Newlines inside a field are kept as written."""
+    rec, quotes = [], 0
+    for line in lines:
+        rec.append(line)
+        quotes += line.count('"')
+        if quotes % 2 == 0:
+            yield "".join(rec).rstrip("\r\n")
+            rec, quotes = [], 0
+    if rec:
+        yield "".join(rec).rstrip("\r\n")
+
+
 def _unzip_lines(batches):
-    """mapInPandas body: first member of each archive -> numbered lines."""
+    """mapInPandas body: first member of each archive -> numbered records."""
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as z:
@@ -53,11 +76,11 @@ def _unzip_lines(batches):
                 with z.open(member) as raw:
                     text = io.TextIOWrapper(raw, encoding="utf-8", newline="")
                     buf, start = [], 0
-                    for i, line in enumerate(text):
-                        buf.append(line.rstrip("\r\n"))
+                    for rec in csv_records(text):
+                        buf.append(rec)
                         if len(buf) >= LINES_PER_BATCH:
                             yield pd.DataFrame({"path": path, "line_no": range(start, start + len(buf)), "value": buf})
-                            start, buf = i + 1, []
+                            start, buf = start + len(buf), []
                     if buf:
                         yield pd.DataFrame({"path": path, "line_no": range(start, start + len(buf)), "value": buf})
 
@@ -73,16 +96,28 @@ def read_zipped_csv(spark: SparkSession, zip_path: str, schema: T.StructType | N
         return spark.createDataFrame([], schema or T.StructType([]))
     names = list(pd.read_csv(io.StringIO(header[0] + "\n"), nrows=0).columns)
     ddl = ", ".join(f"`{n}` STRING" for n in names)
-    parsed = lines.filter(F.col("line_no") > 0).select(F.from_csv("value", F.lit(ddl)).alias("r")).select("r.*")
+    parsed = (
+        lines.filter(F.col("line_no") > 0)
+        .select(F.from_csv("value", F.lit(ddl), CSV_OPTIONS).alias("r"))
+        .select("r.*")
+    )
     if schema is None:
         return parsed
     return parsed.select(*[F.col(f"`{n}`").try_cast(f.dataType).alias(f.name) for n, f in zip(names, schema.fields)])
 
 
-def read_csv_seed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """CSV at ``path``; else the archive ``path + '.zip'``; else None."""
+def read_csv_seed(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame | None:
+    """CSV at ``path``; else the archive ``path + '.zip'``; else None.
+
+    ``multi_line`` (default) keeps quoted newlines inside their field; a
+    file is then parsed by one task (streamed, not held).  Files known to
+    have no quoted newlines can pass ``False`` to split each file over
+    many tasks."""
     if path_exists(spark, path):
-        reader = spark.read.option("header", "true")
+        reader = spark.read.option("header", "true").options(**CSV_OPTIONS)
+        reader = reader.option("multiLine", "true") if multi_line else reader
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "false")
         return reader.csv(path)
     if path_exists(spark, path + ".zip"):
