@@ -62,11 +62,12 @@ def write_gold(
         obs = Observation()
         out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if partition_cols:
-            # One writer task per partition value: one file per directory
-            # instead of one per (task, value), and values written in
-            # parallel.  Gold rows are aggregates, so no value is large.
-            # (Large keyed tables use BucketedTable's rebalance instead.)
-            out = out.repartition(*[F.col(c) for c in partition_cols])
+            # Rows of one partition value go to one writer task (one file
+            # per directory instead of one per task and value), values are
+            # written in parallel, and AQE splits a value larger than the
+            # advisory partition size over several writers (REBALANCE), so
+            # a day holding a third of the rows is not written by one task.
+            out = out.hint("rebalance", *partition_cols)
         w = out.write.mode(mode)
         if partition_cols:
             w = w.partitionBy(*partition_cols)

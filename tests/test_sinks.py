@@ -177,3 +177,20 @@ def test_upsert_strategies_match_brute_force(spark, tmp_path_factory, data):
             upsert(spark, spark.createDataFrame(rows_, SCHEMA), tb, "id", "updatedAt")
     for tb in tables:
         assert rows(tb.read()) == sorted(expected.values())
+
+
+def test_write_gold_splits_a_hot_partition(spark, tmp_root):
+    """One date holding most rows is written by several tasks (REBALANCE +
+    AQE), the small dates by one task each."""
+    import glob
+
+    df = spark.range(200_000).selectExpr(
+        "id", "case when id % 10 = 0 then date'2001-01-02' else date'2001-01-01' end as date")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        rep = write_gold(spark, df, tmp_root + "/hot", partition_cols=["date"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert rep.metrics["rows"] == 200_000
+    assert len(glob.glob(tmp_root + "/hot/date=2001-01-01/*.parquet")) > 1
+    assert spark.read.parquet(tmp_root + "/hot").count() == 200_000
