@@ -41,6 +41,7 @@ def _args(argv):
     sil.add_argument("--range", action="append", default=[], metavar="ENTITY=WIDTH",
                      help="range layout for an entity whose id grows with time (repeatable)")
     sil.add_argument("--guard-stale", action="store_true")
+    sil.add_argument("--max-files-per-trigger", type=int, help="split a large backlog into micro-batches")
 
     gld = sub.add_parser("gold", help="silver -> gold KPI tables")
     gld.add_argument("--root", required=True)
@@ -88,7 +89,8 @@ def main(argv=None) -> int:
                 return BucketedTable(spark, root, [spec.pk], a.buckets)
             return VersionedTable(spark, root)
 
-        run_silver_tables(spark, lake, specs, table_for, guard_stale=a.guard_stale)
+        run_silver_tables(spark, lake, specs, table_for, guard_stale=a.guard_stale,
+                          max_files_per_trigger=a.max_files_per_trigger)
         print(json.dumps({"silver": [s.entity for s in specs]}))
     else:
         from lakepipe.plans.gold import run_gold

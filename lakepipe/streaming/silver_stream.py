@@ -59,18 +59,24 @@ def run_silver_tables(
     specs,
     table_for,
     guard_stale: bool = False,
+    max_files_per_trigger: int | None = None,
 ) -> dict[str, object]:
     """Run the bronze -> silver stream of every spec once (availableNow).
 
     ``specs``: iterable of ``SilverSpec``; ``table_for(spec)`` returns the
     silver table object (``VersionedTable`` for small entities,
-    ``BucketedTable`` for large ones).  Returns ``{entity: table}``."""
+    ``BucketedTable`` for large ones).  ``max_files_per_trigger`` splits a
+    large backlog into several micro-batches, each committed on its own, so
+    a failure repeats one batch rather than the whole backlog.  Returns
+    ``{entity: table}``."""
     from lakepipe.sources.bronze import read_bronze_stream
 
     out = {}
     for spec in specs:
         table = table_for(spec)
-        stream = spec.clean(read_bronze_stream(spark, layout.bronze(spec.bronze), layout.schema_dir(spec.bronze)))
+        src = read_bronze_stream(spark, layout.bronze(spec.bronze), layout.schema_dir(spec.bronze),
+                                 max_files_per_trigger=max_files_per_trigger)
+        stream = spec.clean(src)
         run_silver_once(stream, spark, layout.checkpoint("silver", spec.entity), table, spec.pk, spec.updated_col,
                         guard_stale=guard_stale)
         out[spec.entity] = table
