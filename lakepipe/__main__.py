@@ -32,6 +32,9 @@ def _args(argv):
     ing.add_argument("--until")
     ing.add_argument("--parallelism", type=int, default=1)
     ing.add_argument("--overlap-seconds", type=int, default=0)
+    ing.add_argument("--partition-column", action="append", default=[], metavar="TABLE=COLUMN",
+                     help="read TABLE in --jdbc-partitions ranges of COLUMN (repeatable)")
+    ing.add_argument("--jdbc-partitions", type=int, default=1)
     ing.add_argument("--run-date", default=dt.date.today().isoformat())
 
     sil = sub.add_parser("silver", help="bronze -> silver (stream, availableNow)")
@@ -64,7 +67,8 @@ def main(argv=None) -> int:
         opts = JdbcOptions(a.host, a.port, a.database, a.user, os.environ.get("LAKEPIPE_DB_PASSWORD", ""))
         specs = [s for s in TABLE_SPECS.values() if not a.table or s.name in a.table]
         store = WatermarkStore(spark, lake.watermarks())
-        src = jdbc_source(spark, opts)
+        part_cols = dict(pc.split("=", 1) for pc in a.partition_column)
+        src = jdbc_source(spark, opts, part_cols, a.jdbc_partitions)
         if a.full:
             res = backfill(spark, specs, src, lake, store, a.run_date, a.since, a.until, a.parallelism)
         else:

@@ -6,14 +6,18 @@ to bronze under today's ``ingest_date`` partition, and advance the watermark
 to the largest ``updated`` value just written.  Count and max are observed on
 the write itself, so the source is scanned once per run.
 
-A *source* is any ``TableSpec -> DataFrame`` callable returning the whole
-source table: a JDBC reader in production (``jdbc_source``), parquet tables
-in tests.  The incremental predicate is a DataFrame filter, pushed into the
-JDBC query or the parquet scan by Catalyst.
+A *source* is a ``(TableSpec, after) -> DataFrame`` callable returning the
+whole source table: a JDBC reader in production (``jdbc_source``), parquet
+tables in tests.  ``after`` is the lower bound the incremental predicate
+will use (None for a full load); a source may plan its read with it (the
+JDBC source takes its range bounds over the new rows only).  The predicate
+itself is a DataFrame filter, pushed into the JDBC query or the parquet scan
+by Catalyst.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -26,7 +30,7 @@ from lakepipe.clock import SYSTEM_CLOCK, Clock
 from lakepipe.operators.merge import upsert_df
 from lakepipe.sinks.tables import VersionedTable
 from lakepipe.sinks.writers import append_bronze
-from lakepipe.sources.jdbc import JdbcOptions, partitioning_for, read_jdbc_full
+from lakepipe.sources.jdbc import JdbcOptions, partitioning_for, quote_ident, read_jdbc_full, sql_literal
 from lakepipe.sources.layout import LakeLayout
 
 
@@ -66,7 +70,7 @@ def select_tables(specs: Iterable[TableSpec], schedule: str | None = None) -> li
     return [s for s in specs if schedule is None or s.schedule == schedule]
 
 
-Source = Callable[[TableSpec], DataFrame]
+Source = Callable[[TableSpec, object], DataFrame]
 
 
 def jdbc_source(
@@ -80,10 +84,13 @@ def jdbc_source(
     of that column (bounds from one min/max query), so executors fetch in
     parallel instead of one connection reading the table."""
 
-    def src(spec: TableSpec) -> DataFrame:
+    def src(spec: TableSpec, after=None) -> DataFrame:
         part = None
         if partition_columns and spec.name in partition_columns and num_partitions > 1:
-            part = partitioning_for(spark, opts, spec.name, partition_columns[spec.name], num_partitions)
+            where = None
+            if after is not None and spec.updated_column:
+                where = f"{quote_ident(spec.updated_column)} > {sql_literal(after)}"
+            part = partitioning_for(spark, opts, spec.name, partition_columns[spec.name], num_partitions, where)
         return read_jdbc_full(spark, opts, spec.name, part)
 
     return src
@@ -161,13 +168,13 @@ def ingest_table(
     older timestamp; the copies are absorbed by silver's keyed upsert."""
     wm = store.get(spec.name)
     mode = plan_load(spec, wm, force_full)
-    df = source(spec)
+    after = None
+    if mode == "incremental":
+        after = wm - dt.timedelta(seconds=overlap_seconds) if overlap_seconds else wm
+    df = source(spec, after)
     upd = F.col(spec.updated_column) if spec.updated_column else None
     if mode == "incremental":
-        lower = F.lit(wm)
-        if overlap_seconds:
-            lower = lower - F.make_interval(secs=F.lit(overlap_seconds).cast("decimal(18,6)"))
-        df = df.filter(upd > lower)
+        df = df.filter(upd > F.lit(after))
     if upd is not None and since is not None:
         df = df.filter(upd >= F.lit(since).cast("timestamp"))
     if upd is not None and until is not None:

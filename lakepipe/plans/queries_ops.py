@@ -353,7 +353,7 @@ _SRC_SPECS = [
 
 
 def _source(spark, sf_dir, as_of_cut: bool):
-    def src(spec):
+    def src(spec, after=None):
         df = read_table(spark, sf_dir, spec.name)
         if as_of_cut and spec.updated_column:
             df = df.filter(F.col(spec.updated_column) < F.lit(_CUT).cast("timestamp"))

@@ -6,6 +6,7 @@ a large table is fetched by many executors instead of one."""
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,11 +99,34 @@ def read_jdbc_incremental(
     return df.filter(F.col(updated_col) > F.lit(watermark).cast("timestamp"))
 
 
+def sql_literal(v) -> str:
+    """A value as a SQL literal (timestamps, dates, numbers, text)."""
+    if isinstance(v, dt.datetime):
+        return f"TIMESTAMP '{v.isoformat(sep=' ')}'"
+    if isinstance(v, dt.date):
+        return f"DATE '{v.isoformat()}'"
+    if isinstance(v, (int, float)) and not isinstance(v, bool):
+        return repr(v)
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def bounds_query(table: str, column: str, where: str | None = None) -> str:
+    cond = f" where {where}" if where else ""
+    return f"(select min({quote_ident(column)}) lo, max({quote_ident(column)}) hi from {quote_ident(table)}{cond}) b"
+
+
 def partitioning_for(
-    spark: SparkSession, opts: JdbcOptions, table: str, column: str, num_partitions: int
+    spark: SparkSession,
+    opts: JdbcOptions,
+    table: str,
+    column: str,
+    num_partitions: int,
+    where: str | None = None,
 ) -> JdbcPartitioning | None:
-    """Bounds from one ``min/max`` query (a one-row result)."""
-    q = f"(select min({quote_ident(column)}) lo, max({quote_ident(column)}) hi from {quote_ident(table)}) b"
+    """Bounds from one ``min/max`` query (a one-row result), over the rows
+    ``where`` selects -- for an incremental read, the new rows only, so
+    they are spread over all partitions instead of landing in the last."""
+    q = bounds_query(table, column, where)
     row = spark.read.format("jdbc").options(**opts.options()).option("dbtable", q).load().first()
     if row is None or row["lo"] is None:
         return None

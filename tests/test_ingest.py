@@ -52,8 +52,10 @@ def test_watermark_store_raises_on_corruption(spark, tmp_root):
         store.get("A")
 
 
-def _src(spark, cut=None):
-    def src(spec):
+def _src(spark, cut=None, seen=None):
+    def src(spec, after=None):
+        if seen is not None:
+            seen.append(after)
         df = spark.read.parquet(f"{SF}/{spec.name}.parquet").withColumn(
             spec.updated_column, F.col(spec.updated_column).cast("timestamp")) if spec.updated_column else \
             spark.read.parquet(f"{SF}/{spec.name}.parquet")
@@ -67,8 +69,11 @@ def test_incremental_ingest_reads_only_new_rows(spark, tmp_root):
     lay = LakeLayout(tmp_root)
     store = WatermarkStore(spark, lay.watermarks())
     spec = TableSpec("orders", "o_orderdate")
-    r1 = ingest_table(spark, spec, _src(spark, "1998-01-01"), lay, store, "2001-09-01")
-    r2 = ingest_table(spark, spec, _src(spark), lay, store, "2001-10-01")
+    seen = []
+    r1 = ingest_table(spark, spec, _src(spark, "1998-01-01", seen), lay, store, "2001-09-01")
+    r2 = ingest_table(spark, spec, _src(spark, None, seen), lay, store, "2001-10-01")
+    # the source is told the incremental lower bound (None on the full load)
+    assert seen == [None, r1.watermark]
     r3 = ingest_table(spark, spec, _src(spark), lay, store, "2001-10-02")
     total = spark.read.parquet(f"{SF}/orders.parquet").count()
     assert (r1.mode, r2.mode, r3.mode) == ("full", "incremental", "incremental")
@@ -109,3 +114,15 @@ def test_overlap_window_rereads_recent_rows(spark, tmp_root):
     src = _src(spark)(spec)
     want = src.filter(F.col("o_orderdate") > F.lit(wm - dt.timedelta(days=3))).count()
     assert again.rows == want > 0
+
+
+def test_jdbc_bounds_cover_only_new_rows():
+    """Range bounds of an incremental JDBC read come from the new rows."""
+    from lakepipe.sources.jdbc import bounds_query, sql_literal
+
+    assert sql_literal(dt.datetime(2001, 1, 2, 3, 4, 5)) == "TIMESTAMP '2001-01-02 03:04:05'"
+    assert sql_literal(dt.date(2001, 1, 2)) == "DATE '2001-01-02'"
+    assert sql_literal("it's") == "'it''s'" and sql_literal(7) == "7"
+    q = bounds_query("Booking", "id", '"updatedAt" > TIMESTAMP \'2001-01-02 00:00:00\'')
+    assert q == ('(select min("id") lo, max("id") hi from "Booking" '
+                 'where "updatedAt" > TIMESTAMP \'2001-01-02 00:00:00\') b')
