@@ -108,7 +108,9 @@ def upsert(
             table.create(batch)
             return WriteReport(table.root, "created")
         b = table.with_bucket(batch)
-        # At most `buckets` small ints reach the driver: a proven bound.
+        # One small int per touched partition reaches the driver: at most the
+        # bucket count (hash layout) or the number of key ranges the batch
+        # spans (range layout) -- both bounded by the table's partition list.
         touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]
         old = table.read(with_bucket=True).filter(F.col(BUCKET_COL).isin(touched))
         table.replace_buckets(upsert_df(old, b, keys, updated_col, guard_stale))
@@ -149,7 +151,7 @@ def scd2_apply(
         history = table.read(with_bucket=True)
         touched = None
         if not expire_missing:
-            touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # <= buckets ints
+            touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # one int per partition
             history = history.filter(F.col(BUCKET_COL).isin(touched))
         table.replace_buckets(scd2_df(history, b, pk, clock, compare_cols, expire_missing))
         return WriteReport(table.root, "merged",
