@@ -30,15 +30,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Tables:
-    """Lazy accessor: ``t = Tables(spark, sf_dir); t.orders``."""
+    """Lazy accessor: ``t = Tables(spark, sf_dir); t.orders``.  Each table is
+    opened (listed, footer read) once per accessor, however many views of
+    one query use it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._opened: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._opened:
+            self._opened[name] = read_table(self.spark, self.sf_dir, name)
+        return self._opened[name]
 
 
 def _days(n) -> F.Column:
