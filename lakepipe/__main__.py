@@ -45,6 +45,8 @@ def _args(argv):
                      help="range layout for an entity whose id grows with time (repeatable)")
     sil.add_argument("--guard-stale", action="store_true")
     sil.add_argument("--max-files-per-trigger", type=int, help="split a large backlog into micro-batches")
+    sil.add_argument("--keep-versions", type=int, default=3,
+                     help="snapshots kept by unbucketed (versioned) silver tables")
 
     gld = sub.add_parser("gold", help="silver -> gold KPI tables")
     gld.add_argument("--root", required=True)
@@ -91,7 +93,7 @@ def main(argv=None) -> int:
                 return BucketedTable(spark, root, [spec.pk], range_width=ranges[spec.entity])
             if a.buckets:
                 return BucketedTable(spark, root, [spec.pk], a.buckets)
-            return VersionedTable(spark, root)
+            return VersionedTable(spark, root, keep=a.keep_versions)
 
         run_silver_tables(spark, lake, specs, table_for, guard_stale=a.guard_stale,
                           max_files_per_trigger=a.max_files_per_trigger)

@@ -111,8 +111,9 @@ class WatermarkStore:
     Only a missing store means "no watermark"; any other failure raises, so
     an unreadable store never turns into an accidental full reload."""
 
-    def __init__(self, spark: SparkSession, path: str, clock: Clock = SYSTEM_CLOCK):
-        self.spark, self.table, self.clock = spark, VersionedTable(spark, path), clock
+    def __init__(self, spark: SparkSession, path: str, clock: Clock = SYSTEM_CLOCK, keep: int = 20):
+        # Every set() commits a small snapshot; the newest ``keep`` are kept.
+        self.spark, self.table, self.clock = spark, VersionedTable(spark, path, keep=keep), clock
 
     def frame(self) -> DataFrame:
         if not self.table.exists():

@@ -29,9 +29,22 @@ BUCKET_COL = "_bucket"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, partition_cols: Sequence[str] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        partition_cols: Sequence[str] | None = None,
+        keep: int | None = None,
+    ):
+        """``keep``: after each commit, delete all but the newest ``keep``
+        committed snapshots (None keeps every snapshot).  A stream commits
+        once per micro-batch, so a long-running one needs a bound; a reader
+        must not outlive ``keep - 1`` later commits."""
         self.spark, self.root = spark, root.rstrip("/")
         self.partition_cols = list(partition_cols or [])
+        if keep is not None and keep < 1:
+            raise ValueError("keep must be at least 1")
+        self.keep = keep
 
     def _committed(self) -> list[int]:
         out = []
@@ -84,6 +97,8 @@ class VersionedTable:
         if self.partition_cols:
             w = w.partitionBy(*self.partition_cols)
         w.parquet(self.path(v))
+        if self.keep is not None:
+            self.vacuum(self.keep)
         return v
 
 

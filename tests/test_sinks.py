@@ -194,3 +194,13 @@ def test_write_gold_splits_a_hot_partition(spark, tmp_root):
     assert rep.metrics["rows"] == 200_000
     assert len(glob.glob(tmp_root + "/hot/date=2001-01-01/*.parquet")) > 1
     assert spark.read.parquet(tmp_root + "/hot").count() == 200_000
+
+
+def test_versioned_table_keeps_newest_snapshots(spark, tmp_root):
+    import glob
+
+    t = VersionedTable(spark, tmp_root + "/k", keep=2)
+    for i in range(4):
+        t.commit(spark.createDataFrame([(i, "a", T1)], SCHEMA))
+    assert sorted(p.rsplit("=", 1)[1] for p in glob.glob(tmp_root + "/k/v=*")) == ["00000003", "00000004"]
+    assert rows(t.read()) == [(3, "a", T1)]
