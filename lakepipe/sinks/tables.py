@@ -205,6 +205,11 @@ class BucketedTable:
             .partitionBy(BUCKET_COL)
             .parquet(self.root)
         )
+        # The buckets are in place; the staged copy is no longer needed.  (If
+        # the overwrite fails, the stage stays for inspection and the
+        # replayed batch writes a new one.)
+        fs, p = hadoop_fs(self.spark, stage)
+        fs.delete(p, True)
 
 
 def open_table(spark: SparkSession, root: str) -> VersionedTable | BucketedTable:

@@ -52,6 +52,11 @@ def test_bucketed_upsert_touches_only_batch_buckets(spark, tmp_root):
     assert rep.metrics["buckets_rewritten"] == 1
     assert table.read().count() == 100
     assert table.read().filter("id = 5").first().v == "z"
+    # the staged copy of the rewritten bucket is removed after the swap
+    import glob
+
+    from lakepipe.session import checkpoint_root
+    assert not glob.glob(checkpoint_root(spark) + "/lakepipe/bucket-stage-*/_bucket=*")
 
 
 def test_range_layout_new_keys_touch_only_newest_range(spark, tmp_root):
