@@ -112,6 +112,8 @@ def range_of(key: str, width: int) -> Column:
 
 
 BUCKETS_FILE = "_lakepipe_buckets"
+# Names the staged content of a bucket swap that has not finished yet.
+PENDING_FILE = "_lakepipe_pending_swap"
 RANGE_PREFIX = "range="
 
 
@@ -145,10 +147,14 @@ class BucketedTable:
         return df.hint("rebalance", BUCKET_COL)
 
     def exists(self) -> bool:
+        """Whether the table has been created.  A writer calls this first,
+        so it also completes a bucket swap an earlier writer left half done
+        (see ``replace_buckets``)."""
         fs, p = hadoop_fs(self.spark, f"{self.root}/_SUCCESS")
         if not fs.exists(p):
             return False
         self._check_layout()
+        self.recover()
         return True
 
     def _check_layout(self) -> None:
@@ -161,23 +167,31 @@ class BucketedTable:
         if recorded != self._layout():
             raise ValueError(f"{self.root} was created with layout {recorded}, not {self._layout()}")
 
-    def _read_marker(self) -> str:
+    def _read_file(self, name: str) -> str | None:
+        fs, p = hadoop_fs(self.spark, f"{self.root}/{name}")
+        if not fs.exists(p):
+            return None
         jvm = self.spark.sparkContext._jvm
-        fs, p = hadoop_fs(self.spark, f"{self.root}/{BUCKETS_FILE}")
         stream = fs.open(p)
         try:
             return str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")).strip()
         finally:
             stream.close()
 
-    def _write_marker(self) -> None:
-        fs, p = hadoop_fs(self.spark, f"{self.root}/{BUCKETS_FILE}")
+    def _write_file(self, name: str, text: str) -> None:
+        fs, p = hadoop_fs(self.spark, f"{self.root}/{name}")
         out = fs.create(p, True)
         try:
-            out.write(bytearray(self._layout().encode()))
+            out.write(bytearray(text.encode()))
         finally:
             out.close()
 
+    def _read_marker(self) -> str:
+        return self._read_file(BUCKETS_FILE)
+
+    def _write_marker(self) -> None:
+        self._write_file(BUCKETS_FILE, self._layout())
+
     def read(self, with_bucket: bool = False) -> DataFrame:
         df = self.spark.read.parquet(self.root)
         return df if with_bucket else df.drop(BUCKET_COL)
@@ -194,10 +208,25 @@ class BucketedTable:
 
     def replace_buckets(self, df: DataFrame) -> None:
         """Rewrite exactly the buckets present in ``df`` (which must carry
-        the bucket column).  The new content is staged under the shared
-        checkpoint folder first because it was computed from the table."""
+        the bucket column).
+
+        The new content is staged under the shared checkpoint folder first
+        (it was computed from the table, which Spark cannot overwrite while
+        reading).  The swap itself replaces bucket directories one by one,
+        each as delete-then-rename, so a driver lost in between could leave
+        a bucket missing; the stage path is therefore recorded in the table
+        before the swap, and the next writer (``exists``) rolls the swap
+        forward from the stage before it reads anything.  (Readers do not
+        repair: a marker may also belong to a swap still in progress.)"""
+        if self._read_file(PENDING_FILE):
+            # ``df`` was computed from a table with an unfinished swap.
+            raise RuntimeError(f"{self.root}: a bucket swap is pending; call exists() or recover() first")
         stage = scratch_path(self.spark, "bucket-stage")
         self._clustered(df).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
+        self._write_file(PENDING_FILE, stage)
+        self._swap_in(stage)
+
+    def _swap_in(self, stage: str) -> None:
         (
             self.spark.read.parquet(stage)
             .write.mode("overwrite")
@@ -205,12 +234,21 @@ class BucketedTable:
             .partitionBy(BUCKET_COL)
             .parquet(self.root)
         )
-        # The buckets are in place; the staged copy is no longer needed.  (If
-        # the overwrite fails, the stage stays for inspection and the
-        # replayed batch writes a new one.)
+        fs, p = hadoop_fs(self.spark, f"{self.root}/{PENDING_FILE}")
+        fs.delete(p, False)
         fs, p = hadoop_fs(self.spark, stage)
         fs.delete(p, True)
 
+    def recover(self) -> bool:
+        """Finish a bucket swap that an earlier writer began but did not
+        complete (the staged buckets are written again; doing so twice
+        gives the same table).  Returns whether there was one."""
+        stage = self._read_file(PENDING_FILE)
+        if not stage:
+            return False
+        self._swap_in(stage)
+        return True
+
 
 def open_table(spark: SparkSession, root: str) -> VersionedTable | BucketedTable:
     """The table stored at ``root``, whichever layout wrote it."""
