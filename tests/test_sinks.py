@@ -170,7 +170,8 @@ def test_upsert_strategies_match_brute_force(spark, tmp_path_factory, data):
     import datetime as dt
 
     root = str(tmp_path_factory.mktemp("u"))
-    tables = [VersionedTable(spark, root + "/v"), BucketedTable(spark, root + "/b", ["id"], 3)]
+    tables = [VersionedTable(spark, root + "/v"), BucketedTable(spark, root + "/b", ["id"], 3),
+              BucketedTable(spark, root + "/r", ["id"], range_width=4)]
     expected = {}
     for i, batch in enumerate(data):
         rows_ = [(k, v, dt.datetime(2001, 1, d, i)) for k, v, d in batch]
