@@ -52,6 +52,8 @@ def _args(argv):
     gld.add_argument("--root", required=True)
     gld.add_argument("--table", action="append", help="only these gold tables (repeatable)")
     gld.add_argument("--as-of", help="pin 'now' (YYYY-MM-DD[ HH:MM:SS])")
+    gld.add_argument("--snapshots", action="store_true", help="commit each table as a new snapshot")
+    gld.add_argument("--publish-schema", help="with --snapshots: point <schema>.<table> views at them")
     return ap.parse_args(argv)
 
 
@@ -102,8 +104,13 @@ def main(argv=None) -> int:
         from lakepipe.plans.gold import run_gold
         from lakepipe.sinks.tables import open_table
 
+        from lakepipe.sources.catalog import Layer
+
+        publish = Layer(a.publish_schema) if a.publish_schema else None
+        if publish is not None and not a.snapshots:
+            raise SystemExit("--publish-schema needs --snapshots")
         reports = run_gold(spark, lambda e: open_table(spark, lake.silver(e)).read(), lake.gold,
-                           Clock(a.as_of), names=a.table)
+                           Clock(a.as_of), names=a.table, snapshots=a.snapshots, publish=publish)
         print(json.dumps({k: v.action for k, v in reports.items()}))
     return 0
 

@@ -40,6 +40,8 @@ def write_gold(
     primary_key: str | Sequence[str] | None = None,
     dynamic_partitions: bool = False,
     clock: Clock = SYSTEM_CLOCK,
+    snapshots: bool = False,
+    keep_versions: int = 3,
 ) -> WriteReport:
     """Write a gold table.
 
@@ -50,11 +52,20 @@ def write_gold(
     * ``append`` adds the rows;
     * ``merge`` keeps SCD-2 history keyed on ``primary_key``.
 
+    An in-place overwrite removes the old files before the job writes the
+    new ones, so readers see an empty or partial table while it runs.  With
+    ``snapshots=True`` an overwrite is committed as a new snapshot instead
+    (``VersionedTable``: readers keep the previous one until ``_SUCCESS``;
+    the newest ``keep_versions`` are kept); the report's ``path`` metric
+    names it, e.g. for ``Layer.publish``.
+
     The result is persisted for the emptiness check so the plan runs once."""
     if mode.lower() == "merge":
         if not primary_key:
             raise ValueError("primary_key is required for mode='merge'")
         return scd2_apply(spark, df, VersionedTable(spark, path, partition_cols), primary_key, clock)
+    if snapshots and (mode != "overwrite" or dynamic_partitions):
+        raise ValueError("snapshots apply to full overwrites only")
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if _is_empty(df):
@@ -68,6 +79,10 @@ def write_gold(
             # advisory partition size over several writers (REBALANCE), so
             # a day holding a third of the rows is not written by one task.
             out = out.hint("rebalance", *partition_cols)
+        if snapshots:
+            table = VersionedTable(spark, path, partition_cols, keep=keep_versions)
+            v = table.commit(out)
+            return WriteReport(path, "overwritten", {**obs.get, "version": v, "path": table.path(v)})
         w = out.write.mode(mode)
         if partition_cols:
             w = w.partitionBy(*partition_cols)

@@ -42,6 +42,9 @@ class Layer:
             spark.catalog.setCurrentCatalog(self.catalog)
         spark.catalog.setCurrentDatabase(self.schema)
 
+    def publish(self, spark: SparkSession, table: str, path: str) -> None:
+        publish_view(spark, self, table, path)
+
     def ensure_schema(self, spark: SparkSession) -> None:
         ns = (quote(self.catalog) + "." if self.catalog else "") + quote(self.schema)
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {ns}")
@@ -68,6 +71,17 @@ class Layer:
         return True
 
 
+def publish_view(spark: SparkSession, layer: "Layer", table: str, path: str, fmt: str = "parquet") -> None:
+    """Point the catalog name ``layer.table`` at the data under ``path``.
+
+    The name is a view over the path, replaced in one catalog operation:
+    SQL readers switch from the previous snapshot to the new one at once,
+    never seeing a table that is still being written."""
+    layer.ensure_schema(spark)
+    literal = path.replace("`", "``")
+    spark.sql(f"CREATE OR REPLACE VIEW {layer.qualified(table)} AS SELECT * FROM {fmt}.`{literal}`")
+
+
 def check_primary_key(df: DataFrame, *keys: str) -> DataFrame:
     """Keys violating uniqueness (empty frame when the key holds); NULL
     keys count as violations too."""

@@ -240,3 +240,28 @@ def test_bucket_swap_rolls_forward_after_a_lost_driver(spark, tmp_root):
     assert t.read().count() == 40
     assert t.read().filter("id = 5").first().v == "z"
     assert t._read_file(PENDING_FILE) is None
+
+
+def test_write_gold_snapshots_and_publish(spark, tmp_root):
+    """Each overwrite is a new snapshot; the catalog view follows the newest
+    one, old snapshots beyond ``keep_versions`` are removed."""
+    import glob
+
+    import pytest
+
+    from lakepipe.sinks.tables import open_table
+    from lakepipe.sources.catalog import Layer
+
+    layer = Layer("lp_gold_snap")
+    p = tmp_root + "/gs"
+    for n in (1, 2, 3, 4):
+        df = spark.createDataFrame([("2001-01-01", n), ("2001-01-02", n)], "date string, n int")
+        rep = write_gold(spark, df, p, partition_cols=["date"], snapshots=True, keep_versions=2)
+        assert rep.action == "overwritten" and rep.metrics["version"] == n
+        layer.publish(spark, "funnel", rep.metrics["path"])
+        assert {r.n for r in layer.read(spark, "funnel").collect()} == {n}
+    assert len(glob.glob(p + "/v=*")) == 2
+    assert sorted((str(r.date), r.n) for r in open_table(spark, p).read().collect()) == [
+        ("2001-01-01", 4), ("2001-01-02", 4)]
+    with pytest.raises(ValueError):
+        write_gold(spark, df, p, mode="append", snapshots=True)

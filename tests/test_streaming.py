@@ -82,6 +82,15 @@ def test_cli_silver_then_gold(spark, tmp_root):
     got = sorted((str(r.date), r.total_bookings, r.completed, r.cancelled)
                  for r in spark.read.parquet(lay.gold("gold_booking_funnel")).collect())
     assert got == [("2001-01-01", 1, 1, 0), ("2001-01-02", 1, 0, 1)]
+    # snapshot commits, published as catalog views
+    snap_root = tmp_root + "/snap"
+    _drop(spark, [(1, 10, 5, 1, "2001-01-01", "completed", "2001-01-01", "2001-01-06 00:00:00")],
+          LakeLayout(snap_root).bronze("Booking"))
+    assert main(["silver", "--root", snap_root, "--entity", "booking"]) == 0
+    assert main(["gold", "--root", snap_root, "--table", "gold_booking_funnel", "--as-of", "2001-10-01",
+                 "--snapshots", "--publish-schema", "lp_cli_gold"]) == 0
+    view = spark.table("lp_cli_gold.gold_booking_funnel")
+    assert [(str(r.date), r.total_bookings) for r in view.collect()] == [("2001-01-01", 1)]
 
 
 def test_all_entities_stream_equals_batch(spark, tmp_root):
