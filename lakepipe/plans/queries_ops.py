@@ -307,6 +307,26 @@ def q_write_dynamic_partitions(spark, sf_dir):
     return _read_funnel(spark, path, "month")
 
 
+@register(
+    "write_snapshot_publish",
+    with_views(_FUNNEL.format(where=f"where {_LATE}"), "v_booking"),
+    "SNK-5 SNK-6 SRC-6 (snapshot overwrite + catalog view swap)",
+)
+def q_write_snapshot_publish(spark, sf_dir):
+    from lakepipe.sources.catalog import Layer
+
+    path = scratch_path(spark, "gold-snapshot")
+    name = "lakepipe_funnel_" + path.rsplit("-", 1)[-1]
+    # The session's existing default schema: publishing a view there
+    # creates no warehouse directory.
+    layer = Layer("default")
+    for late_only in (False, True):
+        rep = write_gold(spark, _funnel(spark, sf_dir, late_only), path, partition_cols=["month"], snapshots=True)
+        layer.publish(spark, name, rep.metrics["path"])
+    return layer.read(spark, name).select(
+        "date", "month", "total_bookings", "completed", "cancelled", "snapshot_date", "snapshot_ts")
+
+
 @register("skip_if_empty", with_views(_FUNNEL.format(where=""), "v_booking"), "SNK-14 D22")
 def q_skip_if_empty(spark, sf_dir):
     path = scratch_path(spark, "gold-skip")

@@ -47,7 +47,8 @@ class Layer:
 
     def ensure_schema(self, spark: SparkSession) -> None:
         ns = (quote(self.catalog) + "." if self.catalog else "") + quote(self.schema)
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {ns}")
+        if not spark.catalog.databaseExists(ns.replace("`", "")):
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {ns}")
 
     def ensure_table(
         self,

@@ -15,7 +15,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     ckpt = tempfile.mkdtemp(prefix="lakepipe-test-ckpt-")
     s = build_session(master="local[4]", shuffle_partitions=4, app="lakepipe-tests",
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g",
+                             "spark.sql.warehouse.dir": ckpt + "/warehouse"})
     s.sparkContext.setCheckpointDir(ckpt)
     yield s
 
