@@ -1,7 +1,8 @@
 from lakepipe.operators.dedup import dedup_latest, dedup_rows
 from lakepipe.operators.merge import scd2_df, upsert_df
 from lakepipe.operators.quality import assert_unique, duplicate_keys, require_not_null
+from lakepipe.operators.scalar import append_scalar_row
 from lakepipe.operators.sizing import broadcast_if_small, has_at_most
 
-__all__ = ["assert_unique", "broadcast_if_small", "dedup_latest", "dedup_rows", "duplicate_keys",
+__all__ = ["append_scalar_row", "assert_unique", "broadcast_if_small", "dedup_latest", "dedup_rows", "duplicate_keys",
            "has_at_most", "require_not_null", "scd2_df", "upsert_df"]

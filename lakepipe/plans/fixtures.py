@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakepipe.operators.scalar import append_scalar_row
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -127,12 +129,12 @@ def v_plan(t: Tables) -> DataFrame:
 
 
 def v_sub(t: Tables) -> DataFrame:
-    # The plan id wraps around the number of parts: a one-row global count,
-    # cross-joined by broadcast (its size is one row by construction).
+    # The plan id wraps around the number of parts: a global count, used as
+    # a scalar subquery (computed once, no join).
     n_parts = t.part.agg(F.count(F.lit(1)).alias("n_parts"))
     s = t.supplier.filter(F.col("s_nationkey") % 6 != 0)
     base = F.lit("2000-01-01 00:00:00").cast("timestamp")
-    return s.crossJoin(F.broadcast(n_parts)).select(
+    return append_scalar_row(s, n_parts).select(
         F.col("s_suppkey").alias("id"),
         F.col("s_nationkey").alias("fitnessCenterId"),
         ((F.col("s_suppkey") * 7) % F.col("n_parts")).alias("membershipPlanId"),

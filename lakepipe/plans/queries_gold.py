@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakepipe.operators.scalar import append_scalar_row
 from lakepipe.plans import fixtures as fx
 from lakepipe.plans import gold
 from lakepipe.plans.catalog import CLOCK, SNAPSHOT_SQL, register, sround
@@ -213,7 +214,7 @@ def q_join_cross_scalar(spark, sf_dir):
     b = fx.v_booking(Tables(spark, sf_dir))
     daily = b.groupBy(F.to_date("createdAt").alias("date")).agg(F.count(F.lit(1)).alias("n"))
     one = b.agg(F.count(F.lit(1)).alias("total_n"))  # global aggregate: one row
-    return daily.crossJoin(F.broadcast(one))
+    return append_scalar_row(daily, one)
 
 
 @register(

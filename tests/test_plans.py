@@ -28,9 +28,9 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string,l_shipdate:timestamp_ntz>" in p
 
 
-def test_cross_join_broadcasts_the_one_row_side(spark):
+def test_one_row_aggregate_is_a_scalar_subquery_not_a_join(spark):
     p = plan(catalog.queries()["gold_subscription_metrics"](spark, SF))
-    assert "BroadcastNestedLoopJoin" in p and "IdentityBroadcastMode" in p
+    assert "Subquery" in p and "NestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
 def test_distinct_count_spreads_hot_groups(spark):
