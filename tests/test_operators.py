@@ -170,3 +170,13 @@ def test_composite_key_dedup_and_upsert(spark):
     assert sorted((r.a, r.b, r.v) for r in d.collect()) == [(1, "x", "new"), (1, "y", "o")]
     up = upsert_df(d, spark.createDataFrame([(1, "y", "z", T3)], s), ["a", "b"])
     assert sorted((r.a, r.b, r.v) for r in up.collect()) == [(1, "x", "new"), (1, "y", "z")]
+
+
+def test_broadcast_gate_bounds_rows_and_bytes(spark):
+    from lakepipe.operators.sizing import has_at_most, measure
+
+    df = spark.createDataFrame([(i, "x" * 10) for i in range(100)], "id long, k string")
+    assert measure(df, 1000) == (100, 100 * (8 + 10))
+    assert has_at_most(df, 100, 1800) and not has_at_most(df, 99) and not has_at_most(df, 100, 1799)
+    # the bounded job stops after max_rows + 1 rows
+    assert measure(spark.range(10_000_000), 10)[0] == 11
