@@ -57,13 +57,16 @@ def write_gold(
     ``snapshots=True`` an overwrite is committed as a new snapshot instead
     (``VersionedTable``: readers keep the previous one until ``_SUCCESS``;
     the newest ``keep_versions`` are kept); the report's ``path`` metric
-    names it, e.g. for ``Layer.publish``.
+    names it, e.g. for ``Layer.publish``.  ``keep_versions`` also bounds
+    the snapshots of ``merge`` (SCD-2 history) tables.
 
     The result is persisted for the emptiness check so the plan runs once."""
     if mode.lower() == "merge":
         if not primary_key:
             raise ValueError("primary_key is required for mode='merge'")
-        return scd2_apply(spark, df, VersionedTable(spark, path, partition_cols), primary_key, clock)
+        # Each load commits the whole history as a new snapshot: keep a few.
+        table = VersionedTable(spark, path, partition_cols, keep=keep_versions)
+        return scd2_apply(spark, df, table, primary_key, clock)
     if snapshots and (mode != "overwrite" or dynamic_partitions):
         raise ValueError("snapshots apply to full overwrites only")
     df = df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -265,3 +265,18 @@ def test_write_gold_snapshots_and_publish(spark, tmp_root):
         ("2001-01-01", 4), ("2001-01-02", 4)]
     with pytest.raises(ValueError):
         write_gold(spark, df, p, mode="append", snapshots=True)
+
+
+def test_write_gold_merge_keeps_history_and_bounded_snapshots(spark, tmp_root):
+    import glob
+
+    from lakepipe.clock import Clock
+    from lakepipe.sinks.tables import open_table
+
+    p = tmp_root + "/scd"
+    for i, day in enumerate(["2001-01-01", "2001-01-02", "2001-01-03", "2001-01-04"]):
+        df = spark.createDataFrame([(1, f"v{i}")], "id long, v string")
+        write_gold(spark, df, p, mode="merge", primary_key="id", clock=Clock(day), keep_versions=2)
+    hist = sorted((r.v, r.is_current) for r in open_table(spark, p).read().collect())
+    assert hist == [("v0", False), ("v1", False), ("v2", False), ("v3", True)]
+    assert len(glob.glob(p + "/v=*")) == 2
