@@ -16,6 +16,9 @@ from lakepipe.operators.quality import not_null_condition
 from lakepipe.sinks.tables import BUCKET_COL, BucketedTable, VersionedTable
 
 INGEST_DATE_COL = "ingest_date"
+# Rows of one partition value above which a partitioned write lets AQE
+# split the value over several writer tasks.
+HOT_PARTITION_ROWS = 5_000_000
 
 
 @dataclass
@@ -42,6 +45,7 @@ def write_gold(
     clock: Clock = SYSTEM_CLOCK,
     snapshots: bool = False,
     keep_versions: int = 3,
+    hot_partition_rows: int = HOT_PARTITION_ROWS,
 ) -> WriteReport:
     """Write a gold table.
 
@@ -71,17 +75,31 @@ def write_gold(
         raise ValueError("snapshots apply to full overwrites only")
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if _is_empty(df):
+        hot = False
+        if partition_cols:
+            # One small job over the cached result: emptiness and the size
+            # of the largest partition value.
+            st = (
+                df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n"))
+                .agg(F.sum("_n").alias("rows"), F.max("_n").alias("largest")).first()
+            )
+            if not st["rows"]:
+                return WriteReport(path, "skipped-empty")
+            hot = st["largest"] > hot_partition_rows
+        elif _is_empty(df):
             return WriteReport(path, "skipped-empty")
         obs = Observation()
         out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if partition_cols:
-            # Rows of one partition value go to one writer task (one file
-            # per directory instead of one per task and value), values are
-            # written in parallel, and AQE splits a value larger than the
-            # advisory partition size over several writers (REBALANCE), so
-            # a day holding a third of the rows is not written by one task.
-            out = out.hint("rebalance", *partition_cols)
+            # Rows of one partition value go to one writer task: one file
+            # per directory instead of one per task and value, and values
+            # written in parallel.  A value holding more than
+            # ``hot_partition_rows`` rows (a day with a third of the data)
+            # goes through a REBALANCE instead, which AQE splits over several
+            # writers.  (REBALANCE is not the default: AQE would also merge
+            # thousands of small days into one serial writer task.)
+            cols = [F.col(c) for c in partition_cols]
+            out = out.hint("rebalance", *partition_cols) if hot else out.repartition(*cols)
         if snapshots:
             table = VersionedTable(spark, path, partition_cols, keep=keep_versions)
             v = table.commit(out)

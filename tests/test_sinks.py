@@ -186,20 +186,22 @@ def test_upsert_strategies_match_brute_force(spark, tmp_path_factory, data):
 
 
 def test_write_gold_splits_a_hot_partition(spark, tmp_root):
-    """One date holding most rows is written by several tasks (REBALANCE +
-    AQE), the small dates by one task each."""
+    """A date above the hot-partition bound is written by several tasks
+    (REBALANCE + AQE); below it, one writer task per date."""
     import glob
 
     df = spark.range(200_000).selectExpr(
         "id", "case when id % 10 = 0 then date'2001-01-02' else date'2001-01-01' end as date")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
     try:
-        rep = write_gold(spark, df, tmp_root + "/hot", partition_cols=["date"])
+        rep = write_gold(spark, df, tmp_root + "/hot", partition_cols=["date"], hot_partition_rows=50_000)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert rep.metrics["rows"] == 200_000
     assert len(glob.glob(tmp_root + "/hot/date=2001-01-01/*.parquet")) > 1
     assert spark.read.parquet(tmp_root + "/hot").count() == 200_000
+    write_gold(spark, df, tmp_root + "/cool", partition_cols=["date"])  # default bound: not hot
+    assert len(glob.glob(tmp_root + "/cool/date=2001-01-01/*.parquet")) == 1
 
 
 def test_versioned_table_keeps_newest_snapshots(spark, tmp_root):
