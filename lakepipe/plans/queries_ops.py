@@ -23,7 +23,7 @@ from lakepipe.sinks.tables import BucketedTable, VersionedTable
 from lakepipe.sinks.writers import append_bronze, read_bronze, scd2_apply, upsert, write_gold
 from lakepipe.sources.bronze import read_bronze_stream
 from lakepipe.sources.layout import LakeLayout
-from lakepipe.sources.seed import read_csv_seed, seed_normalise
+from lakepipe.sources.seed import load_seeds, read_csv_seed, seed_normalise
 from lakepipe.streaming.silver_stream import run_silver_once
 
 DAY1 = Clock("2001-09-01 00:00:00")
@@ -532,6 +532,32 @@ def q_seed_synthetic_key(spark, sf_dir):
         F.min("order_id").cast("int").alias("min_id"), F.max("order_id").alias("max_id"))
 
 
+@register(
+    "seed_load_tables",
+    f"""select 'orders' as table_name, count(*) as rows, count(*) as n_keys from ({_SEED_ROWS})
+union all
+select 'customers' as table_name, count(*) as rows, count(distinct c_custkey) as n_keys from customer""",
+    "SRC-7 SRC-8 SRC-9 SNK-15 (seed load loop; a parquet sink stands in for the database)",
+)
+def q_seed_load_tables(spark, sf_dir):
+    data = scratch_path(spark, "seed-data")
+    _write_seed_csv(spark, sf_dir, f"{data}/olist_orders_dataset.csv")
+    c = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias(" Customer_ID "), F.col("c_name").alias("Customer_Name"))
+    c.unionAll(c).write.option("header", "true").csv(f"{data}/olist_customers_dataset.csv")
+    db = scratch_path(spark, "seed-db")
+    results = load_seeds(spark, data, lambda table, df: df.write.mode("append").parquet(f"{db}/{table}"))
+    loaded = {r.table: r for r in results if r.status == "loaded"}
+    assert set(loaded) == {"orders", "customers"}, results
+    parts = [
+        spark.read.parquet(f"{db}/{t}").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct(pk).alias("n_keys")
+        ).select(F.lit(t).alias("table_name"), "rows", "n_keys")
+        for t, pk in (("orders", "order_id"), ("customers", "customer_id"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # --------------------------------------------------------------- end to end
 # Raw bookings -> bronze (append) -> silver stream (clean, latest per key,
 # upsert) -> gold funnel written partitioned by date -> read back.

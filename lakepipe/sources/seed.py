@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,3 +171,58 @@ def seed_normalise(
         if ("date" in c or "timestamp" in c or c in wanted) and c != pk
     }
     return df.withColumns(casts) if casts else df
+
+
+@dataclass
+class SeedLoadResult:
+    table: str
+    file: str
+    status: str  # loaded | missing | failed
+    rows: int | None = None
+    error: str | None = None
+
+
+SeedSink = Callable[[str, DataFrame], None]
+
+
+def jdbc_sink(opts) -> SeedSink:
+    """Append each seed table into the source database over JDBC."""
+    from lakepipe.sources.jdbc import write_jdbc
+
+    return lambda table, df: write_jdbc(df, opts, table, "append")
+
+
+def load_seeds(
+    spark: SparkSession,
+    data_dir: str,
+    sink: SeedSink,
+    tables: dict[str, str] | None = None,
+    primary_keys: dict[str, str] | None = None,
+    key_offsets: dict[str, int] | None = None,
+    on_error: str = "raise",
+) -> list[SeedLoadResult]:
+    """Load every seed file into its table: read the CSV (or its ``.zip``),
+    normalise it (``seed_normalise``: headers, duplicate rows, synthetic key
+    when the primary key is missing, date/time columns) and append it with
+    ``sink(table, df)``.  A missing file is reported and skipped.  A failed
+    table raises, or with ``on_error="skip"`` is reported and the loop goes
+    on.  Row counts are observed on the write itself."""
+    tables = SEED_TABLES if tables is None else tables
+    primary_keys = SEED_PRIMARY_KEYS if primary_keys is None else primary_keys
+    out = []
+    for file, table in tables.items():
+        raw = read_csv_seed(spark, f"{data_dir.rstrip('/')}/{file}")
+        if raw is None:
+            out.append(SeedLoadResult(table, file, "missing"))
+            continue
+        obs = Observation()
+        df = seed_normalise(raw, pk=primary_keys.get(table), key_offset=(key_offsets or {}).get(table, 0))
+        try:
+            sink(table, df.observe(obs, F.count(F.lit(1)).alias("rows")))
+        except Exception as e:  # noqa: BLE001 - reported per table when skipping
+            if on_error != "skip":
+                raise
+            out.append(SeedLoadResult(table, file, "failed", error=str(e)))
+            continue
+        out.append(SeedLoadResult(table, file, "loaded", rows=obs.get.get("rows")))
+    return out

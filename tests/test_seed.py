@@ -51,3 +51,31 @@ def test_quoted_newlines_and_doubled_quotes(spark, tmp_root):
     for p in ("/reviews.csv", "/plain_reviews.csv"):
         df = read_csv_seed(spark, tmp_root + p)
         assert sorted(tuple(r) for r in df.collect()) == want, p
+
+
+def test_load_seeds_loop(spark, tmp_root):
+    """Every mapped file -> normalised table through the sink; a missing file
+    is reported; a failing table raises, or is reported with on_error=skip."""
+    import pytest
+
+    from lakepipe.sources.seed import load_seeds
+
+    with zipfile.ZipFile(tmp_root + "/sellers.csv.zip", "w") as z:
+        z.writestr("sellers.csv", " Seller_ID ,Seller_City\ns1,a\ns1,a\ns2,b\n")
+    with open(tmp_root + "/orders.csv", "w") as f:
+        f.write("Order_Status,Order_Purchase_Timestamp\nok,2001-01-02 03:04:05\nok,2001-01-02 03:04:05\nx,bad\n")
+    tables = {"sellers.csv": "sellers", "orders.csv": "orders", "absent.csv": "products"}
+    got = {}
+    res = load_seeds(spark, tmp_root, lambda t, df: got.__setitem__(t, df.collect()), tables=tables)
+    assert [(r.table, r.status, r.rows) for r in res] == [
+        ("sellers", "loaded", 2), ("orders", "loaded", 2), ("products", "missing", None)]
+    assert sorted(r.seller_id for r in got["sellers"]) == ["s1", "s2"]
+    assert sorted(r.order_id for r in got["orders"]) == [1, 2]  # synthetic key
+
+    def broken(table, df):
+        raise RuntimeError("db down")
+
+    with pytest.raises(RuntimeError):
+        load_seeds(spark, tmp_root, broken, tables=tables)
+    res = load_seeds(spark, tmp_root, broken, tables=tables, on_error="skip")
+    assert [r.status for r in res] == ["failed", "failed", "missing"] and res[0].error == "db down"
