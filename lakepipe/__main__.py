@@ -1,4 +1,4 @@
-"""Command line: ``python -m lakepipe {ingest,silver,gold} --root <lake> ...``.
+"""Command line: ``python -m lakepipe {seed,ingest,silver,gold} ...``.
 
 Meant for ``spark-submit``: the session (master, resources, the shared
 ``spark.checkpoint.dir``) comes from the submit configuration.
@@ -37,6 +37,14 @@ def _args(argv):
     ing.add_argument("--jdbc-partitions", type=int, default=1)
     ing.add_argument("--run-date", default=dt.date.today().isoformat())
 
+    sd = sub.add_parser("seed", help="seed CSV / zipped CSV files -> source database tables (append)")
+    sd.add_argument("--data-dir", required=True)
+    sd.add_argument("--host", default=os.environ.get("LAKEPIPE_DB_HOST"))
+    sd.add_argument("--port", default=os.environ.get("LAKEPIPE_DB_PORT", "5432"))
+    sd.add_argument("--database", default=os.environ.get("LAKEPIPE_DB_NAME"))
+    sd.add_argument("--user", default=os.environ.get("LAKEPIPE_DB_USER"))
+    sd.add_argument("--skip-failed", action="store_true", help="report a failed table and go on")
+
     sil = sub.add_parser("silver", help="bronze -> silver (stream, availableNow)")
     sil.add_argument("--root", required=True)
     sil.add_argument("--entity", action="append", help="only these entities (repeatable)")
@@ -63,6 +71,14 @@ def main(argv=None) -> int:
     from lakepipe.clock import Clock
     from lakepipe.sources.layout import LakeLayout
 
+    if a.cmd == "seed":
+        from lakepipe.sources.jdbc import JdbcOptions
+        from lakepipe.sources.seed import jdbc_sink, load_seeds
+
+        opts = JdbcOptions(a.host, a.port, a.database, a.user, os.environ.get("LAKEPIPE_DB_PASSWORD", ""))
+        res = load_seeds(spark, a.data_dir, jdbc_sink(opts), on_error="skip" if a.skip_failed else "raise")
+        print(json.dumps([{"table": r.table, "status": r.status, "rows": r.rows, "error": r.error} for r in res]))
+        return 0
     lake = LakeLayout(a.root)
     if a.cmd == "ingest":
         from lakepipe.plans.ingest import TABLE_SPECS, WatermarkStore, backfill, ingest_all, jdbc_source
