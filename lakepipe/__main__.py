@@ -44,6 +44,8 @@ def _args(argv):
     sd.add_argument("--database", default=os.environ.get("LAKEPIPE_DB_NAME"))
     sd.add_argument("--user", default=os.environ.get("LAKEPIPE_DB_USER"))
     sd.add_argument("--skip-failed", action="store_true", help="report a failed table and go on")
+    sd.add_argument("--translation", action="store_true",
+                    help="load only the category translation file (key generated by the database)")
 
     sil = sub.add_parser("silver", help="bronze -> silver (stream, availableNow)")
     sil.add_argument("--root", required=True)
@@ -73,10 +75,14 @@ def main(argv=None) -> int:
 
     if a.cmd == "seed":
         from lakepipe.sources.jdbc import JdbcOptions
-        from lakepipe.sources.seed import jdbc_sink, load_seeds
+        from lakepipe.sources.seed import TRANSLATION_SEED, jdbc_sink, load_seeds
 
         opts = JdbcOptions(a.host, a.port, a.database, a.user, os.environ.get("LAKEPIPE_DB_PASSWORD", ""))
-        res = load_seeds(spark, a.data_dir, jdbc_sink(opts), on_error="skip" if a.skip_failed else "raise")
+        tables = TRANSLATION_SEED if a.translation else None
+        res = load_seeds(spark, a.data_dir, jdbc_sink(opts), tables=tables,
+                         on_error="skip" if a.skip_failed else "raise")
+        if a.translation and res[0].status == "missing":
+            raise SystemExit(f"seed file not found: {res[0].file}")
         print(json.dumps([{"table": r.table, "status": r.status, "rows": r.rows, "error": r.error} for r in res]))
         return 0
     lake = LakeLayout(a.root)

@@ -40,6 +40,9 @@ SEED_TABLES = {
     "olist_sellers_dataset.csv": "sellers",
     "olist_geolocation_dataset.csv": "geolocation",
 }
+# The category translation is loaded on its own; its key is generated by
+# the database (auto-increment), so no synthetic key is added here.
+TRANSLATION_SEED = {"product_category_name_translation.csv": "product_category_name_translation"}
 SEED_PRIMARY_KEYS = {
     "customers": "customer_id",
     "orders": "order_id",
@@ -206,7 +209,8 @@ def load_seeds(
     when the primary key is missing, date/time columns) and append it with
     ``sink(table, df)``.  A missing file is reported and skipped.  A failed
     table raises, or with ``on_error="skip"`` is reported and the loop goes
-    on.  Row counts are observed on the write itself."""
+    on.  Row counts are observed on the write itself, so ``sink`` must
+    write (run) the frame it is given."""
     tables = SEED_TABLES if tables is None else tables
     primary_keys = SEED_PRIMARY_KEYS if primary_keys is None else primary_keys
     out = []

@@ -79,3 +79,16 @@ def test_load_seeds_loop(spark, tmp_root):
         load_seeds(spark, tmp_root, broken, tables=tables)
     res = load_seeds(spark, tmp_root, broken, tables=tables, on_error="skip")
     assert [r.status for r in res] == ["failed", "failed", "missing"] and res[0].error == "db down"
+
+
+def test_translation_seed_has_no_synthetic_key(spark, tmp_root):
+    from lakepipe.sources.seed import TRANSLATION_SEED, load_seeds
+
+    with open(tmp_root + "/product_category_name_translation.csv", "w") as f:
+        f.write("Product_Category_Name,Product_Category_Name_English\nbeleza,beauty\nbeleza,beauty\n")
+    got = {}
+    res = load_seeds(spark, tmp_root, lambda t, df: got.__setitem__(t, (df.columns, df.collect())),
+                     tables=TRANSLATION_SEED)
+    assert res[0].status == "loaded" and res[0].rows == 1
+    cols, rows_ = got["product_category_name_translation"]
+    assert cols == ["product_category_name", "product_category_name_english"] and len(rows_) == 1
