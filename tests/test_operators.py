@@ -180,3 +180,18 @@ def test_broadcast_gate_bounds_rows_and_bytes(spark):
     assert has_at_most(df, 100, 1800) and not has_at_most(df, 99) and not has_at_most(df, 100, 1799)
     # the bounded job stops after max_rows + 1 rows
     assert measure(spark.range(10_000_000), 10)[0] == 11
+
+
+def test_append_scalar_row(spark):
+    from pyspark.sql import functions as F
+
+    from lakepipe.operators.scalar import append_scalar_row
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    one = df.agg(F.sum("id").alias("total"), F.count(F.lit(1)).alias("n"))
+    out = append_scalar_row(df, one)
+    assert out.columns == ["id", "v", "total", "n"]
+    assert rows(out) == [(1, "a", 3, 2), (2, "b", 3, 2)]
+    # more than one row is an error, never a multiplication of rows
+    with pytest.raises(Exception):
+        append_scalar_row(df, df.select("id")).collect()
