@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakepipe.session import scratch_path
 from lakepipe.sources.layout import hadoop_fs, list_dirs
@@ -198,6 +199,9 @@ class BucketedTable:
 
     def with_bucket(self, df: DataFrame) -> DataFrame:
         if self.range_width:
+            kind = df.schema[self.keys[0]].dataType
+            if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+                raise ValueError(f"range layout needs an integral key, {self.keys[0]} is {kind.simpleString()}")
             return df.withColumn(BUCKET_COL, range_of(self.keys[0], self.range_width))
         return df.withColumn(BUCKET_COL, bucket_of(self.keys, self.buckets))
 

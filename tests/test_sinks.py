@@ -81,6 +81,8 @@ def test_range_layout_new_keys_touch_only_newest_range(spark, tmp_root):
 
     with pytest.raises(ValueError):
         BucketedTable(spark, tmp_root + "/r", ["id"], 10).exists()
+    with pytest.raises(ValueError):  # text keys cannot be ranged
+        BucketedTable(spark, tmp_root + "/s", ["v"], range_width=10).with_bucket(batch)
 
 
 def test_write_gold_modes(spark, tmp_root):
