@@ -2,8 +2,9 @@
 
 Both take the current table and a batch and return the table's next
 content; the sinks in ``lakepipe.sinks`` decide how that content is stored.
-The batch side of every join is broadcast only when a bounded count shows
-it is small (the usual micro-batch); otherwise the join shuffles on the key.
+The batch side of every join is broadcast only when one bounded job shows
+it is small in rows and bytes (the usual micro-batch); otherwise the join
+shuffles on the key.
 """
 
 from __future__ import annotations
