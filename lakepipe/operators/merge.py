@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakepipe.clock import SYSTEM_CLOCK, Clock
 from lakepipe.operators.quality import assert_unique
-from lakepipe.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+from lakepipe.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 SCD2_COLUMNS = ("is_current", "effective_date", "end_date")
 
@@ -33,6 +33,7 @@ def upsert_df(
     updated_col: str | None = None,
     guard_stale: bool = False,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *.
 
@@ -48,12 +49,12 @@ def upsert_df(
         s = batch.select(*keys, F.col(updated_col).alias("_s_upd"))
         t = target.select(*keys, F.col(updated_col).alias("_t_upd"))
         stale = (
-            t.join(broadcast_if_small(s, max_broadcast_rows), keys, "inner")
+            t.join(broadcast_if_small(s, max_broadcast_rows, max_broadcast_bytes), keys, "inner")
             .filter(F.col("_t_upd") > F.col("_s_upd"))
             .select(*keys)
         )
         batch = batch.join(stale, keys, "left_anti")
-    batch_keys = broadcast_if_small(batch.select(*keys), max_broadcast_rows)
+    batch_keys = broadcast_if_small(batch.select(*keys), max_broadcast_rows, max_broadcast_bytes)
     kept = target.join(batch_keys, keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
@@ -77,6 +78,7 @@ def scd2_df(
     expire_missing: bool = False,
     check_unique: bool = True,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Next content of an SCD-2 history table.
 
@@ -116,7 +118,7 @@ def scd2_df(
             *keys, F.col("_same").isNull().alias("_chg")
         )
 
-    marked = target.join(broadcast_if_small(flags, max_broadcast_rows), keys, "left")
+    marked = target.join(broadcast_if_small(flags, max_broadcast_rows, max_broadcast_bytes), keys, "left")
     present = F.col("_chg").isNotNull()
     expire = F.col("is_current") & (
         F.coalesce(F.col("_chg"), F.lit(False)) | (F.lit(expire_missing) & ~present)

@@ -195,3 +195,16 @@ def test_append_scalar_row(spark):
     # more than one row is an error, never a multiplication of rows
     with pytest.raises(Exception):
         append_scalar_row(df, df.select("id")).collect()
+
+
+def test_upsert_byte_bound_falls_back_to_shuffle(spark):
+    tgt = spark.createDataFrame([(i, "t", T1) for i in range(10)], SCHEMA)
+    bat = spark.createDataFrame([(i, "b", T2) for i in range(5, 15)], SCHEMA)
+    small = upsert_df(tgt, bat, "id")
+    out = upsert_df(tgt, bat, "id", max_broadcast_bytes=8)  # 10 keys x 8 bytes > 8 bytes
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert hinted(small) and not hinted(out)
+    assert rows(out) == rows(small)
