@@ -47,6 +47,7 @@ def main() -> None:
     qs = catalog.queries()
     names = only or HEADLINE
     timings: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         fn = qs[name]
 
@@ -55,8 +56,13 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()  # warm-up: JIT, file listing caches, Python imports
-        timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        try:
+            once()  # warm-up: JIT, file listing caches, Python imports
+            timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        except Exception as e:  # noqa: BLE001 - reported in the JSON, the other queries still run
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"# {name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
+            continue
         print(f"# {name}: {timings[name]}s", file=sys.stderr, flush=True)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -70,6 +76,7 @@ def main() -> None:
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "runs": runs,
+                **({"failed": failed} if failed else {}),
             }
         )
     )
