@@ -127,13 +127,16 @@ def upsert(
     """Micro-batch upsert: drop NULL keys, keep the latest row per key, then
     insert new keys and replace matched ones (create on first write)."""
     keys = [pk] if isinstance(pk, str) else list(pk)
-    if _is_empty(batch):
-        return WriteReport(table.root, "skipped-empty")
     batch = batch.filter(not_null_condition(keys))
     if dedup:
         batch = dedup_latest(batch, keys, updated_col)
+    # Cached before the emptiness probe: the probe's shuffle output and
+    # cached blocks are reused by the writes, so the micro-batch source is
+    # read once.  A batch without a single keyed row writes nothing.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if _is_empty(batch):
+            return WriteReport(table.root, "skipped-empty")
         if isinstance(table, VersionedTable):
             if not table.exists():
                 table.commit(batch)
@@ -170,12 +173,13 @@ def scd2_apply(
     updated keys are rewritten -- all of them when ``expire_missing``."""
     if not pk:
         raise ValueError("primary_key is required for SCD-2")
-    if _is_empty(updates):
-        return WriteReport(table.root, "skipped-empty")
-    # The updates feed a uniqueness check, the key flags and the insert:
-    # computed once, reused (recomputed from lineage if an executor is lost).
+    # The updates feed the emptiness probe, a uniqueness check, the key
+    # flags and the insert: computed once, reused (recomputed from lineage
+    # if an executor is lost).
     updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if _is_empty(updates):
+            return WriteReport(table.root, "skipped-empty")
         if isinstance(table, VersionedTable):
             target = table.read() if table.exists() else None
             table.commit(scd2_df(target, updates, pk, clock, compare_cols, expire_missing))
