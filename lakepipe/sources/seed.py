@@ -55,18 +55,37 @@ SEED_PRIMARY_KEYS = {
 }
 
 
+def _quote_open_after(line: str, open_: bool, delimiter: str = ",") -> bool:
+    """Whether a quoted field is still open at the end of ``line``.
+
+    A quote opens a quoted field only at the start of a field; inside one,
+    a doubled quote is a literal quote and a single quote closes it.  A
+    quote in the middle of an unquoted field (``5" screen``) is a plain
+    character.  Only the quote characters of the line are visited."""
+    i = line.find('"')
+    while i != -1:
+        if open_:
+            if line.startswith('""', i):
+                i = line.find('"', i + 2)
+                continue
+            open_ = False
+        elif i == 0 or line[i - 1] == delimiter:
+            open_ = True
+        i = line.find('"', i + 1)
+    return open_
+
+
 def csv_records(lines):
-    """Physical lines (with their line endings) -> CSV records.  A record
-    goes on while it holds an odd number of double quotes, i.e. while a
-    quoted field is still open (a doubled quote inside a field counts two
-    and keeps the parity).  Newlines inside a field are kept as written."""
-    rec, quotes = [], 0
+    """Physical lines (with their line endings) -> CSV records: a record
+    goes on while one of its quoted fields is still open.  Newlines inside
+    a field are kept as written."""
+    rec, open_ = [], False
     for line in lines:
         rec.append(line)
-        quotes += line.count('"')
-        if quotes % 2 == 0:
+        open_ = _quote_open_after(line, open_)
+        if not open_:
             yield "".join(rec).rstrip("\r\n")
-            rec, quotes = [], 0
+            rec = []
     if rec:
         yield "".join(rec).rstrip("\r\n")
 

@@ -38,16 +38,19 @@ def test_quoted_newlines_and_doubled_quotes(spark, tmp_root):
     stay in their field, zipped or plain."""
     from lakepipe.sources.seed import csv_records
 
-    text = 'review_id,comment,score\r\nr1,"good, fast\r\nwould buy ""again""",5\r\nr2,plain,3\r\n'
+    text = ('review_id,comment,score\r\nr1,"good, fast\r\nwould buy ""again""",5\r\nr2,plain,3\r\n'
+            'r3,a 5" screen,4\r\nr4,"x",2\r\n')
     assert list(csv_records(text.splitlines(keepends=True))) == [
-        "review_id,comment,score", 'r1,"good, fast\r\nwould buy ""again""",5', "r2,plain,3"]
+        "review_id,comment,score", 'r1,"good, fast\r\nwould buy ""again""",5', "r2,plain,3",
+        'r3,a 5" screen,4', 'r4,"x",2']
     # (Spark's multi-line reader turns CRLF inside a field into LF; use LF.)
     text = text.replace("fast\r\nwould", "fast\nwould")
     with zipfile.ZipFile(tmp_root + "/reviews.csv.zip", "w") as z:
         z.writestr("reviews.csv", text)
     with open(tmp_root + "/plain_reviews.csv", "w", newline="") as f:
         f.write(text)
-    want = [("r1", 'good, fast\nwould buy "again"', "5"), ("r2", "plain", "3")]
+    want = [("r1", 'good, fast\nwould buy "again"', "5"), ("r2", "plain", "3"), ("r3", 'a 5" screen', "4"),
+            ("r4", "x", "2")]
     for p in ("/reviews.csv", "/plain_reviews.csv"):
         df = read_csv_seed(spark, tmp_root + p)
         assert sorted(tuple(r) for r in df.collect()) == want, p
