@@ -47,6 +47,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakepipe.llm.ngram_join import jaccard_components
+
+    return jaccard_components(_table(spark, sf_dir, "documents"), n=3, threshold=(90, 100))
+
+
 @_query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakepipe.llm.mixing import mix_sources
