@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-_SLICE = 1 << 14
+_SLICE = 1 << 15
 
 
 def cell_of(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -26,14 +26,21 @@ def cell_counts(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.
     step = min(size, _SLICE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, np.uint32)
         for batch in batches:
             for h in hashes(batch):
-                total += np.bincount(cell_of(h, bits), minlength=size)
+                if len(h) > size >> 3:
+                    total += np.bincount(cell_of(h, bits), minlength=size).astype(np.uint32)
+                else:
+                    cell, n = np.unique(cell_of(h, bits), return_counts=True)
+                    total[cell] += n.astype(np.uint32)
         if total.any():
             parts = [total[a : a + step] for a in range(0, size, step)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(parts)), pa.int32()), pa.array([p.astype("<i8").tobytes() for p in parts], pa.binary())],
+                [
+                    pa.array(range(len(parts)), pa.int32()),
+                    pa.array([p.astype("<u1" if p.max() < 256 else "<u4").tobytes() for p in parts], pa.binary()),
+                ],
                 ["slice", "counts"],
             )
 
@@ -41,7 +48,7 @@ def cell_counts(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[k] = sums.get(k, 0) + np.frombuffer(b, "<i8")
+                sums[k] = sums.get(k, 0) + np.frombuffer(b, "<u1" if len(b) == step else "<u4").astype(np.int64)
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums), pa.int32()), pa.array([v.astype("<i8").tobytes() for v in sums.values()], pa.binary())],

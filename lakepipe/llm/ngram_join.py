@@ -8,8 +8,8 @@ holds every pair; its entries are overlap counts, and a pair is discarded when
 its sizes, or its count plus what may follow the last shared column, cannot
 reach the threshold.  What is left is verified on the whole sets.
 
-Copies of one set are one row.  A column's rows are first paired with their
-smallest row only, so a group of near copies costs as many pairs as it has
+Copies of one set are one row.  A column's rows are first paired with one of
+them only, so a group of near copies costs as many pairs as it has
 members; the links found give components, and the product then runs over the
 columns that still hold different components, for pairs of different ones.  No
 link between components is missed, and no group is expanded into all its pairs.
@@ -29,7 +29,7 @@ from lakepipe.llm.cells import cell_counts, cell_of
 from lakepipe.llm.components import components
 from lakepipe.session import scratch_path
 
-_CELLS = 18
+_CELLS = 22
 _SALT = 512  # about so many comparisons with one document go to one group
 
 
@@ -49,8 +49,7 @@ def _incidence(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
             yield tx.gram_hashes(words, n)
 
     cells = cell_counts(rows.select("t"), grams, _CELLS)
-    rank = np.zeros(len(cells), np.uint64)
-    rank[cells > 0] = np.floor(2 * np.log2(cells[cells > 0])).astype(np.uint64)
+    rank = np.minimum(np.floor(8 * np.log2(np.maximum(cells, 1))), 255).astype(np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,7 +61,7 @@ def _incidence(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     sizes.append(size)
                     fps.append(_fingerprint(s))
                     length = size - (num * size + den - 1) // den + 1 if size else 0
-                    column = (rank[cell_of(s, _CELLS)] << np.uint64(56)) | (s >> np.uint64(8))
+                    column = (rank[cell_of(s, _CELLS)].astype(np.uint64) << np.uint64(55)) | (s >> np.uint64(9))
                     column = np.partition(column, length - 1)[:length] if length < size else column
                     column.sort()
                     prefixes.append(column.astype(np.int64))
@@ -193,17 +192,23 @@ def jaccard_components(
     sets = spark.read.parquet(f"{path}/sets")
 
     columns = sets.select("v", "n", F.posexplode("prefix").alias("pos", "k"))
-    shared = columns.groupBy("k").agg(F.min("v").alias("head"), F.count("*").alias("c")).where("c > 1").select("k", "head")
+    shared = columns.groupBy("k").agg(F.min(F.struct("pos", "v")).alias("head"), F.count("*").alias("c"))
+    shared = shared.where("c > 1").select("k", F.col("head.pos").alias("head_pos"), F.col("head.v").alias("head"))
     columns.join(shared, "k").write.parquet(f"{path}/block")
     block = spark.read.parquet(f"{path}/block")
 
-    def sized(a: str, b: str) -> F.Column:
-        return (F.col(a) * den >= F.col(b) * num) & (F.col(b) * den >= F.col(a) * num)
+    def reaches(most, n: str, m: str):
+        """Can an overlap of ``most`` make sets of these sizes similar enough?  (It holds the bound on the sizes as well.)"""
+        return most * (num + den) >= (F.col(n) + F.col(m)) * num
 
-    # Each column's rows with its smallest row.
+    # Each column's rows with its head, the row with the fewest rarer columns: in a group of near copies, the one least changed.
     size = sets.select(F.col("v").alias("head"), F.col("n").alias("head_n"))
     stars = (
-        block.where("v <> head").select("head", "v", "n").distinct().join(size, "head").where(sized("n", "head_n"))
+        block.where("v <> head")
+        .groupBy("head", "v")
+        .agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("head_pos").alias("head_pos"))
+        .join(size, "head")
+        .where(reaches(F.least(F.col("n") - F.col("pos"), F.col("head_n") - F.col("head_pos")), "n", "head_n"))
         .select(F.col("head").alias("a"), F.col("v").alias("b"))
     )
     stars.write.parquet(f"{path}/stars")
@@ -217,14 +222,15 @@ def jaccard_components(
     labelled.join(mixed, "k", "left_semi").write.parquet(f"{path}/mixed")
     left = spark.read.parquet(f"{path}/mixed")
     right = left.select("k", F.col("v").alias("w"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("root").alias("other"))
+    # A pair's first common column leaves at most this overlap; later ones that leave too little add nothing to the count below.
+    after = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at"))
     product = (
         left.join(right, "k")
-        .where((F.col("v") < F.col("w")) & (F.col("root") != F.col("other")) & sized("n", "m"))
+        .where((F.col("v") < F.col("w")) & (F.col("root") != F.col("other")) & reaches(after, "n", "m"))
         .groupBy("v", "w")
         .agg(F.count("*").alias("overlap"), F.max("pos").alias("pos"), F.max("at").alias("at"), F.min("n").alias("n"), F.min("m").alias("m"))
     )
-    most = F.col("overlap") + F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) - 1
-    pairs = product.where(most * (num + den) >= (F.col("n") + F.col("m")) * num).select(F.col("v").alias("a"), F.col("w").alias("b"))
+    pairs = product.where(reaches(F.col("overlap") + after - 1, "n", "m")).select(F.col("v").alias("a"), F.col("w").alias("b"))
     pairs = pairs.join(stars, ["a", "b"], "left_anti")
     pairs.write.parquet(f"{path}/pairs")
     pairs = spark.read.parquet(f"{path}/pairs")
