@@ -24,6 +24,13 @@ def _bucket(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+@_query
+def op1_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakepipe.llm.quality import quality_scores
+
+    return quality_scores(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakepipe.llm.kneser_ney import lm_scores
@@ -31,6 +38,28 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"), _bucket(7) == 2)
 
 
+@_query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakepipe.llm.secret_scan import secret_findings, train
+
+    docs = _table(spark, sf_dir, "documents")
+    return secret_findings(docs, train(docs))
+
+
+@_query
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakepipe.llm.cross_polytope import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakepipe.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _bucket(5) == 0)
+
+
 @_query
 def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakepipe.llm.tiling import contaminated

@@ -68,12 +68,16 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         at = end
 
 
-def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+LETTERS = _WORD.copy()  # as words, but ASCII punctuation ends a run too
+LETTERS[[b for b in range(128) if not chr(b).isalnum()]] = False
+
+
+def word_bounds(data: np.ndarray, off: np.ndarray, table: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each text the index of its first word (one more at the end)."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    word = _WORD[data]
+    word = table[data]
     cut = np.zeros(n + 1, bool)  # a text starts here
     cut[off] = True
     left = np.empty(n, bool)
