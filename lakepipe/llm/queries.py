@@ -53,6 +53,13 @@ def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@_query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakepipe.llm.pii import personal_data
+
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakepipe.llm.toxicity import toxicity_scores

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakepipe.llm import text as tx
 
@@ -161,7 +162,7 @@ def contaminated(
     schema = f"i {ids}, item {items_type}, item_words long, covered long"
     out = None
     for block in _blocks(benchmark.select(item_id, item_text), block_bytes):
-        part = rows.mapInArrow(_matcher(Items.of(block, min_match), min_match, coverage, schema, benchmark.schema[item_id].dataType), schema)
+        part = rows.mapInArrow(_matcher(Items.of(block, min_match), min_match, coverage, benchmark.schema[item_id].dataType), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = docs.sparkSession.createDataFrame([], schema)
@@ -187,30 +188,33 @@ def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple]]:
         yield block
 
 
-def _matcher(items: Items, min_match: int, coverage: float, schema: str, item_type):
-    from pyspark.sql.pandas.types import to_arrow_type
+def _covered(part: pa.RecordBatch, text_col: str, items: Items, min_match: int, coverage: float) -> list[tuple[int, int, int]]:
+    """(text, item, covered words) of the texts of a slice that reach the coverage."""
+    words, first = tx.word_hashes(*tx.texts(part.column(text_col)))
+    found = []
+    for (t, o), seeds in sorted(seeded_regions(words, first, items, min_match).items()):
+        item = items.words[o]
+        if len(item) >= min_match:
+            got = covered_words(words, seeds, item, min_match, len(item))
+            if got >= coverage * len(item):
+                found.append((t, o, got))
+    return found
 
+
+def _matcher(items: Items, min_match: int, coverage: float, item_type):
     id_type = to_arrow_type(item_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.chunks(batch, "t"):
-                words, first = tx.word_hashes(*tx.texts(part.column("t")))
-                found = []
-                for (t, o), seeds in sorted(seeded_regions(words, first, items, min_match).items()):
-                    item = items.words[o]
-                    if len(item) < min_match:
-                        continue
-                    got = covered_words(words, seeds, item, min_match, len(item))
-                    if got >= coverage * len(item):
-                        found.append((t, items.ids[o], len(item), got))
+                found = _covered(part, "t", items, min_match, coverage)
                 if found:
-                    t, o, n, c = zip(*found)
+                    t, o, c = zip(*found)
                     yield pa.RecordBatch.from_arrays(
                         [
                             part.column("i").take(pa.array(t, pa.int64())),
-                            pa.array(o, id_type),
-                            pa.array(n, pa.int64()),
+                            pa.array([items.ids[k] for k in o], id_type),
+                            pa.array([len(items.words[k]) for k in o], pa.int64()),
                             pa.array(c, pa.int64()),
                         ],
                         ["i", "item", "item_words", "covered"],
@@ -219,7 +223,28 @@ def _matcher(items: Items, min_match: int, coverage: float, schema: str, item_ty
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` without those found contaminated, all columns kept; rows with a null id stay."""
-    found = contaminated(docs, benchmark, id_col=id_col, **options).select(id_col).distinct()
-    return docs.join(found, id_col, "left_anti").select(docs.columns)
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    min_match: int = 5,
+    coverage: float = 0.5,
+    block_bytes: int = 32 << 20,
+    text_col: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, all columns kept; each row is judged by its own text."""
+
+    def keep(items: Items):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in tx.chunks(batch, text_col):
+                    clean = np.ones(part.num_rows, bool)
+                    clean[[t for t, _, _ in _covered(part, text_col, items, min_match, coverage)]] = False
+                    yield part.filter(pa.array(clean))
+
+        return run
+
+    for block in _blocks(benchmark.select(item_id, item_text), block_bytes):
+        docs = docs.mapInArrow(keep(Items.of(block, min_match)), docs.schema)
+    return docs

@@ -192,8 +192,24 @@ def toxicity_scores(
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.5, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``threshold``, all columns kept; rows of a null id stay."""
-    found = toxicity_scores(docs, labels, held_out, id_col=id_col, **options)
-    bad = found.where(F.col("score") >= threshold).select(id_col).distinct()
-    return docs.join(bad, id_col, "left_anti").select(docs.columns)
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    held_out: Column,
+    threshold: float = 0.5,
+    label_col: str = "toxic",
+    max_rows: int = 4000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, all columns kept; each row is judged by its own text."""
+    held = F.coalesce(held_out, F.lit(False))
+    model = train(labelled_sample(docs, labels, ~held, label_col, max_rows, id_col, text_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tx.chunks(batch, text_col):
+                score = model.score(*tx.texts(part.column(text_col)))
+                yield part.filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
