@@ -29,7 +29,7 @@ from lakepipe.llm.cells import cell_counts, cell_of
 from lakepipe.llm.components import components
 from lakepipe.session import scratch_path
 
-_CELLS = 22
+_CELLS = 20
 _SALT = 512  # about so many comparisons with one document go to one group
 
 
@@ -161,6 +161,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, n: int, num: i
     return spark.read.parquet(f"{path}/links")
 
 
+def _bounded(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose whole first blocks leave room for the threshold.
+
+    Up to the smaller of the two blocks' ends both sets are known in full: the
+    overlap is at most what they share there plus the smaller rest.
+    """
+    one = sets.select(F.col("v").alias("a"), F.col("n").alias("an"), F.col("prefix").alias("ap"))
+    two = sets.select(F.col("v").alias("b"), F.col("n").alias("bn"), F.col("prefix").alias("bp"))
+    end = F.least(F.element_at("ap", -1), F.element_at("bp", -1))
+    known = lambda p: F.size(F.filter(p, lambda x: x <= F.col("end")))
+    rest = F.least(F.col("an") - known("ap"), F.col("bn") - known("bp"))
+    both = F.size(F.array_intersect("ap", "bp"))
+    return (
+        pairs.join(one, "a").join(two, "b").withColumn("end", end)
+        .where((both + rest) * (num + den) >= (F.col("an") + F.col("bn")) * num)
+        .select("a", "b")
+    )
+
+
 def jaccard_components(
     docs: DataFrame,
     n: int = 5,
@@ -211,7 +230,7 @@ def jaccard_components(
         .where(reaches(F.least(F.col("n") - F.col("pos"), F.col("head_n") - F.col("head_pos")), "n", "head_n"))
         .select(F.col("head").alias("a"), F.col("v").alias("b"))
     )
-    stars.write.parquet(f"{path}/stars")
+    _bounded(stars, sets, num, den).write.parquet(f"{path}/stars")
     stars = spark.read.parquet(f"{path}/stars")
     links = _verified(stars, sets, rows, n, num, den, f"{path}/first")
     comps = components(links, f"{path}/components-first")
@@ -232,7 +251,7 @@ def jaccard_components(
     )
     pairs = product.where(reaches(F.col("overlap") + after - 1, "n", "m")).select(F.col("v").alias("a"), F.col("w").alias("b"))
     pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    pairs.write.parquet(f"{path}/pairs")
+    _bounded(pairs, sets, num, den).write.parquet(f"{path}/pairs")
     pairs = spark.read.parquet(f"{path}/pairs")
     if pairs.head(1):
         links = links.unionByName(_verified(pairs, sets, rows, n, num, den, f"{path}/second"))
