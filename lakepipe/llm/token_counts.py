@@ -69,7 +69,7 @@ class JsonTokenizer:
 
 
 class PieceTokenizer:
-    """A ``sentencepiece`` model; pieces carry byte offsets of the encoded text."""
+    """A ``sentencepiece`` model; its byte offsets are turned into characters."""
 
     separable = False
 
@@ -82,11 +82,11 @@ class PieceTokenizer:
         return [len(ids) for ids in self._inner.encode(texts, num_threads=1)]
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        proto = self._inner.encode_as_immutable_proto(text)
-        return (
-            np.array([p.id for p in proto.pieces], np.int64),
-            np.array([(p.begin, p.end) for p in proto.pieces], np.int64).reshape(-1, 2),
-        )
+        pieces = self._inner.encode_as_proto(text).pieces
+        raw = np.frombuffer(text.encode(), np.uint8)
+        char = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # characters begun before each byte
+        off = char[np.array([(p.begin, p.end) for p in pieces], np.int64).reshape(-1, 2)]
+        return np.array([p.id for p in pieces], np.int64), off
 
 
 def load(path: str):
