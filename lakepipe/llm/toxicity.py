@@ -159,7 +159,7 @@ def toxicity_scores(
     labels: DataFrame,
     held_out: Column,
     label_col: str = "toxic",
-    max_rows: int = 4000,
+    max_rows: int = 2000,
     id_col: str = "doc_id",
     text_col: str = "text",
     terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
@@ -198,7 +198,7 @@ def drop_toxic(
     held_out: Column,
     threshold: float = 0.5,
     label_col: str = "toxic",
-    max_rows: int = 4000,
+    max_rows: int = 2000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
