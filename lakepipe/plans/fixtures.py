@@ -92,12 +92,13 @@ def v_payment(t: Tables) -> DataFrame:
 
 
 def v_booking(t: Tables) -> DataFrame:
-    li = t.lineitem.filter(F.col("l_quantity") <= 10)
+    # Every line item is a booking; some belong to no user or to a session that is not known, so both sides of the joins occur.
+    li = t.lineitem
     o = t.orders.select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.col("o_custkey").alias("userId"),
-        F.col("l_partkey").alias("sessionId"),
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("userId"),
+        F.when(F.col("l_partkey") % 9 != 0, F.col("l_partkey")).otherwise(F.col("l_partkey") + 1_000_000_000).alias("sessionId"),
         F.when(F.col("l_returnflag") == "A", "COMPLETED")
         .when(F.col("l_returnflag") == "R", "CANCELLED")
         .otherwise("BOOKED")
@@ -132,11 +133,11 @@ def v_sub(t: Tables) -> DataFrame:
     # The plan id wraps around the number of parts: a global count, used as
     # a scalar subquery (computed once, no join).
     n_parts = t.part.agg(F.count(F.lit(1)).alias("n_parts"))
-    s = t.supplier.filter(F.col("s_nationkey") % 6 != 0)
+    s = t.supplier
     base = F.lit("2000-01-01 00:00:00").cast("timestamp")
     return append_scalar_row(s, n_parts).select(
         F.col("s_suppkey").alias("id"),
-        F.col("s_nationkey").alias("fitnessCenterId"),
+        F.when(F.col("s_nationkey") % 6 != 0, F.col("s_nationkey")).otherwise(F.col("s_nationkey") + 1000).alias("fitnessCenterId"),
         ((F.col("s_suppkey") * 7) % F.col("n_parts")).alias("membershipPlanId"),
         F.when(F.col("s_acctbal") > 0, "ACTIVE").otherwise("EXPIRED").alias("status"),
         (base + _days((F.col("s_suppkey") % 90).cast("int"))).alias("createdAt"),
@@ -157,9 +158,10 @@ VIEW_SQL = {
         "from orders join customer on o_custkey=c_custkey"
     ),
     "v_booking": (
-        "select l_orderkey*10+l_linenumber id, o_custkey userId, l_partkey sessionId, "
+        "select l_orderkey*10+l_linenumber id, case when o_custkey%7<>0 then o_custkey end userId, "
+        "case when l_partkey%9<>0 then l_partkey else l_partkey+1000000000 end sessionId, "
         "case l_returnflag when 'A' then 'COMPLETED' when 'R' then 'CANCELLED' else 'BOOKED' end status, "
-        "l_shipdate createdAt from lineitem join orders on l_orderkey=o_orderkey where l_quantity<=10"
+        "l_shipdate createdAt from lineitem join orders on l_orderkey=o_orderkey"
     ),
     "v_session": (
         "select p_partkey id, p_partkey%25 fitnessCenterId, "
@@ -170,10 +172,10 @@ VIEW_SQL = {
     ),
     "v_plan": "select p_partkey id, p_retailprice price, p_size*10 durationDays from part",
     "v_sub": (
-        "select s_suppkey id, s_nationkey fitnessCenterId, (s_suppkey*7)%(select count(*) from part) "
+        "select s_suppkey id, case when s_nationkey%6<>0 then s_nationkey else s_nationkey+1000 end fitnessCenterId, (s_suppkey*7)%(select count(*) from part) "
         "membershipPlanId, case when s_acctbal>0 then 'ACTIVE' else 'EXPIRED' end status, "
         "timestamp '2000-01-01' + to_days(cast(s_suppkey%90 as int)) createdAt "
-        "from supplier where s_nationkey%6<>0"
+        "from supplier"
     ),
 }
 

@@ -92,7 +92,7 @@ def _upsert_target(t):
 
 def _upsert_batch(t):
     c = t.customer
-    return c.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
+    return c.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY") | (F.col("c_acctbal") < 0)).select(
         F.col("c_custkey").alias("id"), F.upper("c_name").alias("c_name"), "c_mktsegment",
         (F.col("c_acctbal") + 1).alias("c_acctbal"),
         (F.lit("2001-06-01 00:00:00").cast("timestamp")
@@ -107,7 +107,7 @@ _UPSERT_CTES = """with tgt as (
 bat as (
   select c_custkey id, upper(c_name) c_name, c_mktsegment, c_acctbal + 1 c_acctbal,
          timestamp '2001-06-01' + to_days(cast(c_custkey % 29 as int)) updatedAt
-  from customer where c_mktsegment in ('BUILDING', 'MACHINERY'))
+  from customer where (c_mktsegment in ('BUILDING', 'MACHINERY') or c_acctbal < 0))
 """
 _UPSERT_SQL = _UPSERT_CTES + "select * from tgt where id not in (select id from bat) union all select * from bat"
 
@@ -177,14 +177,14 @@ _SCD_CTES = """with u1 as (
   select c_custkey id, c_name, c_mktsegment, c_acctbal from customer where c_acctbal >= 0),
 u2 as (
   select c_custkey id, upper(c_name) c_name, c_mktsegment, c_acctbal + 1 c_acctbal
-  from customer where c_mktsegment = 'BUILDING')
+  from customer where (c_mktsegment = 'BUILDING' or c_acctbal < 0))
 """
 
 
 def _scd_updates(t):
     c = t.customer
     u1 = c.filter(F.col("c_acctbal") >= 0).select(F.col("c_custkey").alias("id"), "c_name", "c_mktsegment", "c_acctbal")
-    u2 = c.filter(F.col("c_mktsegment") == "BUILDING").select(
+    u2 = c.filter((F.col("c_mktsegment") == "BUILDING") | (F.col("c_acctbal") < 0)).select(
         F.col("c_custkey").alias("id"), F.upper("c_name").alias("c_name"), "c_mktsegment",
         (F.col("c_acctbal") + 1).alias("c_acctbal"))
     return u1, u2
