@@ -33,7 +33,7 @@ def q_gold_booking_funnel(spark, sf_dir):
     "gold_center_revenue",
     with_views(
         f"""select fitnessCenterId, cast(createdAt as date) as date,
-  round(sum(amount), 2) as daily_revenue, count(distinct userId) as paying_users,
+  cast(sum(cast(amount as decimal(38,2))) as double) as daily_revenue, count(distinct userId) as paying_users,
   count(*) as transactions, {SNAPSHOT_SQL}
 from v_payment where status = 'SUCCESS' and userId is not null group by 1, 2""",
         "v_payment",
@@ -45,9 +45,9 @@ def q_gold_center_revenue(spark, sf_dir):
 
 
 _MRR_SQL = """mrr_parts as (
-  select round(sum(case when durationDays >= 365 then price end), 2) y,
-         round(sum(case when durationDays >= 90 and durationDays < 365 then price end), 2) q,
-         round(sum(case when durationDays is null or durationDays < 90 then price end), 2) m,
+  select cast(sum(case when durationDays >= 365 then cast(price as decimal(38,2)) end) as double) y,
+         cast(sum(case when durationDays >= 90 and durationDays < 365 then cast(price as decimal(38,2)) end) as double) q,
+         cast(sum(case when durationDays is null or durationDays < 90 then cast(price as decimal(38,2)) end) as double) m,
          count(distinct s.fitnessCenterId) active_centers
   from v_sub s left join v_plan p on s.membershipPlanId = p.id
   where s.status = 'ACTIVE'),
@@ -65,7 +65,7 @@ mrr as (
   mrr.MRR * 12 as ARR,
   {sround("mrr.MRR / nullif(mrr.active_centers, 0)", 2)} as avg_revenue_per_center,
   {SNAPSHOT_SQL}
-from (select cast(createdAt as date) as date, round(sum(amount), 2) as daily_platform_revenue
+from (select cast(createdAt as date) as date, cast(sum(cast(amount as decimal(38,2))) as double) as daily_platform_revenue
       from v_payment where userId is null and status = 'SUCCESS' group by 1) d
 cross join mrr""",
         "v_payment",
@@ -105,7 +105,7 @@ def q_gold_session_utilization(spark, sf_dir):
         f"""select u.*, coalesce(r.total_spend, 0.0) as total_spend, r.total_txn,
   coalesce(b.total_bookings, 0) as total_bookings, {SNAPSHOT_SQL}
 from v_user u
-left join (select userId, round(sum(amount), 2) as total_spend, count(*) as total_txn
+left join (select userId, cast(sum(cast(amount as decimal(38,2))) as double) as total_spend, count(*) as total_txn
            from v_payment where status = 'SUCCESS' group by 1) r on u.id = r.userId
 left join (select userId, count(*) as total_bookings from v_booking group by 1) b on u.id = b.userId""",
         "v_user",
@@ -131,7 +131,7 @@ _LIFECYCLE_SQL = f"""select f.id as fitnessCenterId, f.name, f.lastLoginAt,
 from v_fc f
 left join (select fitnessCenterId, min(createdAt) as first_subscription_date from v_sub group by 1) fs
   on f.id = fs.fitnessCenterId
-left join (select fitnessCenterId, round(sum(amount), 2) as total_revenue from v_payment
+left join (select fitnessCenterId, cast(sum(cast(amount as decimal(38,2))) as double) as total_revenue from v_payment
            where status = 'SUCCESS' group by 1) r on f.id = r.fitnessCenterId
 left join (select fitnessCenterId, count(*) as total_users from v_user group by 1) uc
   on f.id = uc.fitnessCenterId
@@ -280,7 +280,7 @@ def q_agg_distinct_grouped(spark, sf_dir):
     "agg_distinct_global",
     with_views(
         """select count(distinct fitnessCenterId) as centers, count(distinct userId) as users,
-  round(sum(amount), 2) as total from v_payment where status = 'SUCCESS'""",
+  cast(sum(cast(amount as decimal(38,2))) as double) as total from v_payment where status = 'SUCCESS'""",
         "v_payment",
     ),
     "AG-8",

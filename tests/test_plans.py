@@ -82,3 +82,32 @@ def test_null_user_keys_are_salted_in_shuffle_join(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_money_sums_are_exact_under_any_partitioning(spark):
+    from lakepipe.plans.gold import money_sum
+
+    df = spark.range(200_000).select((F.pmod(F.xxhash64("id"), F.lit(10**11)) / 100).alias("amount"))
+    exact = spark.range(200_000).agg(F.sum(F.pmod(F.xxhash64("id"), F.lit(10**11)))).first()[0] / 100
+    totals = {df.repartition(n).agg(money_sum("amount")).first()[0] for n in (1, 3, 7)}
+    assert totals == {exact}
+
+
+def test_subscriptions_are_counted_before_the_plan_join(spark):
+    from lakepipe.plans import fixtures as fx
+    from lakepipe.plans.gold import subscription_mrr
+
+    t = fx.Tables(spark, SF)
+    p = subscription_mrr(fx.v_sub(t), fx.v_plan(t))._jdf.queryExecution().optimizedPlan().toString()
+    lines = p.splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line)
+    assert any("Aggregate [membershipPlanId" in line for line in lines[join:])
+
+
+def test_lifetime_value_joins_its_dimension_once(spark):
+    from lakepipe.plans import fixtures as fx
+    from lakepipe.plans.gold import user_lifetime_value
+
+    t = fx.Tables(spark, SF)
+    p = user_lifetime_value(fx.v_user(t), fx.v_payment(t), fx.v_booking(t), catalog.CLOCK)
+    assert p._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
