@@ -1,10 +1,11 @@
 """Size checks that gate broadcasting.
 
-A side is broadcast only after a bounded job has shown it is small, in rows
-and in bytes: the job reads at most ``max_rows + 1`` rows (so the check never
-scans a large input to completion) and sums their size as it goes.  Fixed-
-width columns count their width, strings and binaries their actual length,
-nested values the length of their JSON text."""
+A side is broadcast only after a job has counted its rows and summed their
+size.  The job is a plain parallel aggregate (one small partial row per
+task, no limit and so no single task that gathers rows); callers measure
+batches they have cached.  Fixed-width columns count their width, strings
+and binaries their actual length, nested values the length of their JSON
+text."""
 
 from __future__ import annotations
 
@@ -42,19 +43,17 @@ def _bytes_of(field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
 
 
-def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, bytes) of at most the first ``max_rows + 1`` rows of ``df``."""
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``."""
     width = F.lit(0)
     for f in df.schema.fields:
         width = width + _bytes_of(f)
-    row = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")
-    ).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     return int(row["n"]), int(row["b"])
 
 
 def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    n, b = measure(df, max_rows)
+    n, b = measure(df)
     return n <= max_rows and (max_bytes is None or b <= max_bytes)
 
 

@@ -8,7 +8,7 @@ A crashed write leaves an uncommitted directory that readers skip.
 
 ``BucketedTable`` serves large keyed tables: rows live in
 ``_bucket = pmod(xxhash64(key), buckets)`` partitions and an upsert rewrites
-only the buckets its batch touches (dynamic partition overwrite).  For an
+only the buckets its batch touches (staged, then renamed into place).  For an
 entity whose integral key grows with time (bookings, payments), the range
 layout ``_bucket = key div range_width`` keeps a batch of new rows in the
 newest range or two, where hash buckets would send it to every bucket and
@@ -17,13 +17,14 @@ rewrite the whole table on each micro-batch.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakepipe.session import scratch_path
 from lakepipe.sources.layout import hadoop_fs, list_dirs
 
 BUCKET_COL = "_bucket"
@@ -115,8 +116,39 @@ def range_of(key: str, width: int) -> Column:
 BUCKETS_FILE = "_lakepipe_buckets"
 # Names the staged content of a bucket swap that has not finished yet.
 PENDING_FILE = "_lakepipe_pending_swap"
+# The table's columns, widened by every commit that brings new ones.
+SCHEMA_FILE = "_lakepipe_schema"
+# Staged buckets live inside the table's folder, so that they are renamed
+# into place on one file system; the underscore hides them from readers.
+STAGE_PREFIX = "_lakepipe_stage-"
 RANGE_PREFIX = "range="
 
+# Types that Parquet files of the older type can be read as.
+_WIDER = {
+    "tinyint": ("smallint", "int", "bigint"),
+    "smallint": ("int", "bigint"),
+    "int": ("bigint",),
+    "float": ("double",),
+}
+
+
+def widen_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """``old`` plus the columns only ``new`` has.  A column whose type
+    changed takes the wider type when files of the other can be read as it;
+    any other change is refused."""
+    fields = {f.name: f for f in old.fields}
+    for f in new.fields:
+        have = fields.get(f.name)
+        if have is None:
+            fields[f.name] = T.StructField(f.name, f.dataType, True)
+            continue
+        a, b = have.dataType.simpleString(), f.dataType.simpleString()
+        if b in _WIDER.get(a, ()):
+            fields[f.name] = T.StructField(f.name, f.dataType, True)
+        elif a != b and a not in _WIDER.get(b, ()):
+            raise ValueError(f"column {f.name} changed its type from {a} to {b}")
+    return T.StructType(list(fields.values()))
+
 
 class BucketedTable:
     def __init__(
@@ -161,10 +193,9 @@ class BucketedTable:
     def _check_layout(self) -> None:
         """Rows were placed with the bucket count recorded at creation; a
         different count would send keys to the wrong bucket."""
-        fs, p = hadoop_fs(self.spark, f"{self.root}/{BUCKETS_FILE}")
-        if not fs.exists(p):
-            return
         recorded = self._read_marker()
+        if recorded is None:
+            raise ValueError(f"{self.root} holds data but no layout marker: not a table made by BucketedTable")
         if recorded != self._layout():
             raise ValueError(f"{self.root} was created with layout {recorded}, not {self._layout()}")
 
@@ -187,14 +218,43 @@ class BucketedTable:
         finally:
             out.close()
 
-    def _read_marker(self) -> str:
+    def _read_marker(self) -> str | None:
         return self._read_file(BUCKETS_FILE)
 
-    def _write_marker(self) -> None:
-        self._write_file(BUCKETS_FILE, self._layout())
+    def schema(self) -> T.StructType:
+        """The recorded columns, without the bucket column (merged from the
+        files of a table that has no record yet)."""
+        text = self._read_file(SCHEMA_FILE)
+        if text is not None:
+            return T.StructType.fromJson(json.loads(text))
+        found = self.spark.read.option("mergeSchema", "true").parquet(self.root).schema
+        return T.StructType([f for f in found.fields if f.name != BUCKET_COL])
+
+    def check_columns(self, df: DataFrame) -> None:
+        """Refuse a batch whose column types cannot join the table's (a union
+        would cast them, or fail in the middle of the write)."""
+        widen_schema(self.schema(), df.schema)
+
+    def _record_schema(self, schema: T.StructType) -> None:
+        self._write_file(SCHEMA_FILE, schema.json())
+
+    def _staged(self, stage: str) -> list[str]:
+        """Bucket directories of a stage that are not in place yet."""
+        return [d for d in list_dirs(self.spark, stage) if d.startswith(f"{BUCKET_COL}=")]
 
     def read(self, with_bucket: bool = False) -> DataFrame:
-        df = self.spark.read.parquet(self.root)
+        """The whole table with every recorded column (NULL where a file was
+        written before the column came).  While a bucket swap is pending --
+        in progress, or left by a lost driver -- the buckets not in place
+        yet are read from its stage, so no rows are missing."""
+        schema = self.schema()
+        df = self.spark.read.schema(schema).parquet(self.root)
+        stage = self._read_file(PENDING_FILE)
+        staged = self._staged(stage) if stage else []
+        if staged:
+            new = self.spark.read.schema(schema).parquet(stage)
+            ids = [int(d.split("=", 1)[1]) for d in staged]
+            df = df.filter(~F.col(BUCKET_COL).isin(ids)).unionByName(new)
         return df if with_bucket else df.drop(BUCKET_COL)
 
     def with_bucket(self, df: DataFrame) -> DataFrame:
@@ -206,47 +266,62 @@ class BucketedTable:
         return df.withColumn(BUCKET_COL, bucket_of(self.keys, self.buckets))
 
     def create(self, df: DataFrame) -> None:
+        """First write.  Layout and columns are recorded before the data;
+        the table exists once its ``_SUCCESS`` does, so what a crashed
+        creation left behind is cleared by the next one."""
+        fs, p = hadoop_fs(self.spark, f"{self.root}/_SUCCESS")
+        if fs.exists(p):
+            raise ValueError(f"{self.root} already exists")
+        fs, p = hadoop_fs(self.spark, self.root)
+        fs.delete(p, True)
         b = self.with_bucket(df)
-        self._clustered(b).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(self.root)
-        self._write_marker()
+        self._write_file(BUCKETS_FILE, self._layout())
+        self._record_schema(df.schema)
+        self._clustered(b).write.mode("append").partitionBy(BUCKET_COL).parquet(self.root)
 
     def replace_buckets(self, df: DataFrame) -> None:
         """Rewrite exactly the buckets present in ``df`` (which must carry
         the bucket column).
 
-        The new content is staged under the shared checkpoint folder first
-        (it was computed from the table, which Spark cannot overwrite while
-        reading).  The swap itself replaces bucket directories one by one,
-        each as delete-then-rename, so a driver lost in between could leave
-        a bucket missing; the stage path is therefore recorded in the table
-        before the swap, and the next writer (``exists``) rolls the swap
-        forward from the stage before it reads anything.  (Readers do not
-        repair: a marker may also belong to a swap still in progress.)"""
+        The new content is staged in a hidden folder of the table first (it
+        was computed from the table, which Spark cannot overwrite while
+        reading), and its bucket directories are then renamed into place, so
+        each batch is written once.  A bucket is swapped as
+        delete-then-rename; the stage is recorded in the table before the
+        first one, readers take a bucket that is not in place yet from the
+        stage, and the next writer (``exists``) completes a swap that a lost
+        driver left.  One writer at a time."""
         if self._read_file(PENDING_FILE):
             # ``df`` was computed from a table with an unfinished swap.
             raise RuntimeError(f"{self.root}: a bucket swap is pending; call exists() or recover() first")
-        stage = scratch_path(self.spark, "bucket-stage")
-        self._clustered(df).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
+        schema = widen_schema(self.schema(), T.StructType([f for f in df.schema.fields if f.name != BUCKET_COL]))
+        stage = f"{self.root}/{STAGE_PREFIX}{uuid.uuid4().hex}"
+        self._clustered(df).write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(stage)
+        self._record_schema(schema)
         self._write_file(PENDING_FILE, stage)
         self._swap_in(stage)
 
     def _swap_in(self, stage: str) -> None:
-        (
-            self.spark.read.parquet(stage)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET_COL)
-            .parquet(self.root)
-        )
+        """Rename the staged buckets into place (metadata calls only, as many
+        as buckets were touched).  A bucket leaves the stage when it is in
+        place, so doing this again continues where it stopped."""
+        for name in self._staged(stage):
+            fs, dst = hadoop_fs(self.spark, f"{self.root}/{name}")
+            _, src = hadoop_fs(self.spark, f"{stage}/{name}")
+            fs.delete(dst, True)
+            if not fs.rename(src, dst):
+                raise OSError(f"cannot move {stage}/{name} into {self.root}")
         fs, p = hadoop_fs(self.spark, f"{self.root}/{PENDING_FILE}")
         fs.delete(p, False)
         fs, p = hadoop_fs(self.spark, stage)
         fs.delete(p, True)
+        # Cached file listings of this session still name the old files.
+        self.spark.catalog.refreshByPath(self.root)
 
     def recover(self) -> bool:
         """Finish a bucket swap that an earlier writer began but did not
-        complete (the staged buckets are written again; doing so twice
-        gives the same table).  Returns whether there was one."""
+        complete (the buckets still staged are renamed into place).  Returns
+        whether there was one."""
         stage = self._read_file(PENDING_FILE)
         if not stage:
             return False

@@ -146,6 +146,7 @@ def upsert(
         if not table.exists():
             table.create(batch)
             return WriteReport(table.root, "created")
+        table.check_columns(batch)
         b = table.with_bucket(batch)
         # One small int per touched partition reaches the driver: at most the
         # bucket count (hash layout) or the number of key ranges the batch
@@ -187,6 +188,7 @@ def scd2_apply(
         if not table.exists():
             table.create(scd2_df(None, updates, pk, clock))
             return WriteReport(table.root, "created")
+        table.check_columns(updates)
         b = table.with_bucket(updates)
         history = table.read(with_bucket=True)
         touched = None
