@@ -21,6 +21,7 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,6 @@ class TableSpec:
     name: str
     updated_column: str | None = "updatedAt"
     full_load: bool = False
-    load_type: str = "incremental"
     schedule: str = "daily"
 
 
@@ -151,6 +151,14 @@ class IngestResult:
     metrics: dict = field(default_factory=dict)
 
 
+class IngestErrors(RuntimeError):
+    """Some tables could not be ingested; the others were, watermarks included."""
+
+    def __init__(self, failed: dict[str, Exception], results: list[IngestResult]):
+        super().__init__("; ".join(f"{name}: {e}" for name, e in failed.items()))
+        self.failed, self.results = failed, results
+
+
 def ingest_table(
     spark: SparkSession,
     spec: TableSpec,
@@ -204,29 +212,37 @@ def ingest_all(
     scheduler_pool: str | None = None,
 ) -> list[IngestResult]:
     """Ingest the chosen tables.  ``parallelism > 1`` submits the per-table
-    jobs from a thread pool so small tables overlap on the cluster; the
-    watermark store is updated one table at a time either way."""
+    jobs from a thread pool so small tables overlap on the cluster (with the
+    FAIR scheduler and ``scheduler_pool`` they share it fairly).
+
+    Each table's watermark is stored as soon as that table is written (one
+    store commit at a time).  A failing table does not stop the others:
+    ``IngestErrors``, raised at the end, names the failed ones and carries
+    the results of the rest."""
     chosen = select_tables(specs, schedule)
+    store_lock = Lock()
 
-    def one(spec, update_watermark=True):
+    def one(spec):
         if scheduler_pool:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", scheduler_pool)
-        return ingest_table(spark, spec, source, layout, store, run_date, force_full, since, until,
-                            overlap_seconds, update_watermark)
-
-    if parallelism <= 1:
-        return [one(s) for s in chosen]
-    # Tables are read and written concurrently (one Spark job per thread;
-    # with the FAIR scheduler and `scheduler_pool` they share the cluster
-    # fairly).  The small watermark table is then committed once per table,
-    # in order, from this thread.
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(lambda s: one(s, update_watermark=False), chosen))
-    for spec, res in zip(chosen, results):
+        res = ingest_table(spark, spec, source, layout, store, run_date, force_full, since, until,
+                           overlap_seconds, update_watermark=False)
         if res.watermark is not None and res.rows:
-            old = store.get(spec.name)
-            if old is None or res.watermark > old:
-                store.set(spec.name, res.watermark)
+            with store_lock:
+                old = store.get(spec.name)
+                if old is None or res.watermark > old:
+                    store.set(spec.name, res.watermark)
+        return res
+
+    results, failed = [], {}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for spec, job in [(spec, pool.submit(one, spec)) for spec in chosen]:
+            try:
+                results.append(job.result())
+            except Exception as e:  # reported below, for all failed tables together
+                failed[spec.name] = e
+    if failed:
+        raise IngestErrors(failed, results)
     return results
 
 

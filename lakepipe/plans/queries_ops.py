@@ -17,6 +17,7 @@ from lakepipe.plans import gold, silver
 from lakepipe.plans.catalog import CLOCK, register
 from lakepipe.plans.fixtures import Tables, read_table, with_views
 from lakepipe.plans.ingest import TableSpec, WatermarkStore, backfill, ingest_all, ingest_table
+from lakepipe.plans.queries_silver import SILVER_ORACLES
 from lakepipe.plans.raw_sources import raw_frame, raw_sql
 from lakepipe.session import scratch_path
 from lakepipe.sinks.tables import BucketedTable, VersionedTable
@@ -136,6 +137,36 @@ def q_upsert_bucketed(spark, sf_dir):
     return _run_upsert(spark, sf_dir, "bucketed")
 
 
+@register("upsert_replay", _UPSERT_SQL, "SM-8 (a batch applied again changes nothing)")
+def q_upsert_replay(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    table = BucketedTable(spark, scratch_path(spark, "upsert-replay"), ["id"], 16)
+    for batch in (_upsert_target(t), _upsert_batch(t), _upsert_batch(t)):
+        upsert(spark, batch, table, "id", "updatedAt")
+    return table.read()
+
+
+@register(
+    "upsert_bucketed_evolve",
+    _UPSERT_CTES + """, grown as (
+  select *, null as segment_note from tgt where id not in (select id from bat)
+  union all select *, lower(c_mktsegment) as segment_note from bat)
+select id, case when id % 7 = 0 then c_name || '!' else c_name end as c_name, c_mktsegment, c_acctbal, updatedAt,
+  case when id % 7 = 0 then null else segment_note end as segment_note
+from grown""",
+    "SNK-4 (a batch adds a column, a later one lacks it)",
+)
+def q_upsert_bucketed_evolve(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    table = BucketedTable(spark, scratch_path(spark, "upsert-evolve"), ["id"], 16)
+    upsert(spark, _upsert_target(t), table, "id", "updatedAt")
+    upsert(spark, _upsert_batch(t).withColumn("segment_note", F.lower("c_mktsegment")), table, "id", "updatedAt")
+    # Lacks the column and touches every bucket: other rows keep their value.
+    last = table.read().filter(F.col("id") % 7 == 0).withColumn("c_name", F.concat("c_name", F.lit("!")))
+    upsert(spark, last.drop("segment_note"), table, "id", "updatedAt")
+    return table.read()
+
+
 @register("upsert_range", _UPSERT_SQL, "SNK-4 (key-range partition strategy)")
 def q_upsert_range(spark, sf_dir):
     return _run_upsert(spark, sf_dir, "range")
@@ -239,6 +270,33 @@ def q_scd2_bucketed(spark, sf_dir):
     return table.read()
 
 
+@register(
+    "scd2_bucketed_evolve",
+    _SCD_CTES
+    + """select u1.*, null as segment_note, id not in (select id from u2) and id % 7 <> 0 as is_current,
+  date '2001-09-01' as effective_date,
+  case when id in (select id from u2) or id % 7 = 0 then date '2001-10-01' end as end_date
+from u1
+union all
+select *, lower(c_mktsegment), id % 7 <> 0, date '2001-10-01',
+  case when id % 7 = 0 then date '2001-10-01' end from u2
+union all
+select c_custkey, c_name, c_mktsegment, c_acctbal, null, true, date '2001-10-01', null
+from customer where c_custkey % 7 = 0""",
+    "SNK-10 SNK-11 SNK-12 (a load adds a column, a later one lacks it)",
+)
+def q_scd2_bucketed_evolve(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    u1, u2 = _scd_updates(t)
+    u3 = t.customer.filter(F.col("c_custkey") % 7 == 0).select(
+        F.col("c_custkey").alias("id"), "c_name", "c_mktsegment", "c_acctbal")
+    table = BucketedTable(spark, scratch_path(spark, "scd2-evolve"), ["id"], 16)
+    scd2_apply(spark, u1, table, "id", DAY1)
+    scd2_apply(spark, u2.withColumn("segment_note", F.lower("c_mktsegment")), table, "id", DAY2)
+    scd2_apply(spark, u3, table, "id", DAY2)
+    return table.read()
+
+
 # ------------------------------------------------------------- gold writes
 # The funnel table, written twice in different ways and read back.  These
 # writer-mode probes partition by month (tens of directories); the funnel's
@@ -467,7 +525,7 @@ def _run_booking_stream(spark, sf_dir, guarded: bool):
     raw = raw_frame(spark, sf_dir, "Booking")
     root = LakeLayout(scratch_path(spark, "lake"))
     bronze = root.bronze("Booking")
-    table = VersionedTable(spark, root.silver("booking"))
+    table = BucketedTable(spark, root.silver("booking"), ["id"], 16)
     first = F.col("bookingDate").cast("timestamp") < F.lit("1998-01-01 00:00:00").cast("timestamp")
     for i, part in enumerate([raw.filter(first), raw.filter(~first | F.col("bookingDate").isNull())]):
         part.write.mode("append").parquet(bronze)
@@ -564,7 +622,6 @@ def q_seed_load_tables(spark, sf_dir):
 
 
 def _e2e_oracle() -> str:
-    from lakepipe.plans.queries_silver import SILVER_ORACLES
 
     order = "updatedAt desc nulls last, userId, sessionId, fitnessCenterId, bookingDate, status, createdAt"
     return f"""with c as ({SILVER_ORACLES['booking']}),
@@ -587,3 +644,25 @@ def q_e2e_booking_funnel(spark, sf_dir):
     tables = run_silver_tables(spark, lake, [spec], lambda s: BucketedTable(spark, lake.silver(s.entity), ["id"], 16))
     run_gold(spark, lambda e: tables[e].read(), lake.gold, CLOCK, names=["gold_booking_funnel"])
     return _read_funnel(spark, lake.gold("gold_booking_funnel"))
+
+
+@register(
+    "stream_evolve_user_info",
+    f"""select s.*, case when id % 2 = 0 then 'c' || cast(id % 5 as varchar) end as city
+from ({SILVER_ORACLES["user_info"]}) s""",
+    "SRC-5 SNK-2 SM-2 (a column that appears in the second drop)",
+)
+def q_stream_evolve_user_info(spark, sf_dir):
+    from lakepipe.streaming.silver_stream import run_silver_tables
+
+    raw = raw_frame(spark, sf_dir, "UserInfo")
+    late = F.col("id") % 2 == 0
+    city = F.concat(F.lit("c"), (F.col("id") % 5).cast("string"))
+    lake = LakeLayout(scratch_path(spark, "lake"))
+    spec = silver.SilverSpec("user_info", "UserInfo", lambda df: silver.clean_user_info(df, CLOCK))
+    drops = [("2001-10-01", raw.filter(~late)), ("2001-10-02", raw.filter(late).withColumn("city", city))]
+    for day, drop in drops:
+        append_bronze(drop, lake.bronze("UserInfo"), day)
+        tables = run_silver_tables(
+            spark, lake, [spec], lambda s: BucketedTable(spark, lake.silver(s.entity), ["id"], 16))
+    return tables["user_info"].read()

@@ -1,9 +1,10 @@
 """Bronze readers: batch and streaming, with a recorded schema.
 
 A file stream needs its schema before it starts.  The schema is inferred
-once from the files present (merging all schema versions) and stored as JSON
-beside the stream; later runs reuse it, so a restart sees the same columns.
-``evolve=True`` merges columns that appeared since, between runs."""
+from the files present (merging all schema versions) and stored as JSON
+beside the stream.  Each run widens it by the columns that appeared since the
+last one (a column never disappears or changes to an unrelated type);
+``evolve=False`` keeps the recorded columns."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lakepipe.sources.layout import hadoop_fs
+from lakepipe.sources.schemas import widen_schema
 
 SCHEMA_FILE = "schema.json"
 
@@ -21,6 +23,19 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether any Parquet file lies under ``path`` (an ingest that found no
+    rows leaves none).  Stops at the first one."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
 def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = hadoop_fs(spark, path)
     if not fs.exists(p):
@@ -42,20 +57,13 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """``old`` plus the columns only ``new`` has (existing columns keep
-    their recorded type)."""
-    have = {f.name for f in old.fields}
-    return T.StructType(list(old.fields) + [f for f in new.fields if f.name not in have])
-
-
 def tracked_schema(spark: SparkSession, path: str, schema_path: str, evolve: bool = False) -> T.StructType:
     file = f"{schema_path.rstrip('/')}/{SCHEMA_FILE}"
     saved = _read_text(spark, file)
     if saved is not None and not evolve:
         return T.StructType.fromJson(json.loads(saved))
     inferred = read_bronze(spark, path).schema
-    schema = inferred if saved is None else merge_schemas(T.StructType.fromJson(json.loads(saved)), inferred)
+    schema = inferred if saved is None else widen_schema(T.StructType.fromJson(json.loads(saved)), inferred)
     _write_text(spark, file, schema.json())
     return schema
 
@@ -64,7 +72,7 @@ def read_bronze_stream(
     spark: SparkSession,
     path: str,
     schema_path: str,
-    evolve: bool = False,
+    evolve: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Unbounded frame over the bronze parquet files of one table."""

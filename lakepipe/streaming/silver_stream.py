@@ -67,17 +67,19 @@ def run_silver_tables(
     silver table object (``VersionedTable`` for small entities,
     ``BucketedTable`` for large ones).  ``max_files_per_trigger`` splits a
     large backlog into several micro-batches, each committed on its own, so
-    a failure repeats one batch rather than the whole backlog.  Returns
-    ``{entity: table}``."""
-    from lakepipe.sources.bronze import read_bronze_stream
+    a failure repeats one batch rather than the whole backlog.  Columns that
+    appeared in bronze since the last run join the stream; a bronze table
+    without files yet is skipped.  Returns ``{entity: table}``."""
+    from lakepipe.sources.bronze import has_files, read_bronze_stream
 
     out = {}
     for spec in specs:
-        table = table_for(spec)
+        table = out[spec.entity] = table_for(spec)
+        if not has_files(spark, layout.bronze(spec.bronze)):
+            continue
         src = read_bronze_stream(spark, layout.bronze(spec.bronze), layout.schema_dir(spec.bronze),
                                  max_files_per_trigger=max_files_per_trigger)
         stream = spec.clean(src)
         run_silver_once(stream, spark, layout.checkpoint("silver", spec.entity), table, spec.pk, spec.updated_col,
                         guard_stale=guard_stale)
-        out[spec.entity] = table
     return out

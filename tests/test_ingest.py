@@ -126,3 +126,43 @@ def test_jdbc_bounds_cover_only_new_rows():
     q = bounds_query("Booking", "id", '"updatedAt" > TIMESTAMP \'2001-01-02 00:00:00\'')
     assert q == ('(select min("id") lo, max("id") hi from "Booking" '
                  'where "updatedAt" > TIMESTAMP \'2001-01-02 00:00:00\') b')
+
+
+def test_a_failing_table_keeps_the_others_watermarks(spark, tmp_root):
+    import datetime as dt
+
+    import pytest
+
+    from lakepipe.plans.ingest import IngestErrors, TableSpec, WatermarkStore, ingest_all
+    from lakepipe.sources.layout import LakeLayout
+
+    t1 = dt.datetime(2001, 1, 1)
+
+    def source(spec, after):
+        if spec.name == "bad":
+            raise OSError("no such table")
+        return spark.createDataFrame([(1, t1)], "id long, updatedAt timestamp")
+
+    for parallelism in (1, 3):
+        lake = LakeLayout(f"{tmp_root}/{parallelism}")
+        store = WatermarkStore(spark, lake.watermarks())
+        specs = [TableSpec("a"), TableSpec("bad"), TableSpec("b")]
+        with pytest.raises(IngestErrors) as e:
+            ingest_all(spark, specs, source, lake, store, "2001-01-01", parallelism=parallelism)
+        assert list(e.value.failed) == ["bad"] and [r.table for r in e.value.results] == ["a", "b"]
+        assert store.get("a") == t1 and store.get("b") == t1 and store.get("bad") is None
+
+
+def test_silver_skips_a_bronze_table_without_rows(spark, tmp_root):
+    from lakepipe.plans.silver import SILVER_SPECS
+    from lakepipe.sinks.tables import BucketedTable
+    from lakepipe.sinks.writers import append_bronze
+    from lakepipe.sources.layout import LakeLayout
+    from lakepipe.streaming.silver_stream import run_silver_tables
+
+    lake = LakeLayout(tmp_root)
+    empty = spark.createDataFrame([], "id long, createdAt string, updatedAt string")
+    append_bronze(empty, lake.bronze("User"), "2001-01-01")
+    specs = [SILVER_SPECS["user"], SILVER_SPECS["booking"]]  # an empty first load; no load at all
+    tables = run_silver_tables(spark, lake, specs, lambda s: BucketedTable(spark, lake.silver(s.entity), [s.pk], 4))
+    assert not any(t.exists() for t in tables.values())
