@@ -187,12 +187,22 @@ def train(
 ) -> Scanner:
     """A scanner trained from the findings in at most ``max_texts`` texts with candidates, labelled by ``label``.
 
-    The texts are chosen by a hash; each gives at most 20 findings with 4 KB of
-    surroundings, so the sample is bounded.  The dictionary holds the
-    lower-case words that occur in three or more of the sampled surroundings.
+    The texts are chosen by a hash; each gives at most 20 findings with their
+    surroundings, so the sample is bounded.  All findings are counted first;
+    the count sets the hash value below which about twice the sample lies, and
+    only texts below it send findings to the driver, however many tasks there
+    are.  The dictionary holds the lower-case words that occur in three or
+    more of the sampled surroundings.
     """
     rows = docs.select(F.col(text_col).alias("t"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("p"), F.xxhash64(id_col, F.substring(text_col, 1, 200)).alias("h"))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for batch in batches:
+            for part in tx.chunks(batch, "t"):
+                n += sum(len(spans(raw)[:20]) for raw in _raws(part))
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.chunks(batch, "t"):
@@ -207,8 +217,13 @@ def train(
                         ["h", "p", "r", "a", "b"],
                     )
 
-    found = rows.where(F.length("t") > 0).mapInArrow(sample, "h long, p string, r binary, a int, b int")
-    got = found.orderBy("h", "a", "b", "r").limit(min(max_findings, 20 * max_texts)).collect()
+    rows = rows.where(F.length("t") > 0)
+    bound = min(max_findings, 20 * max_texts)
+    total = rows.select("t").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
+    if total > 2 * bound:
+        rows = rows.where(F.col("h") < int(-(2**63) + 2**64 * (2 * bound / total)))
+    found = rows.mapInArrow(sample, "h long, p string, r binary, a int, b int")
+    got = found.orderBy("h", "a", "b", "r").limit(bound).collect()
     seen: Counter = Counter()
     for r in got:
         seen.update(set(re.findall(rb"(?<![A-Za-z0-9])[a-z]{3,}(?![A-Za-z0-9])", bytes(r["r"]))))
