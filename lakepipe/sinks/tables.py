@@ -248,6 +248,8 @@ class BucketedTable:
         if fs.exists(p):
             raise ValueError(f"{self.root} already exists")
         fs, p = hadoop_fs(self.spark, self.root)
+        if fs.exists(p) and len(fs.listStatus(p)) and self._read_marker() is None:
+            raise ValueError(f"{self.root} holds files of something else (no layout marker)")
         fs.delete(p, True)
         b = self.with_bucket(df)
         self._write_file(BUCKETS_FILE, self._layout())

@@ -342,3 +342,14 @@ def test_bucketed_table_refuses_data_without_a_marker(spark, tmp_root):
     assert not u.exists()
     u.create(spark.createDataFrame([(1, "a", T1)], SCHEMA))
     assert u.read().count() == 1
+
+
+def test_bucketed_create_leaves_other_tables_alone(spark, tmp_root):
+    import pytest
+
+    v = VersionedTable(spark, tmp_root + "/t")
+    batch = spark.createDataFrame([(1, "a", T1)], SCHEMA)
+    v.commit(batch)
+    with pytest.raises(ValueError):
+        upsert(spark, batch, BucketedTable(spark, tmp_root + "/t", ["id"], 4), "id", "updatedAt")
+    assert v.read().count() == 1
