@@ -130,6 +130,18 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def prefix_hashes(words: np.ndarray) -> np.ndarray:
+    """Sums from which ``run_hashes`` takes the hash of a run of any length."""
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum((words + np.uint64(1)) * _power(_BASE, "up", len(words))[: len(words)], out=total[1:])
+    return total
+
+
+def run_hashes(sums: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words that start at each of the positions."""
+    return mix((sums[at + n] - sums[at]) * _power(_INVERSE, "down", len(sums))[at])
+
+
 def shingle_sets(words: np.ndarray, first: np.ndarray, n: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its n-word shingles.
 

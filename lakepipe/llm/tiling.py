@@ -2,10 +2,11 @@
 
 Texts and test items are word sequences.  The seeds of an item are its runs of
 ``min_match`` words; a text is compared with the items it shares a seed with.
-Each comparison tiles: Karp-Rabin hashes of a falling length find the longest
-common runs of words not yet covered, whose words are compared one by one; the
-longest are marked first and no word is covered twice.  Tiles may stand in any
-order, so a reordered passage is covered as well as a copied one.
+Each comparison tiles: Karp-Rabin hashes find the longest common runs of words
+not yet covered, whose words are compared one by one; the longest are marked
+first and no word is covered twice.  Tiles may stand in any order and anywhere
+in the text, so a reordered or scattered passage is covered as well as a copied
+one.
 """
 
 from __future__ import annotations
@@ -24,15 +25,23 @@ from lakepipe.llm import text as tx
 _TABLE_BITS = 20
 
 
+@dataclass
+class Seeds:
+    """The seeds of one length: their hashes in order, the item of each, and a table of their upper bits."""
+
+    length: int
+    hashes: np.ndarray
+    owner: np.ndarray
+    table: np.ndarray
+
+
 @dataclass
 class Items:
-    """A block of test items: their words and their seeds, sorted by hash."""
+    """A block of test items: their words and their seeds by length."""
 
     ids: list
     words: list[np.ndarray]
-    seeds: np.ndarray
-    owner: np.ndarray
-    table: np.ndarray
+    seeds: list[Seeds]
 
     @classmethod
     def of(cls, rows: list[tuple], min_match: int) -> Items:
@@ -40,101 +49,128 @@ class Items:
         data, off = tx.texts(pa.array([r[1] for r in rows], pa.string()))
         h, first = tx.word_hashes(data, off)
         words = [h[a:b] for a, b in zip(first[:-1], first[1:])]
-        seeds = [np.unique(tx.gram_hashes(w, min_match)) for w in words]
-        owner = np.repeat(np.arange(len(ids)), [len(s) for s in seeds])
-        flat = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        table = np.zeros(1 << _TABLE_BITS, bool)
-        table[(flat >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-        return cls(ids, words, flat[order], owner[order], table)
+        by_length: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            if len(w):
+                by_length.setdefault(min(min_match, len(w)), []).append(k)
+        seeds = []
+        for n, owners in sorted(by_length.items()):
+            sets = [np.unique(tx.gram_hashes(words[k], n)) for k in owners]
+            flat, owner = np.concatenate(sets), np.repeat(owners, [len(s) for s in sets])
+            order = np.argsort(flat, kind="stable")
+            table = np.zeros(1 << _TABLE_BITS, bool)
+            table[(flat >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
+            seeds.append(Seeds(n, flat[order], owner[order], table))
+        return cls(ids, words, seeds)
 
 
 def tiles(text: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
-    """Tiles (start in text, start in item, length) of two word sequences, longest first."""
+    """Tiles (start in text, start in item, length) of two word sequences, longest first.
+
+    Each round finds the longest run of words free in both by halving, marks
+    runs of that length from the left, and goes on with the next longest.
+    """
     free_t, free_i = np.ones(len(text), bool), np.ones(len(item), bool)
     found: list[tuple[int, int, int]] = []
-    length = max(min_match, 1 << (max(1, len(item)).bit_length() - 1))
+    sums = tx.prefix_hashes(text), tx.prefix_hashes(item)
+    longest = min(len(text), len(item))
     while True:
-        for s, j, n in _matches(text, item, free_t, free_i, length):
-            # A longer tile may have covered a part of this one by now: what is left of it comes again at a smaller length.
-            if free_t[s : s + n].all() and free_i[j : j + n].all():
-                free_t[s : s + n] = False
-                free_i[j : j + n] = False
-                found.append((s, j, n))
-        if length == min_match:
+        low, high = min_match - 1, longest
+        while low < high:
+            n = (low + high + 1) // 2
+            if _common(text, item, sums, free_t, free_i, n) is None:
+                high = n - 1
+            else:
+                low = n
+        if low < max(1, min_match):
             break
-        length = max(min_match, length // 2)
-    # At the smallest length, go on until nothing is left.
-    while rest := [m for m in _matches(text, item, free_t, free_i, min_match)]:
-        s, j, n = rest[0]
-        free_t[s : s + n] = False
-        free_i[j : j + n] = False
-        found.append((s, j, n))
+        longest = low
+        while (at := _common(text, item, sums, free_t, free_i, low)) is not None:
+            s, j = at
+            free_t[s : s + low] = False
+            free_i[j : j + low] = False
+            found.append((s, j, low))
     return sorted(found, key=lambda m: (-m[2], m[0], m[1]))
 
 
-def _matches(text, item, free_t, free_i, length: int) -> list[tuple[int, int, int]]:
-    """Maximal common free runs of at least ``length`` words, longest first."""
-    if len(text) < length or len(item) < length:
-        return []
-    ht, hi = tx.gram_hashes(text, length), tx.gram_hashes(item, length)
-    run_t = np.convolve(free_t, np.ones(length, int), "valid") == length
-    run_i = np.convolve(free_i, np.ones(length, int), "valid") == length
-    by_hash: dict[int, list[int]] = {}
-    for j in np.flatnonzero(run_i).tolist():
-        by_hash.setdefault(int(hi[j]), []).append(j)
-    if not by_hash:
-        return []
-    out = set()
-    covered: set[tuple[int, int]] = set()  # (diagonal, end) of runs already extended
-    for s in np.flatnonzero(run_t & np.isin(ht, np.fromiter(by_hash, np.uint64, len(by_hash)))).tolist():
-        for j in by_hash[int(ht[s])]:
-            if (s - j, s) in covered:
-                covered.add((s - j, s + 1))
-                continue
-            n = 0
-            while s + n < len(text) and j + n < len(item) and free_t[s + n] and free_i[j + n] and text[s + n] == item[j + n]:
-                n += 1
-            if n >= length:
-                out.add((s, j, n))
-                covered.update((s - j, s + k) for k in range(1, n - length + 1))
-    return sorted(out, key=lambda m: (-m[2], m[0], m[1]))
-
-
-def seeded_regions(words: np.ndarray, first: np.ndarray, items: Items, min_match: int) -> dict[tuple[int, int], np.ndarray]:
-    """(text, item) -> positions in ``words`` of the seeds they share."""
-    grams = tx.gram_hashes(words, min_match)
-    at = np.flatnonzero(items.table[(grams >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
-    lo = np.searchsorted(items.seeds, grams[at], side="left")
-    hi = np.searchsorted(items.seeds, grams[at], side="right")
-    at, lo, hi = at[hi > lo], lo[hi > lo], hi[hi > lo]
-    text = np.searchsorted(first, at, side="right") - 1
-    inside = at + min_match <= first[text + 1]
-    pairs: dict[tuple[int, int], list[int]] = {}
-    for p, t, a, b in zip(at[inside].tolist(), text[inside].tolist(), lo[inside].tolist(), hi[inside].tolist()):
-        for o in items.owner[a:b].tolist():
-            pairs.setdefault((t, o), []).append(p)
-    return {k: np.array(v) for k, v in pairs.items()}
-
-
-def covered_words(words: np.ndarray, seeds: np.ndarray, item: np.ndarray, min_match: int, longest: int) -> int:
-    """Covered words of the item, most in any stretch of the text of about the item's length.
-
-    Seeds far apart cannot belong to one passage, so the text is tiled around
-    groups of seeds not farther from each other than the item is long.
+def _common(text, item, sums, free_t, free_i, n: int) -> tuple[int, int] | None:
+    """First (text, item) positions of a common run of ``n`` free words; equal hashes are held against the words."""
+    t, i = _free_runs(free_t, n), _free_runs(free_i, n)
+    if not len(t) or not len(i):
+        return None
+    ht, hi = tx.run_hashes(sums[0], t, n), tx.run_hashes(sums[1], i, n)
+    for k in np.flatnonzero(np.isin(ht, hi)):
+        for j in i[hi == ht[k]].tolist():
+            if np.array_equal(text[t[k] : t[k] + n], item[j : j + n]):
+                return int(t[k]), j
+    return None
+
+
+def _free_runs(free: np.ndarray, n: int) -> np.ndarray:
+    if len(free) < n:
+        return np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(free)])
+    return np.flatnonzero(total[n:] - total[:-n] == n)
+
+
+def _windows(at: np.ndarray, n: int, size: int) -> np.ndarray:
+    """Which of ``size`` positions lie in a run of ``n`` that starts at one of ``at``."""
+    step = np.zeros(size + 1, np.int64)
+    step[at] += 1
+    np.subtract.at(step, at + n, 1)
+    return np.cumsum(step[:-1]) > 0
+
+
+def covered_words(words: np.ndarray, at: np.ndarray, item: np.ndarray, min_match: int) -> int:
+    """Words of the item that its tiles in the whole text cover; ``at`` are the positions of the seeds in ``words``.
+
+    A tile consists of seeds, so only words inside a seed are tiled.  One word
+    that the item does not hold stands for each gap between them, so no tile
+    reaches over it.
     """
-    cuts = np.flatnonzero(np.diff(seeds) > longest) + 1
-    best = 0
-    for group in np.split(seeds, cuts):
-        a, b = int(group[0]), int(group[-1]) + min_match
-        # A group over many repeats of the item is tiled in windows of a few times its length, half overlapping.
-        step = 4 * longest
-        for s in range(a, max(a + 1, b - step // 2), step // 2):
-            got = tiles(words[s : min(b, s + step)], item, min_match)
-            best = max(best, sum(n for _, _, n in got))
-            if best == len(item):
-                return best
-    return best
+    near = _windows(at, min_match, len(words))
+    gap = np.uint64(0)
+    while (item == gap).any():
+        gap += np.uint64(1)
+    keep = near.copy()
+    keep[1:] |= near[:-1]  # one word after each stretch
+    text = np.where(near, words, gap)[keep]
+    return sum(n for _, _, n in tiles(text, item, min_match))
+
+
+def shared(words: np.ndarray, first: np.ndarray, items: Items, coverage: float) -> Iterator[tuple[int, int, int]]:
+    """(text, item, covered words) of the texts that reach the coverage of an item.
+
+    An item is left out untiled only if its words inside seeds that the text
+    holds, which no tiling can exceed, are too few.
+    """
+    for seeds in items.seeds:
+        n = seeds.length
+        grams = tx.gram_hashes(words, n)
+        at = np.flatnonzero(seeds.table[(grams >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
+        lo = np.searchsorted(seeds.hashes, grams[at], side="left")
+        at = at[(lo < len(seeds.hashes)) & (seeds.hashes[np.minimum(lo, len(seeds.hashes) - 1)] == grams[at])]
+        text = np.searchsorted(first, at, side="right") - 1
+        inside = at + n <= first[text + 1]
+        at, text = at[inside], text[inside]
+        cuts = np.flatnonzero(np.diff(text)) + 1
+        for mine in np.split(at, cuts) if len(at) else []:
+            t = int(np.searchsorted(first, mine[0], side="right") - 1)
+            a, b = int(first[t]), int(first[t + 1])
+            held = grams[mine]
+            # Of each seed once, so what is expanded is never more than the block's seeds.
+            each = np.unique(held)
+            lo = np.searchsorted(seeds.hashes, each, side="left")
+            size = np.searchsorted(seeds.hashes, each, side="right") - lo
+            owner = seeds.owner[np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+            for o in np.unique(owner).tolist():
+                item = items.words[o]
+                own = tx.gram_hashes(item, n)
+                bound = np.count_nonzero(_windows(np.flatnonzero(np.isin(own, each)), n, len(item)))
+                if bound >= coverage * len(item):
+                    got = covered_words(words[a:b], mine[np.isin(held, own)] - a, item, n)
+                    if got >= coverage * len(item):
+                        yield t, o, got
 
 
 def contaminated(
@@ -150,9 +186,9 @@ def contaminated(
 ) -> DataFrame:
     """(id, item_id, item_words, covered, coverage): the texts that hold at least ``coverage`` of a test item.
 
-    One row per input row and item.  Items of fewer than ``min_match`` words
-    (null and empty ones too) have no seed and match nothing; null and empty
-    texts match nothing.  Repeated rows each get their findings; other columns
+    One row per input row and item.  An item of fewer than ``min_match`` words
+    is one seed, found where it stands whole; null and empty items and texts
+    match nothing.  Repeated rows each get their findings; other columns
     are ignored.  The items are cut into blocks of ``block_bytes`` of text and
     each block goes to all tasks, so what is sent is bounded; more items mean
     more passes over the texts.
@@ -162,7 +198,7 @@ def contaminated(
     schema = f"i {ids}, item {items_type}, item_words long, covered long"
     out = None
     for block in _blocks(benchmark.select(item_id, item_text), block_bytes):
-        part = rows.mapInArrow(_matcher(Items.of(block, min_match), min_match, coverage, benchmark.schema[item_id].dataType), schema)
+        part = rows.mapInArrow(_matcher(Items.of(block, min_match), coverage, benchmark.schema[item_id].dataType), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = docs.sparkSession.createDataFrame([], schema)
@@ -188,26 +224,18 @@ def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple]]:
         yield block
 
 
-def _covered(part: pa.RecordBatch, text_col: str, items: Items, min_match: int, coverage: float) -> list[tuple[int, int, int]]:
+def _covered(part: pa.RecordBatch, text_col: str, items: Items, coverage: float) -> list[tuple[int, int, int]]:
     """(text, item, covered words) of the texts of a slice that reach the coverage."""
-    words, first = tx.word_hashes(*tx.texts(part.column(text_col)))
-    found = []
-    for (t, o), seeds in sorted(seeded_regions(words, first, items, min_match).items()):
-        item = items.words[o]
-        if len(item) >= min_match:
-            got = covered_words(words, seeds, item, min_match, len(item))
-            if got >= coverage * len(item):
-                found.append((t, o, got))
-    return found
-
-
-def _matcher(items: Items, min_match: int, coverage: float, item_type):
+    return sorted(shared(*tx.word_hashes(*tx.texts(part.column(text_col))), items, coverage))
+
+
+def _matcher(items: Items, coverage: float, item_type):
     id_type = to_arrow_type(item_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.chunks(batch, "t"):
-                found = _covered(part, "t", items, min_match, coverage)
+                found = _covered(part, "t", items, coverage)
                 if found:
                     t, o, c = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -240,7 +268,7 @@ def decontaminate(
             for batch in batches:
                 for part in tx.chunks(batch, text_col):
                     clean = np.ones(part.num_rows, bool)
-                    clean[[t for t, _, _ in _covered(part, text_col, items, min_match, coverage)]] = False
+                    clean[[t for t, _, _ in _covered(part, text_col, items, coverage)]] = False
                     yield part.filter(pa.array(clean))
 
         return run

@@ -153,6 +153,23 @@ def test_tiling_finds_reordered_and_leaves_fragments():
     assert [n for _, _, n in found] == [10]
 
 
+def test_contaminated_tiles_the_whole_text(spark):
+    item = [f"i{k}" for k in range(37)]
+    far = [" ".join(f"o{n}x{k}" for k in range(n)) for n in (45, 300, 60)]
+    parts = [" ".join(item[a:b]) for a, b in ((25, 37), (0, 13), (13, 25))]
+    apart = " ".join(x for pair in zip(far, parts) for x in pair)
+    short = " ".join([far[0], *item[:13], far[1]])
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "only three words"), (3, "here there")], "item_id long, text string")
+    d = spark.createDataFrame([(1, apart), (2, short), (3, f"{far[0]} only three words {far[1]}"), (4, "only three here words")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id, r.covered) for r in tiling.contaminated(d, bench).collect()} == {(1, 1, 37), (3, 2, 3)}
+    assert sorted(r.doc_id for r in tiling.decontaminate(d, bench).collect()) == [2, 4]
+
+
+def test_tiling_of_one_word_repeated():
+    w = np.full(30000, 7, np.uint64)
+    assert tiling.covered_words(w, np.arange(30000 - 4), w[:37], 5) == 37
+
+
 def test_contaminated_against_plain_search(spark, texts):
     bench = {r.item_id: words(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op7_string_tiling"](spark, SF).collect()}
