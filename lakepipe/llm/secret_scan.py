@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakepipe.llm import text as tx
+from lakepipe.session import scratch_path
 
 CANDIDATE = re.compile(rb"[A-Za-z0-9_\-+/=.~]{12,}")
 _KEYWORDS = (b"password", b"passwd", b"pwd", b"secret", b"token", b"api", b"key", b"auth", b"bearer", b"credential", b"private")
@@ -51,7 +52,38 @@ def spans(raw: bytes) -> list[tuple[int, int]]:
     return out
 
 
-def describe(raw: bytes, span: tuple[int, int], path: bytes, dictionary: frozenset) -> list[float]:
+def covered(raw: bytes, spans: Sequence[tuple[int, int]], dictionary: np.ndarray) -> np.ndarray:
+    """Share of each span that words of the dictionary cover."""
+    size = np.array([b - a for a, b in spans], np.int64)
+    off = np.concatenate([[0], np.cumsum(size)])
+    data = np.frombuffer(b"".join(raw[a:b] for a, b in spans).lower(), np.uint8)
+    starts, ends, _ = tx.word_bounds(data, off, _KIND == _LOWER)
+    long = ends - starts >= 3
+    starts, ends = starts[long], ends[long]
+    out = np.zeros(len(size))
+    if not len(dictionary):
+        return out
+    h = tx.span_hashes(data, starts, ends)
+    known = dictionary[np.minimum(np.searchsorted(dictionary, h), len(dictionary) - 1)] == h
+    np.add.at(out, np.searchsorted(off, starts[known], side="right") - 1, (ends - starts)[known])
+    return out / size
+
+
+def document_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-case words of some texts, and in how many of them each occurs."""
+    starts, ends, first = tx.word_bounds(data, off, _KIND != _OTHER)
+    lower = np.concatenate([[0], np.cumsum(_KIND[data] == _LOWER)])
+    word = (ends - starts >= 3) & (lower[ends] - lower[starts] == ends - starts)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))[word]
+    h = tx.span_hashes(data, starts[word], ends[word])
+    order = np.lexsort((h, text))
+    text, h = text[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+    return np.unique(h[new], return_counts=True)
+
+
+def describe(raw: bytes, span: tuple[int, int], path: bytes, covered: float) -> list[float]:
     a, b = span
     found = raw[a:b]
     kind = _KIND[np.frombuffer(found, np.uint8)]
@@ -59,8 +91,6 @@ def describe(raw: bytes, span: tuple[int, int], path: bytes, dictionary: frozens
     share = np.bincount(kind, minlength=4) / n
     moves = np.bincount(kind[:-1] * 4 + kind[1:], minlength=16) / max(1, n - 1)
     counts = np.array(list(Counter(found).values()), float) / n
-    words = re.findall(rb"[a-z]{3,}", found.lower())
-    covered = sum(len(w) for w in words if w in dictionary) / n
     before, after = raw[max(0, a - _AROUND) : a].lower(), raw[b : b + _AROUND].lower()
     at = max((before.rfind(k) + len(k) for k in _KEYWORDS if k in before), default=-1)
     return [
@@ -158,12 +188,12 @@ def rule_label(raw: bytes, span: tuple[int, int], path: bytes) -> int:
 class Scanner:
     """Candidates of a text and the forest's probability for each."""
 
-    def __init__(self, forest: Forest, dictionary: frozenset):
+    def __init__(self, forest: Forest, dictionary: np.ndarray):
         self.forest, self.dictionary = forest, dictionary
 
     def scan(self, raws: Sequence[bytes], paths: Sequence[bytes]) -> list[list[tuple[int, int, float]]]:
         found = [spans(r) for r in raws]
-        rows = [describe(r, s, p.lower(), self.dictionary) for r, p, ss in zip(raws, paths, found) for s in ss]
+        rows = [describe(r, s, p.lower(), c) for r, p, ss in zip(raws, paths, found) if ss for s, c in zip(ss, covered(r, ss, self.dictionary).tolist())]
         if not rows:
             return [[] for _ in raws]
         p = iter(self.forest.predict(np.array(rows)).tolist())
@@ -181,59 +211,87 @@ def train(
     label: Callable[[bytes, tuple[int, int], bytes], int] = rule_label,
     max_texts: int = 6000,
     max_findings: int = 20000,
+    max_words: int = 1 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
     path_col: str = "source",
 ) -> Scanner:
     """A scanner trained from the findings in at most ``max_texts`` texts with candidates, labelled by ``label``.
 
-    The texts are chosen by a hash; each gives at most 20 findings with their
-    surroundings, so the sample is bounded.  All findings are counted first;
-    the count sets the hash value below which about twice the sample lies, and
-    only texts below it send findings to the driver, however many tasks there
-    are.  The dictionary holds the lower-case words that occur in three or
-    more of the sampled surroundings.
+    The dictionary is that of all documents: the lower-case words that occur
+    in three or more of them, as sorted hashes.  Should there be more than
+    ``max_words``, the rarest go, whole classes of document frequency at a
+    time.  For the forest, texts are chosen by a hash; each gives the features
+    of at most 20 findings, so the sample is bounded.  All findings are counted
+    with the words; the count sets the hash value below which about twice the
+    sample lies, and only texts below it send findings to the driver, however
+    many tasks there are.
     """
     rows = docs.select(F.col(text_col).alias("t"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("p"), F.xxhash64(id_col, F.substring(text_col, 1, 200)).alias("h"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = 0
-        for batch in batches:
-            for part in tx.chunks(batch, "t"):
-                n += sum(len(spans(raw)[:20]) for raw in _raws(part))
-        yield pa.RecordBatch.from_pydict({"n": [n]})
+    rows = rows.where(F.length("t") > 0)
+    bound = min(max_findings, 20 * max_texts)
+    dictionary, total = _dictionary(rows, max_words)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.chunks(batch, "t"):
                 out = []
                 for h, p, raw in zip(part.column("h").to_pylist(), part.column("p").to_pylist(), _raws(part)):
-                    for a, b in spans(raw)[:20]:
-                        lo = max(0, a - 200)
-                        out.append((h, p, raw[lo : b + 200], a - lo, b - lo))
+                    if some := spans(raw)[:20]:
+                        path = p.encode().lower()
+                        for s, c in zip(some, covered(raw, some, dictionary).tolist()):
+                            out.append((h, *s, np.array(describe(raw, s, path, c)).tobytes(), label(raw, s, path)))
                 if out:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.int32()))],
-                        ["h", "p", "r", "a", "b"],
+                        [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32()))],
+                        ["h", "a", "b", "x", "y"],
                     )
 
-    rows = rows.where(F.length("t") > 0)
-    bound = min(max_findings, 20 * max_texts)
-    total = rows.select("t").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
     if total > 2 * bound:
         rows = rows.where(F.col("h") < int(-(2**63) + 2**64 * (2 * bound / total)))
-    found = rows.mapInArrow(sample, "h long, p string, r binary, a int, b int")
-    got = found.orderBy("h", "a", "b", "r").limit(bound).collect()
-    seen: Counter = Counter()
-    for r in got:
-        seen.update(set(re.findall(rb"(?<![A-Za-z0-9])[a-z]{3,}(?![A-Za-z0-9])", bytes(r["r"]))))
-    dictionary = frozenset(w for w, n in seen.items() if n >= 3)
-    x = [describe(bytes(r["r"]), (r["a"], r["b"]), r["p"].encode().lower(), dictionary) for r in got]
-    y = [label(bytes(r["r"]), (r["a"], r["b"]), r["p"].encode().lower()) for r in got]
-    forest = Forest.fit(np.array(x), np.array(y, float)) if got else Forest([])
+    found = rows.mapInArrow(sample, "h long, a long, b long, x binary, y int")
+    got = found.orderBy("h", "a", "b", "x", "y").limit(bound).collect()
+    x = np.array([np.frombuffer(bytes(r["x"])) for r in got])
+    forest = Forest.fit(x, np.array([r["y"] for r in got], float)) if got else Forest([])
     return Scanner(forest, dictionary)
 
 
+def _dictionary(rows: DataFrame, max_words: int) -> tuple[np.ndarray, int]:
+    """Sorted hashes of the words in three or more texts, and the number of candidates in all texts."""
+    spark = rows.sparkSession
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tx.chunks(batch, "t"):
+                h, n = document_words(*tx.texts(part.column("t")))
+                found = sum(len(spans(raw)[:20]) for raw in _raws(part))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.append(h.view(np.int64), 0), mask=np.arange(len(h) + 1) == len(h)), pa.array(np.append(n, found).astype(np.int64))], ["w", "n"]
+                )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column("w").to_numpy().tobytes()], pa.binary())], ["w"])
+
+    path = scratch_path(spark, "secret-scan")
+    # The row without a word counts the candidates.
+    counts = rows.select("t").mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    counts.where("w is null or n >= 3").withColumn("c", F.when(F.col("w").isNotNull(), F.floor(8 * F.log2("n")))).write.parquet(f"{path}/words")
+    counts = spark.read.parquet(f"{path}/words")
+    classes = {r["c"]: (r["words"], r["n"]) for r in counts.groupBy("c").agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()}
+    total = classes.pop(None, (0, 0))[1]
+    least, words = None, 0
+    for c in sorted(classes, reverse=True):
+        words += classes[c][0]
+        if words > max_words:
+            break
+        least = c
+    if least is None:
+        return np.zeros(0, np.uint64), total
+    packed = counts.where(F.col("c") >= least).select("w").mapInArrow(pack, "w binary").collect()
+    return np.sort(np.concatenate([np.frombuffer(bytes(r["w"]), np.uint64) for r in packed])), total
+
+
 def secret_findings(docs: DataFrame, scanner: Scanner, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """One row per candidate: id, start, end (bytes of the UTF-8 text), length, probability, is_secret.
 

@@ -298,6 +298,25 @@ def test_secret_forest_on_unseen_texts(spark):
     assert len(got) > 20 and np.mean(right) >= 0.97
 
 
+def test_secret_dictionary_counts_all_documents(spark):
+    rows = [(k, f"far words zebra{'' if k % 2 else ' giraffe, zebra'} X{k} notAword quagga7 " + "fill " * 200 + f"key = a1b2c3d4e5f6{k:04d}") for k in range(8)]
+    rows += [(100 + k, "twice here") for k in range(2)] + [(200, None), (201, "")]
+    d = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    in_texts = {}
+    for _, t in rows:
+        for w in set(re.findall(r"(?<![A-Za-z0-9])[a-z]{3,}(?![A-Za-z0-9])", t or "")):
+            in_texts[w] = in_texts.get(w, 0) + 1
+    want = sorted(w for w, n in in_texts.items() if n >= 3)
+    assert want == ["far", "fill", "giraffe", "key", "words", "zebra"]
+    hashes = tx.word_hashes(*tx.texts(pa.array([" ".join(want)])))[0]
+    assert secret_scan.train(d).dictionary.tolist() == sorted(hashes.tolist())
+    assert secret_scan.train(d, max_findings=1, max_texts=1).dictionary.tolist() == sorted(hashes.tolist())
+    few = secret_scan.train(d, max_words=5).dictionary.tolist()
+    assert set(few) == set(hashes.tolist()) - {hashes[want.index("giraffe")]}
+    share = secret_scan.covered(b"/zebra/xxxxx Giraffe123", [(0, 12), (13, 23)], np.sort(hashes))
+    assert share.tolist() == [5 / 12, 0.7]
+
+
 def test_nearest_recall(spark):
     e = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()
     x, ids = np.array([r.embedding for r in e], float), np.array([r.vec_id for r in e])
