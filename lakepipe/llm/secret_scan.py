@@ -21,9 +21,11 @@ from lakepipe.llm import text as tx
 from lakepipe.session import scratch_path
 
 CANDIDATE = re.compile(rb"[A-Za-z0-9_\-+/=.~]{12,}")
+_DIGITS, _LOWERS, _UPPERS = re.compile(rb"[0-9]"), re.compile(rb"[a-z]"), re.compile(rb"[A-Z]")
 _KEYWORDS = (b"password", b"passwd", b"pwd", b"secret", b"token", b"api", b"key", b"auth", b"bearer", b"credential", b"private")
 _HARMLESS = (b"example", b"sample", b"dummy", b"test", b"fake", b"placeholder", b"changeme", b"xxxx")
 _AROUND = 32  # bytes looked at on either side
+_SLICE = 1 << 16
 _DIGIT, _LOWER, _UPPER, _OTHER = range(4)
 _KIND = np.full(256, _OTHER, np.int64)
 _KIND[48:58], _KIND[97:123], _KIND[65:91] = _DIGIT, _LOWER, _UPPER
@@ -37,7 +39,7 @@ FEATURES = (
 
 
 def spans(raw: bytes) -> list[tuple[int, int]]:
-    """Candidates: runs with a digit, or with both cases; what stands before the first ``=`` is a name, not a value."""
+    """Candidates: runs of any length with a digit, or with both cases; what stands before the first ``=`` is a name, not a value."""
     out = []
     for m in CANDIDATE.finditer(raw):
         a, b = m.span()
@@ -46,8 +48,7 @@ def spans(raw: bytes) -> list[tuple[int, int]]:
             a = head + 1
         while b > a and raw[b - 1] in b".-=":
             b -= 1
-        kinds = np.bincount(_KIND[np.frombuffer(raw, np.uint8, b - a, a)], minlength=4) if b - a >= 12 else None
-        if kinds is not None and kinds[_DIGIT] and b - a <= 4096:
+        if b - a >= 12 and (_DIGITS.search(raw, a, b) or _LOWERS.search(raw, a, b) and _UPPERS.search(raw, a, b)):
             out.append((a, b))
     return out
 
@@ -86,10 +87,14 @@ def document_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.nd
 def describe(raw: bytes, span: tuple[int, int], path: bytes, covered: float) -> list[float]:
     a, b = span
     found = raw[a:b]
-    kind = _KIND[np.frombuffer(found, np.uint8)]
     n = len(found)
-    share = np.bincount(kind, minlength=4) / n
-    moves = np.bincount(kind[:-1] * 4 + kind[1:], minlength=16) / max(1, n - 1)
+    share, moves, changes = np.zeros(4), np.zeros(16), 0
+    for at in range(0, n, _SLICE):  # a long run is counted in slices that share a byte
+        kind = _KIND[np.frombuffer(found[at : at + _SLICE + 1], np.uint8)]
+        share += np.bincount(kind[:_SLICE], minlength=4)
+        moves += np.bincount(kind[:-1] * 4 + kind[1:], minlength=16)
+        changes += np.count_nonzero(kind[1:] != kind[:-1])
+    share, moves = share / n, moves / max(1, n - 1)
     counts = np.array(list(Counter(found).values()), float) / n
     before, after = raw[max(0, a - _AROUND) : a].lower(), raw[b : b + _AROUND].lower()
     at = max((before.rfind(k) + len(k) for k in _KEYWORDS if k in before), default=-1)
@@ -97,7 +102,7 @@ def describe(raw: bytes, span: tuple[int, int], path: bytes, covered: float) ->
         float(n),
         len(counts) / n,
         float(-(counts * np.log2(counts)).sum()),
-        float(np.count_nonzero(kind[1:] != kind[:-1])) / max(1, n - 1),
+        changes / max(1, n - 1),
         *share.tolist(),
         *moves.tolist(),
         float(re.fullmatch(rb"[0-9a-fA-F]+", found) is not None),
@@ -173,7 +178,8 @@ class Forest:
 # Labelled findings: known shapes of issued keys, and values that are assigned to a secret's name.
 _ISSUED = re.compile(rb"(AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{20,}|sk-[A-Za-z0-9]{20,}")
 _ASSIGNED = re.compile(rb"(?i)(password|passwd|pwd|secret|token|api_?key|auth)[\"']?\s*[=:]\s*[\"'`]?$")
-_VALUE = re.compile(rb"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_\-+/=.~]{14,}")
+# Mixed: a letter and a digit, or an upper case letter after a lower case one (a capitalised word is none).
+_VALUE = re.compile(rb"(?:(?=.*[0-9])(?=.*[A-Za-z])|(?=[^a-z]*[a-z][^A-Z]*[A-Z]))[A-Za-z0-9_\-+/=.~]{14,}")
 
 
 def rule_label(raw: bytes, span: tuple[int, int], path: bytes) -> int:

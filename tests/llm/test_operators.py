@@ -298,6 +298,28 @@ def test_secret_forest_on_unseen_texts(spark):
     assert len(got) > 20 and np.mean(right) >= 0.97
 
 
+def test_secret_candidates_without_digits_and_of_any_length(spark):
+    rng = np.random.default_rng(1)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    key = lambda n=24: "a" + "".join(rng.choice(letters, n - 2)) + "Z"
+    rows = [(k, f"the client sets password = {key()} and goes on", "s") for k in range(60)]
+    rows += [(100 + k, f"see the Verfassungsgericht{'x' * (k % 5)} and some/path/inLowerCase there", "s") for k in range(60)]
+    rows += [(200 + k, f"blob {key(90_000)}9 then token: {key(40)}/{'q' * 8000} end", "s") for k in range(4)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    scanner = secret_scan.train(d)
+    got = {(r.doc_id, r.start, r.end): r.is_secret for r in secret_scan.secret_findings(d, scanner).collect()}
+    assert {(k, 27, 51) for k in range(60)} <= set(got) and all(got[k, 27, 51] for k in range(60))
+    assert not any(s for (i, _, _), s in got.items() if 100 <= i < 200)
+    assert all({(200 + k, 5, 90_006), (200 + k, 90_019, 98_060)} <= set(got) for k in range(4))
+    clean = {r.doc_id: r.text for r in secret_scan.redact_secrets(d, scanner).collect()}
+    assert all(clean[k] == "the client sets password = [secret] and goes on" for k in range(60))
+    raw = rows[-1][1].encode()
+    whole = raw[5:90_006]
+    x = dict(zip(secret_scan.FEATURES, secret_scan.describe(raw, (5, 90_006), b"", 0.0)))
+    assert math.isclose(x["share_upper"], sum(chr(c).isupper() for c in whole) / len(whole))
+    assert math.isclose(x["to_1_2"], sum(chr(a).islower() and chr(b).isupper() for a, b in zip(whole, whole[1:])) / (len(whole) - 1))
+
+
 def test_secret_dictionary_counts_all_documents(spark):
     rows = [(k, f"far words zebra{'' if k % 2 else ' giraffe, zebra'} X{k} notAword quagga7 " + "fill " * 200 + f"key = a1b2c3d4e5f6{k:04d}") for k in range(8)]
     rows += [(100 + k, "twice here") for k in range(2)] + [(200, None), (201, "")]
