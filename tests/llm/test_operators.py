@@ -268,6 +268,21 @@ def test_toxicity_held_out_accuracy(spark):
     assert right >= 0.95
 
 
+def test_toxicity_learns_from_4000_texts_of_each_label(spark, monkeypatch):
+    d = spark.range(8300).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = d.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    learnt, train = [], toxicity.train
+
+    def seen(rows, *args, **kw):
+        learnt.append([sum(y == v for _, y in rows) for v in (0, 1)])
+        return train(rows[:20], *args, **kw)
+
+    monkeypatch.setattr(toxicity, "train", seen)
+    toxicity.toxicity_scores(d, labels, F.lit(False))
+    toxicity.drop_toxic(d, labels, F.lit(False))
+    assert learnt == [[4000, 4000], [4000, 4000]]
+
+
 def test_counterfactual_penalty_lowers_the_change():
     def feats(t):
         raw = np.frombuffer(t.encode(), np.uint8)
