@@ -13,6 +13,9 @@ them only, so a group of near copies costs as many pairs as it has
 members; the links found give components, and the product then runs over the
 columns that still hold different components, for pairs of different ones.  No
 link between components is missed, and no group is expanded into all its pairs.
+
+``jaccard_links`` and ``link_counts`` give the links themselves: there the
+product runs over all shared columns, inside components as well.
 """
 
 from __future__ import annotations
@@ -180,6 +183,88 @@ def _bounded(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     )
 
 
+def _matrix(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str, path: str) -> tuple[DataFrame, ...]:
+    """(rows, incidence, sets, block): the texts, their incidence, its distinct rows, and their columns that two or more share."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    _incidence(rows, n, num, den).write.parquet(f"{path}/incidence")
+    incidence = spark.read.parquet(f"{path}/incidence")
+    linkable = incidence.where("n > 0 and i is not null")
+    linkable.groupBy("fa", "fb").agg(
+        F.min("i").alias("low"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"), F.count("*").alias("copies")
+    ).withColumn("v", F.monotonically_increasing_id()).write.parquet(f"{path}/sets")
+    sets = spark.read.parquet(f"{path}/sets")
+
+    columns = sets.select("v", "n", F.posexplode("prefix").alias("pos", "k"))
+    shared = columns.groupBy("k").agg(F.min(F.struct("pos", "v")).alias("head"), F.count("*").alias("c"))
+    shared = shared.where("c > 1").select("k", F.col("head.pos").alias("head_pos"), F.col("head.v").alias("head"), "c")
+    columns.join(shared, "k").write.parquet(f"{path}/block")
+    return rows, incidence, sets, spark.read.parquet(f"{path}/block")
+
+
+def _reaches(num: int, den: int):
+    def reaches(most, n: str, m: str):
+        """Can an overlap of ``most`` make sets of these sizes similar enough?  (It holds the bound on the sizes as well.)"""
+        return most * (num + den) >= (F.col(n) + F.col(m)) * num
+
+    return reaches
+
+
+def _set_links(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(incidence, sets, links): every link (a, b) of two different sets, inside components as well.
+
+    A column's rows are dealt to blocks of about ``_SALT``; each pair of its
+    blocks is a group of its own, so no task gets all pairs of a hot column.
+    """
+    path = scratch_path(docs.sparkSession, "ngram-links")
+    rows, incidence, sets, block = _matrix(docs, n, num, den, id_col, text_col, path)
+    reaches = _reaches(num, den)
+    blocks = F.ceil(F.col("c") / _SALT).cast("int")
+    dealt = block.select("k", "v", "n", "pos", blocks.alias("blocks"), F.pmod(F.xxhash64("v"), blocks).cast("int").alias("own"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = dealt.select("k", F.col("own").alias("x"), every.alias("y"), "v", "n", "pos")
+    right = dealt.select("k", every.alias("x"), F.col("own").alias("y"), F.col("v").alias("w"), F.col("n").alias("m"), F.col("pos").alias("at"))
+    after = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at"))
+    product = (
+        left.join(right, ["k", "x", "y"])
+        .where((F.col("v") < F.col("w")) & reaches(after, "n", "m"))
+        .groupBy("v", "w")
+        .agg(F.count("*").alias("overlap"), F.max("pos").alias("pos"), F.max("at").alias("at"), F.min("n").alias("n"), F.min("m").alias("m"))
+    )
+    pairs = product.where(reaches(F.col("overlap") + after - 1, "n", "m")).select(F.col("v").alias("a"), F.col("w").alias("b"))
+    _bounded(pairs, sets, num, den).write.parquet(f"{path}/pairs")
+    pairs = docs.sparkSession.read.parquet(f"{path}/pairs")
+    return incidence, sets, _verified(pairs, sets, rows, n, num, den, path)
+
+
+def jaccard_links(
+    docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id_a, rows_a, id_b, rows_b): one row per link of two different shingle sets, as ``jaccard_components`` defines it.
+
+    A set stands for all rows that have it: its smallest id and their number
+    are given, so a link is ``rows_a * rows_b`` links of rows, and a set's own
+    rows all link with each other.
+    """
+    _, sets, links = _set_links(docs, n, *threshold, id_col, text_col)
+    for s in ("a", "b"):
+        links = links.join(sets.select(F.col("v").alias(s), F.col("low").alias(f"id_{s}"), F.col("copies").alias(f"rows_{s}")), s)
+    return links.select("id_a", "rows_a", "id_b", "rows_b")
+
+
+def link_counts(
+    docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per input row: id, n_shingles, n_links, the number of other rows it links with (copies each count)."""
+    incidence, sets, links = _set_links(docs, n, *threshold, id_col, text_col)
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(sets.select(F.col("v").alias("b"), "copies"), "b").groupBy(F.col("a").alias("v")).agg(F.sum("copies").alias("others"))
+    member = sets.join(others, "v", "left").select("fa", "fb", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    own = F.when(F.col("i").isNotNull() & (F.col("n") > 0), F.col("fa")).alias("fa")
+    out = incidence.select("i", "n", own, "fb").join(member, ["fa", "fb"], "left")
+    return out.select(F.col("i").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def jaccard_components(
     docs: DataFrame,
     n: int = 5,
@@ -201,25 +286,9 @@ def jaccard_components(
     num, den = threshold
     spark = docs.sparkSession
     path = scratch_path(spark, "ngram-join")
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    _incidence(rows, n, num, den).write.parquet(f"{path}/incidence")
-    incidence = spark.read.parquet(f"{path}/incidence")
-    linkable = incidence.where("n > 0 and i is not null")
-    linkable.groupBy("fa", "fb").agg(F.min("i").alias("low"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix")).withColumn(
-        "v", F.monotonically_increasing_id()
-    ).write.parquet(f"{path}/sets")
-    sets = spark.read.parquet(f"{path}/sets")
-
-    columns = sets.select("v", "n", F.posexplode("prefix").alias("pos", "k"))
-    shared = columns.groupBy("k").agg(F.min(F.struct("pos", "v")).alias("head"), F.count("*").alias("c"))
-    shared = shared.where("c > 1").select("k", F.col("head.pos").alias("head_pos"), F.col("head.v").alias("head"))
-    columns.join(shared, "k").write.parquet(f"{path}/block")
-    block = spark.read.parquet(f"{path}/block")
-
-    def reaches(most, n: str, m: str):
-        """Can an overlap of ``most`` make sets of these sizes similar enough?  (It holds the bound on the sizes as well.)"""
-        return most * (num + den) >= (F.col(n) + F.col(m)) * num
+    rows, incidence, sets, block = _matrix(docs, n, num, den, id_col, text_col, path)
 
+    reaches = _reaches(num, den)
     # Each column's rows with its head, the row with the fewest rarer columns: in a group of near copies, the one least changed.
     size = sets.select(F.col("v").alias("head"), F.col("n").alias("head_n"))
     stars = (

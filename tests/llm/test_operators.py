@@ -209,6 +209,22 @@ def test_jaccard_components(spark, docs, texts, n, num, den):
     assert got == {i: (len(s), root(i)) for i, s in sets.items()}
 
 
+def test_jaccard_links_inside_components(spark, edge, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_SALT", 4)  # several blocks of a column
+    texts = {k: " ".join(f"w{j if j != 2 * k else f'x{k}'}" for j in range(60)) for k in range(14)}
+    texts |= {100: texts[2], 101: texts[2], 102: texts[5], 200: "another text of its own here", 201: "", 202: None}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = {i: {tuple(words(t)[k : k + 3]) for k in range(len(words(t)) - 2)} for i, t in texts.items()}
+    like = lambda a, b: bool(sets[a]) and bool(sets[b]) and 100 * len(sets[a] & sets[b]) >= 83 * len(sets[a] | sets[b])
+    want = {(a, b) for a in range(14) for b in range(a + 1, 14) if like(a, b)}
+    got = [(*sorted((r.id_a, r.id_b)), {r.id_a: r.rows_a, r.id_b: r.rows_b}) for r in ngram_join.jaccard_links(d, 3, (83, 100)).collect()]
+    assert len(got) == len(want) > 13 and {(a, b) for a, b, _ in got} == want
+    assert all(n == {2: 3, 5: 2}.get(i, 1) for *_, rows in got for i, n in rows.items())
+    counts = {r.doc_id: r.n_links for r in ngram_join.link_counts(d, 3, (83, 100)).collect()}
+    assert counts == {a: sum(like(a, b) for b in texts if b != a) for a in texts}
+    assert sorted((r.doc_id or 0, r.n_links) for r in ngram_join.link_counts(edge).collect()) == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 2), (4, 2), (5, 2), (6, 0)]
+
+
 def test_mixing_meets_targets(spark, texts):
     rows = QUERIES["op10_mixing"](spark, SF).collect()
     again = QUERIES["op10_mixing"](spark, SF).collect()
