@@ -95,3 +95,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakepipe.llm.mixing import mix_sources
 
     return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakepipe.llm.html_text import extract_text
+
+    return extract_text(_table(spark, sf_dir, "pages"))
