@@ -75,11 +75,13 @@ def main(argv=None) -> int:
 
     if a.cmd == "seed":
         from lakepipe.sources.jdbc import JdbcOptions
-        from lakepipe.sources.seed import TRANSLATION_SEED, jdbc_sink, load_seeds
+        from lakepipe.sources.seed import SEED_SCHEMAS, TRANSLATION_SEED, jdbc_sink, jdbc_stored, load_seeds
 
         opts = JdbcOptions(a.host, a.port, a.database, a.user, os.environ.get("LAKEPIPE_DB_PASSWORD", ""))
         tables = TRANSLATION_SEED if a.translation else None
-        res = load_seeds(spark, a.data_dir, jdbc_sink(opts), tables=tables,
+        # The translation's key comes from the database, so its contract has no key column here.
+        schemas = None if a.translation else SEED_SCHEMAS
+        res = load_seeds(spark, a.data_dir, jdbc_sink(opts), tables=tables, schemas=schemas, stored=jdbc_stored(spark, opts),
                          on_error="skip" if a.skip_failed else "raise")
         if a.translation and res[0].status == "missing":
             raise SystemExit(f"seed file not found: {res[0].file}")

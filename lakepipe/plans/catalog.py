@@ -60,6 +60,10 @@ def _load_all() -> None:
     from lakepipe.plans import queries_ops  # noqa: F401
     from lakepipe.plans import queries_silver  # noqa: F401
     from lakepipe.plans import queries_functions  # noqa: F401
+    from lakepipe.plans import queries_time  # noqa: F401
+    from lakepipe.plans import queries_totals  # noqa: F401
+    from lakepipe.plans import queries_stream  # noqa: F401
+    from lakepipe.plans import queries_seed  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,31 +1,29 @@
-"""Seed files (CSV or zipped CSV) and their normalisation.
+"""Seed files (CSV or zipped CSV), their typed tables and their normalisation.
 
-A zip archive is not splittable, so each archive is decompressed by one
-task -- but many archives spread over many tasks, and the member is
-streamed out in record batches, never held whole decompressed.  (The
-compressed archive itself arrives as one ``binaryFile`` row, so one archive
-must stay below ``spark.sql.sources.binaryFile.maxLength``, 2 GB.)
+A zip archive is not splittable.  Its members are streamed, one buffer at a
+time, into the shared scratch folder through the file system classes that Spark
+itself reads with (any archive size, any store), and are then plain CSV files
+for Spark's own reader, each with its own header.
 
 CSV follows RFC 4180 as the seed files do: quoted fields may hold commas,
 newlines and doubled quotes."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakepipe.session import checkpoint_root
-from lakepipe.sources.layout import path_exists
+from lakepipe.functions.numeric import std_cast
+from lakepipe.operators.ordering import global_row_number
+from lakepipe.session import checkpoint_root, scratch_path
+from lakepipe.sources.layout import hadoop_fs, path_exists
 
-LINES_PER_BATCH = 50_000
-LINES_SCHEMA = "path string, line_no long, value string"
 # RFC 4180: a quote inside a quoted field is written twice.
 CSV_OPTIONS = {"escape": '"'}
 
@@ -55,96 +53,116 @@ SEED_PRIMARY_KEYS = {
 }
 
 
-def _quote_open_after(line: str, open_: bool, delimiter: str = ",") -> bool:
-    """Whether a quoted field is still open at the end of ``line``.
+# Columns and types of the tables of the source database.
+_SEED_COLUMNS = {
+    "customers": "customer_id string, customer_unique_id string, customer_zip_code_prefix int, customer_city string, customer_state string",
+    "orders": "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp, order_approved_at timestamp, "
+    "order_delivered_carrier_date timestamp, order_delivered_customer_date timestamp, order_estimated_delivery_date timestamp",
+    "order_items": "id bigint, order_id string, order_item_id int, product_id string, seller_id string, shipping_limit_date timestamp, "
+    "price float, freight_value float",
+    "order_payments": "id bigint, order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value float",
+    "order_reviews": "review_id string, order_id string, review_score int, review_comment_title string, review_comment_message string, "
+    "review_creation_date timestamp, review_answer_timestamp timestamp",
+    "products": "product_id string, product_category_name string, product_name_lenght int, product_description_lenght int, "
+    "product_photos_qty int, product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int",
+    "sellers": "seller_id string, seller_zip_code_prefix int, seller_city string, seller_state string",
+    "geolocation": "id bigint, geolocation_zip_code_prefix int, geolocation_lat float, geolocation_lng float, geolocation_city string, "
+    "geolocation_state string",
+    "product_category_name_translation": "id bigint, product_category_name string, product_category_name_english string",
+}
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "float": T.FloatType(), "timestamp": T.TimestampType()}
+SEED_SCHEMAS: dict[str, T.StructType] = {
+    table: T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in map(str.split, columns.split(", "))]) for table, columns in _SEED_COLUMNS.items()
+}
+
 
-    A quote opens a quoted field only at the start of a field; inside one,
-    a doubled quote is a literal quote and a single quote closes it.  A
-    quote in the middle of an unquoted field (``5" screen``) is a plain
-    character.  Only the quote characters of the line are visited."""
-    i = line.find('"')
-    while i != -1:
-        if open_:
-            if line.startswith('""', i):
-                i = line.find('"', i + 2)
+def unzip_to(spark: SparkSession, archive: str, folder: str) -> list[str]:
+    """Write every file of a zip archive below ``folder``; returns their paths in the archive's order.
+
+    Bytes go from one stream to the other through a buffer of 64 kB.  Members
+    are numbered, so names that repeat or climb out of the folder do no harm.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, source = hadoop_fs(spark, archive)
+    out = []
+    stream = jvm.java.util.zip.ZipInputStream(fs.open(source))
+    try:
+        while (entry := stream.getNextEntry()) is not None:
+            if entry.isDirectory():
                 continue
-            open_ = False
-        elif i == 0 or line[i - 1] == delimiter:
-            open_ = True
-        i = line.find('"', i + 1)
-    return open_
-
-
-def csv_records(lines):
-    """Physical lines (with their line endings) -> CSV records: a record
-    goes on while one of its quoted fields is still open.  Newlines inside
-    a field are kept as written."""
-    rec, open_ = [], False
-    for line in lines:
-        rec.append(line)
-        open_ = _quote_open_after(line, open_)
-        if not open_:
-            yield "".join(rec).rstrip("\r\n")
-            rec = []
-    if rec:
-        yield "".join(rec).rstrip("\r\n")
-
-
-def _unzip_lines(batches):
-    """mapInPandas body: first member of each archive -> numbered records."""
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                member = z.namelist()[0]
-                with z.open(member) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8", newline="")
-                    buf, start = [], 0
-                    for rec in csv_records(text):
-                        buf.append(rec)
-                        if len(buf) >= LINES_PER_BATCH:
-                            yield pd.DataFrame({"path": path, "line_no": range(start, start + len(buf)), "value": buf})
-                            start, buf = start + len(buf), []
-                    if buf:
-                        yield pd.DataFrame({"path": path, "line_no": range(start, start + len(buf)), "value": buf})
-
-
-def read_zipped_csv(spark: SparkSession, zip_path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Header CSV inside ``.zip`` archive(s) at ``zip_path`` (file or glob)."""
-    lines = (
-        spark.read.format("binaryFile").load(zip_path).select("path", "content")
-        .mapInPandas(_unzip_lines, LINES_SCHEMA)
-    )
-    header = lines.filter(F.col("line_no") == 0).select("value").first()
-    if header is None:
+            name = entry.getName().rsplit("/", 1)[-1] or "member"
+            to_fs, to = hadoop_fs(spark, f"{folder}/{len(out):06d}/{name}")
+            target = to_fs.create(to, True)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, target, 65536, False)
+            finally:
+                target.close()
+            out.append(f"{folder}/{len(out):06d}/{name}")
+    finally:
+        stream.close()
+    return out
+
+
+def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    reader = spark.read.option("header", "true").option("inferSchema", "false").options(**CSV_OPTIONS)
+    return normalise_headers((reader.option("multiLine", "true") if multi_line else reader).csv(path))
+
+
+def read_zipped_csv(spark: SparkSession, zip_path: str, schema: T.StructType | None = None, multi_line: bool = True, threads: int = 8) -> DataFrame:
+    """All rows of all members of the zip archives at ``zip_path`` (a file or a glob).
+
+    Every member is read with its own header; members are put together by
+    column name (lower case, stripped) whatever the order of their columns.  A
+    member with other columns than the first one, or than ``schema``, raises.
+    Empty members (no header) have no rows.
+    """
+    fs, pattern = hadoop_fs(spark, zip_path)
+    archives = sorted(str(f.getPath()) for f in fs.globStatus(pattern) or [])
+    folder = scratch_path(spark, "unzipped")
+    with ThreadPoolExecutor(threads) as pool:
+        unpacked = list(pool.map(lambda a: unzip_to(spark, a[1], f"{folder}/{a[0]:06d}"), enumerate(archives)))
+    members = [_read_csv(spark, path, multi_line) for paths in unpacked for path in paths]
+    members = [m for m in members if m.columns]
+    if not members:
         return spark.createDataFrame([], schema or T.StructType([]))
-    names = list(pd.read_csv(io.StringIO(header[0] + "\n"), nrows=0).columns)
-    ddl = ", ".join(f"`{n}` STRING" for n in names)
-    parsed = (
-        lines.filter(F.col("line_no") > 0)
-        .select(F.from_csv("value", F.lit(ddl), CSV_OPTIONS).alias("r"))
-        .select("r.*")
-    )
-    if schema is None:
-        return parsed
-    return parsed.select(*[F.col(f"`{n}`").try_cast(f.dataType).alias(f.name) for n, f in zip(names, schema.fields)])
+    first = members[0].columns
+    for m in members:
+        if sorted(m.columns) != sorted(first):
+            raise ValueError(f"members of {zip_path} have other columns: {sorted(first)} and {sorted(m.columns)}")
+    rows = reduce(DataFrame.unionByName, members)
+    return rows if schema is None else conform_to(rows, schema)
+
+
+def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cast to a contract, by name; a value that does not cast becomes NULL, other columns raise."""
+    wanted = {f.name.lower() for f in schema.fields}
+    if wanted != set(df.columns):
+        raise ValueError(f"columns {sorted(df.columns)}, the contract has {sorted(wanted)}")
+    return df.select(*[_cast(f).alias(f.name) for f in schema.fields])
+
+
+def _cast(field: T.StructField):
+    c = F.col(f"`{field.name.lower()}`")
+    if isinstance(field.dataType, T.TimestampType):
+        return F.try_to_timestamp(c.cast("string"))
+    return std_cast(c, field.dataType.simpleString())
 
 
 def read_csv_seed(
     spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame | None:
-    """CSV at ``path``; else the archive ``path + '.zip'``; else None.
+    """CSV at ``path`` (a file or folder); else the archive ``path + '.zip'``; else None.  Columns are text
+    (lower-case names), or with ``schema`` cast to it.
 
     ``multi_line`` (default) keeps quoted newlines inside their field; a
-    file is then parsed by one task (streamed, not held).  Files known to
-    have no quoted newlines can pass ``False`` to split each file over
-    many tasks."""
+    file is then parsed by one task (streamed, not held), so a large seed is
+    best delivered as many files.  Files known to have no quoted newlines can
+    pass ``False`` to split each file over many tasks."""
     if path_exists(spark, path):
-        reader = spark.read.option("header", "true").options(**CSV_OPTIONS)
-        reader = reader.option("multiLine", "true") if multi_line else reader
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "false")
-        return reader.csv(path)
+        rows = _read_csv(spark, path, multi_line)
+        return rows if schema is None else conform_to(rows, schema)
     if path_exists(spark, path + ".zip"):
-        return read_zipped_csv(spark, path + ".zip", schema)
+        return read_zipped_csv(spark, path + ".zip", schema, multi_line)
     return None
 
 
@@ -152,13 +170,17 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def dense_key(df: DataFrame, name: str, offset: int = 0) -> DataFrame:
-    """Add ``name`` = 1..n (+ ``offset``), unique and gap-free.
+def dense_key(df: DataFrame, name: str, offset: int = 0, order: Sequence[str] | None = None) -> DataFrame:
+    """Add ``name`` = 1..n (+ ``offset``), unique and gap-free, in the order of
+    the ``order`` columns (a range shuffle) or, without them, in any order.
 
     Per-partition row counts (one small row per partition) give each
     partition its starting offset; the row's position inside its partition
     comes from ``monotonically_increasing_id``.  The input is checkpointed
     first so both passes see identical partitions."""
+    if order:
+        keyed = global_row_number(df, *order, name=name).withColumn(name, F.col(name) + offset)
+        return keyed.select(name, *df.columns)
     checkpoint_root(df.sparkSession)
     df = df.checkpoint(eager=True)
     pos = df.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
@@ -178,14 +200,26 @@ def seed_normalise(
     pk: str | None = None,
     key_offset: int = 0,
     datetime_cols: Sequence[str] | None = None,
+    schema: T.StructType | None = None,
+    key_order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Lower/strip headers, drop full-row duplicates, add a dense key when
-    ``pk`` is missing (starting after ``key_offset``, e.g. the current max
-    key so reruns do not collide), parse date/time columns (by name, plus
-    ``datetime_cols``) with bad values -> NULL."""
+    ``pk`` is missing (starting after ``key_offset``; in the order of the
+    ``key_order`` columns, which makes reruns agree), parse date/time columns
+    (by name, plus ``datetime_cols``) with bad values -> NULL.
+
+    With ``schema`` (see ``SEED_SCHEMAS``) the columns take its types and
+    order instead: its timestamps are the date/time columns whatever their
+    names, and columns missing in the file are NULL.  Columns beyond it
+    raise."""
     df = normalise_headers(df).dropDuplicates()
     if pk and pk not in df.columns:
-        df = dense_key(df, pk, key_offset)
+        df = dense_key(df, pk, key_offset, key_order)
+    if schema is not None:
+        if beyond := set(df.columns) - {f.name for f in schema.fields}:
+            raise ValueError(f"columns {sorted(beyond)} are not in the table's contract")
+        missing = {f.name: F.lit(None).cast("string") for f in schema.fields if f.name not in df.columns}
+        return conform_to(df.withColumns(missing) if missing else df, schema)
     wanted = set(datetime_cols or [])
     casts = {
         c: F.try_to_timestamp(F.col(c).cast("string"))
@@ -195,6 +229,13 @@ def seed_normalise(
     return df.withColumns(casts) if casts else df
 
 
+def next_offset(stored: DataFrame | None, pk: str) -> int:
+    """The greatest synthetic key a stored table holds (0 without one): new keys go on after it."""
+    if stored is None or pk not in stored.columns:
+        return 0
+    return stored.agg(F.max(F.col(pk).try_cast("bigint"))).first()[0] or 0
+
+
 @dataclass
 class SeedLoadResult:
     table: str
@@ -214,6 +255,13 @@ def jdbc_sink(opts) -> SeedSink:
     return lambda table, df: write_jdbc(df, opts, table, "append")
 
 
+def jdbc_stored(spark: SparkSession, opts) -> Callable[[str], DataFrame]:
+    """What a table of the source database holds, for keys that go on after its greatest one."""
+    from lakepipe.sources.jdbc import read_jdbc_full
+
+    return lambda table: read_jdbc_full(spark, opts, table)
+
+
 def load_seeds(
     spark: SparkSession,
     data_dir: str,
@@ -222,11 +270,16 @@ def load_seeds(
     primary_keys: dict[str, str] | None = None,
     key_offsets: dict[str, int] | None = None,
     on_error: str = "raise",
+    schemas: Mapping[str, T.StructType] | None = None,
+    stored: Callable[[str], DataFrame | None] | None = None,
+    key_order: Mapping[str, Sequence[str]] | None = None,
 ) -> list[SeedLoadResult]:
     """Load every seed file into its table: read the CSV (or its ``.zip``),
     normalise it (``seed_normalise``: headers, duplicate rows, synthetic key
-    when the primary key is missing, date/time columns) and append it with
-    ``sink(table, df)``.  A missing file is reported and skipped.  A failed
+    when the primary key is missing, column types) and append it with
+    ``sink(table, df)``.  ``schemas`` types the tables it names (pass
+    ``SEED_SCHEMAS``); ``stored(table)`` gives what a table already holds, so
+    that synthetic keys go on after its greatest one.  A missing file is reported and skipped.  A failed
     table raises, or with ``on_error="skip"`` is reported and the loop goes
     on.  Row counts are observed on the write itself, so ``sink`` must
     write (run) the frame it is given."""
@@ -239,7 +292,11 @@ def load_seeds(
             out.append(SeedLoadResult(table, file, "missing"))
             continue
         obs = Observation()
-        df = seed_normalise(raw, pk=primary_keys.get(table), key_offset=(key_offsets or {}).get(table, 0))
+        pk = primary_keys.get(table)
+        offset = (key_offsets or {}).get(table, 0)
+        if stored is not None and pk and pk not in raw.columns:
+            offset = max(offset, next_offset(stored(table), pk))
+        df = seed_normalise(raw, pk=pk, key_offset=offset, schema=(schemas or {}).get(table), key_order=(key_order or {}).get(table))
         try:
             sink(table, df.observe(obs, F.count(F.lit(1)).alias("rows")))
         except Exception as e:  # noqa: BLE001 - reported per table when skipping

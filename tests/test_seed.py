@@ -2,7 +2,20 @@
 
 import zipfile
 
-from lakepipe.sources.seed import SEED_PRIMARY_KEYS, dense_key, read_csv_seed, seed_normalise
+import pytest
+from pyspark.sql import types as T
+
+from lakepipe.sources.seed import (
+    SEED_PRIMARY_KEYS,
+    SEED_SCHEMAS,
+    SEED_TABLES,
+    TRANSLATION_SEED,
+    dense_key,
+    load_seeds,
+    read_csv_seed,
+    read_zipped_csv,
+    seed_normalise,
+)
 
 
 def test_zip_and_plain_csv(spark, tmp_root):
@@ -36,15 +49,8 @@ def test_synthetic_key_only_when_missing(spark):
 def test_quoted_newlines_and_doubled_quotes(spark, tmp_root):
     """RFC 4180 fields: commas, line breaks and doubled quotes inside quotes
     stay in their field, zipped or plain."""
-    from lakepipe.sources.seed import csv_records
-
-    text = ('review_id,comment,score\r\nr1,"good, fast\r\nwould buy ""again""",5\r\nr2,plain,3\r\n'
-            'r3,a 5" screen,4\r\nr4,"x",2\r\n')
-    assert list(csv_records(text.splitlines(keepends=True))) == [
-        "review_id,comment,score", 'r1,"good, fast\r\nwould buy ""again""",5', "r2,plain,3",
-        'r3,a 5" screen,4', 'r4,"x",2']
-    # (Spark's multi-line reader turns CRLF inside a field into LF; use LF.)
-    text = text.replace("fast\r\nwould", "fast\nwould")
+    text = ('review_id,comment,score\nr1,"good, fast\nwould buy ""again""",5\nr2,plain,3\n'
+            'r3,a 5" screen,4\nr4,"x",2\n')
     with zipfile.ZipFile(tmp_root + "/reviews.csv.zip", "w") as z:
         z.writestr("reviews.csv", text)
     with open(tmp_root + "/plain_reviews.csv", "w", newline="") as f:
@@ -56,13 +62,51 @@ def test_quoted_newlines_and_doubled_quotes(spark, tmp_root):
         assert sorted(tuple(r) for r in df.collect()) == want, p
 
 
+def test_zip_members_are_joined_by_name(spark, tmp_root):
+    """Every member of every archive, each with its own header; other columns raise, an empty member adds nothing."""
+    with zipfile.ZipFile(tmp_root + "/a.zip", "w") as z:
+        z.writestr("x/part.csv", "A,b\n1,one\n")
+        z.writestr("y/part.csv", " B ,a\ntwo,2\nthree,3\n")
+        z.writestr("empty.csv", "")
+    with zipfile.ZipFile(tmp_root + "/b.zip", "w") as z:
+        z.writestr("../up.csv", "b,a\nfour,4.0\nbad,n/a\n")
+    df = read_zipped_csv(spark, tmp_root + "/*.zip", T.StructType.fromDDL("a int, b string"))
+    assert df.dtypes == [("a", "int"), ("b", "string")]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([(1, "one"), (2, "two"), (3, "three"), (4, "four"), (None, "bad")], key=str)
+    with pytest.raises(ValueError, match="contract"):
+        read_zipped_csv(spark, tmp_root + "/b.zip", T.StructType.fromDDL("a int"))
+    with zipfile.ZipFile(tmp_root + "/c.zip", "w") as z:
+        z.writestr("c.csv", "a,b,c\n1,2,3\n")
+    with pytest.raises(ValueError, match="other columns"):
+        read_zipped_csv(spark, tmp_root + "/*.zip")
+
+
+def test_keys_go_on_after_the_stored_ones(spark, tmp_root):
+    with open(tmp_root + "/pay.csv", "w") as f:
+        f.write("Order_ID,Payment_Value\nb,2.5\na,1\na,1\n")
+    stored = []
+
+    def sink(table, df):
+        stored.extend(df.collect())
+
+    def held(table):
+        return spark.createDataFrame(stored, SEED_SCHEMAS["order_payments"]) if stored else None
+
+    for _ in range(2):
+        load_seeds(spark, tmp_root, sink, {"pay.csv": "order_payments"}, schemas=SEED_SCHEMAS, stored=held, key_order={"order_payments": ["order_id"]})
+    assert [(r.id, r.order_id, r.payment_value, r.payment_type) for r in stored] == [(1, "a", 1.0, None), (2, "b", 2.5, None), (3, "a", 1.0, None), (4, "b", 2.5, None)]
+
+
+def test_contracts_of_all_tables(spark):
+    assert set(SEED_SCHEMAS) == {*SEED_TABLES.values(), *TRANSLATION_SEED.values()}
+    assert all(SEED_PRIMARY_KEYS.get(t, "id") in s.fieldNames() for t, s in SEED_SCHEMAS.items())
+    with pytest.raises(ValueError, match="not in the table's contract"):
+        seed_normalise(spark.createDataFrame([("x", 1)], "seller_id string, other int"), schema=SEED_SCHEMAS["sellers"])
+
+
 def test_load_seeds_loop(spark, tmp_root):
     """Every mapped file -> normalised table through the sink; a missing file
     is reported; a failing table raises, or is reported with on_error=skip."""
-    import pytest
-
-    from lakepipe.sources.seed import load_seeds
-
     with zipfile.ZipFile(tmp_root + "/sellers.csv.zip", "w") as z:
         z.writestr("sellers.csv", " Seller_ID ,Seller_City\ns1,a\ns1,a\ns2,b\n")
     with open(tmp_root + "/orders.csv", "w") as f:
@@ -85,8 +129,6 @@ def test_load_seeds_loop(spark, tmp_root):
 
 
 def test_translation_seed_has_no_synthetic_key(spark, tmp_root):
-    from lakepipe.sources.seed import TRANSLATION_SEED, load_seeds
-
     with open(tmp_root + "/product_category_name_translation.csv", "w") as f:
         f.write("Product_Category_Name,Product_Category_Name_English\nbeleza,beauty\nbeleza,beauty\n")
     got = {}
@@ -95,25 +137,3 @@ def test_translation_seed_has_no_synthetic_key(spark, tmp_root):
     assert res[0].status == "loaded" and res[0].rows == 1
     cols, rows_ = got["product_category_name_translation"]
     assert cols == ["product_category_name", "product_category_name_english"] and len(rows_) == 1
-
-
-from hypothesis import given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
-
-_field = st.text(alphabet=st.sampled_from(list('ab ,"\n\r5')), max_size=8)
-
-
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.lists(_field, min_size=1, max_size=4), min_size=1, max_size=6))
-def test_csv_records_round_trip(rows_):
-    """Rows written with RFC 4180 quoting, split into physical lines, are
-    regrouped into exactly one record per row, each parsing back to it."""
-    import csv
-    import io
-
-    from lakepipe.sources.seed import csv_records
-
-    buf = io.StringIO()
-    csv.writer(buf, lineterminator="\r\n").writerows(rows_)
-    records = list(csv_records(buf.getvalue().splitlines(keepends=True)))
-    assert [next(csv.reader([r])) for r in records] == rows_
