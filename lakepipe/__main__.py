@@ -34,7 +34,8 @@ def _args(argv):
     ing.add_argument("--overlap-seconds", type=int, default=0)
     ing.add_argument("--partition-column", action="append", default=[], metavar="TABLE=COLUMN",
                      help="read TABLE in --jdbc-partitions ranges of COLUMN (repeatable)")
-    ing.add_argument("--jdbc-partitions", type=int, default=1)
+    ing.add_argument("--jdbc-partitions", type=int, default=16,
+                     help="ranges a table with a --partition-column is read in")
     ing.add_argument("--run-date", default=dt.date.today().isoformat())
 
     sd = sub.add_parser("seed", help="seed CSV / zipped CSV files -> source database tables (append)")
@@ -50,7 +51,8 @@ def _args(argv):
     sil = sub.add_parser("silver", help="bronze -> silver (stream, availableNow)")
     sil.add_argument("--root", required=True)
     sil.add_argument("--entity", action="append", help="only these entities (repeatable)")
-    sil.add_argument("--buckets", type=int, default=0, help="bucketed silver tables with this many buckets")
+    sil.add_argument("--buckets", type=int, default=256,
+                     help="buckets of a silver table (a batch rewrites the buckets it touches); 0: a snapshot a batch")
     sil.add_argument("--range", action="append", default=[], metavar="ENTITY=WIDTH",
                      help="range layout for an entity whose id grows with time (repeatable)")
     sil.add_argument("--guard-stale", action="store_true")
@@ -106,7 +108,7 @@ def main(argv=None) -> int:
                           for r in res]))
     elif a.cmd == "silver":
         from lakepipe.plans.silver import SILVER_SPECS
-        from lakepipe.sinks.tables import BucketedTable, VersionedTable
+        from lakepipe.sinks.tables import BucketedTable, VersionedTable, open_table
         from lakepipe.streaming.silver_stream import run_silver_tables
 
         specs = [s for s in SILVER_SPECS.values() if not a.entity or s.entity in a.entity]
@@ -117,6 +119,9 @@ def main(argv=None) -> int:
             root = lake.silver(spec.entity)
             if spec.entity in ranges:
                 return BucketedTable(spark, root, [spec.pk], range_width=ranges[spec.entity])
+            stored = open_table(spark, root)
+            if isinstance(stored, BucketedTable) or stored.exists():
+                return stored if isinstance(stored, BucketedTable) else VersionedTable(spark, root, keep=a.keep_versions)
             if a.buckets:
                 return BucketedTable(spark, root, [spec.pk], a.buckets)
             return VersionedTable(spark, root, keep=a.keep_versions)

@@ -440,13 +440,13 @@ def _source(spark, sf_dir, as_of_cut: bool):
     return src
 
 
-def _counts(spark, layout, names):
-    parts = [read_bronze(spark, layout.bronze(n)).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("rows"))
-             .withColumn("table_name", F.lit(n)) for n in names]
+def _stored(spark, layout, names):
+    """Whole bronze rows of several tables: the columns of each, under its name."""
+    parts = [read_bronze(spark, layout.bronze(n)).withColumn("table_name", F.lit(n)) for n in names]
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table_name", "ingest_date", "rows")
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 @register(
@@ -468,8 +468,8 @@ def q_ingest_watermark(spark, sf_dir):
 
 @register(
     "ingest_schedule_subset",
-    """select 'orders' as table_name, date '2001-10-01' as ingest_date, count(*) as rows from orders
-union all select 'lineitem', date '2001-10-01', count(*) from lineitem""",
+    """select *, 'orders' as table_name, date '2001-10-01' as ingest_date from orders
+union all by name select *, 'lineitem' as table_name, date '2001-10-01' as ingest_date from lineitem""",
     "WM-5 WM-6",
 )
 def q_ingest_schedule_subset(spark, sf_dir):
@@ -477,16 +477,15 @@ def q_ingest_schedule_subset(spark, sf_dir):
     store = WatermarkStore(spark, layout.watermarks(), DAY2)
     res = ingest_all(spark, _SRC_SPECS, _source(spark, sf_dir, False), layout, store, "2001-10-01",
                      schedule="hourly", parallelism=2)
-    return _counts(spark, layout, [r.table for r in res])
+    return _stored(spark, layout, [r.table for r in res])
 
 
 @register(
     "backfill_full",
-    """select 'orders' as table_name, date '2001-09-01' as ingest_date, count(*) as rows from orders
-  where o_orderdate < timestamp '1998-01-01'
-union all select 'orders', date '2001-10-01', count(*) from orders
-union all select 'nation', date '2001-09-01', count(*) from nation
-union all select 'nation', date '2001-10-01', count(*) from nation""",
+    """select *, 'orders' as table_name, date '2001-09-01' as ingest_date from orders where o_orderdate < timestamp '1998-01-01'
+union all by name select *, 'orders' as table_name, date '2001-10-01' as ingest_date from orders
+union all by name select *, 'nation' as table_name, date '2001-09-01' as ingest_date from nation
+union all by name select *, 'nation' as table_name, date '2001-10-01' as ingest_date from nation""",
     "WM-7 D21",
 )
 def q_backfill_full(spark, sf_dir):
@@ -495,7 +494,7 @@ def q_backfill_full(spark, sf_dir):
     specs = [_SRC_SPECS[0], _SRC_SPECS[3]]
     ingest_all(spark, specs, _source(spark, sf_dir, True), layout, store, "2001-09-01")
     backfill(spark, specs, _source(spark, sf_dir, False), layout, store, "2001-10-01")
-    return _counts(spark, layout, ["orders", "nation"])
+    return _stored(spark, layout, ["orders", "nation"])
 
 
 # --------------------------------------------------------------- streaming

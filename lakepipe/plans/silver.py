@@ -46,9 +46,10 @@ RESCUE_COL = "_rescued_data"
 # Bronze bookkeeping columns that never reach silver (the load-date
 # partition column is a property of the bronze layout, not of the entity).
 BRONZE_ONLY_COLS = (RESCUE_COL, INGEST_DATE_COL)
+# User columns that silver leaves out.
 SENSITIVE_USER_COLS = ("password", "refreshToken", "loginAttempts", "lastLoginAt")
 
-# Fixed-schema contracts (column order of the silver tables).  Columns in
+# Contracts (column order of the silver tables).  Columns in
 # OPTIONAL are filled with a typed NULL when the source does not have them.
 CONTRACTS = {
     "fitness_center": ["id", "name", "category", "officalemail", "phone", "isVerified", "description",

@@ -240,6 +240,22 @@ class BucketedTable:
             return df.withColumn(BUCKET_COL, range_of(self.keys[0], self.range_width))
         return df.withColumn(BUCKET_COL, bucket_of(self.keys, self.buckets))
 
+    def touched(self, batch: DataFrame) -> tuple[list[int], int]:
+        """The buckets the table has that rows of ``batch`` (with its bucket
+        column) fall into, and how many buckets the batch falls into in all.
+
+        Buckets the table lacks yet have no rows to read, so at most the
+        table's own list of partitions reaches the driver, which holds it as
+        the file index anyway."""
+        stage = self._read_file(PENDING_FILE)
+        names = list_dirs(self.spark, self.root) + (self._staged(stage) if stage else [])
+        have = sorted({int(d.split("=", 1)[1]) for d in names if d.startswith(f"{BUCKET_COL}=") and d.split("=", 1)[1].lstrip("-").isdigit()})
+        kind = batch.schema[BUCKET_COL].dataType.simpleString()
+        mine = self.spark.createDataFrame([(b, b) for b in have], f"{BUCKET_COL} {kind}, _have {kind}")
+        met = batch.select(BUCKET_COL).distinct().join(mine, BUCKET_COL, "left")
+        row = met.agg(F.count(F.lit(1)).alias("n"), F.collect_list("_have").alias("have")).first()
+        return row["have"], row["n"]
+
     def create(self, df: DataFrame) -> None:
         """First write.  Layout and columns are recorded before the data;
         the table exists once its ``_SUCCESS`` does, so what a crashed

@@ -13,12 +13,16 @@ from lakepipe.clock import SYSTEM_CLOCK, Clock
 from lakepipe.operators.dedup import dedup_latest
 from lakepipe.operators.merge import scd2_df, upsert_df
 from lakepipe.operators.quality import not_null_condition
-from lakepipe.sinks.tables import BUCKET_COL, BucketedTable, VersionedTable
+from lakepipe.operators.time_slices import join_on_keys
+from lakepipe.sinks.tables import BUCKET_COL, BucketedTable, VersionedTable, open_table
+from lakepipe.sources.bronze import read_bronze  # noqa: F401
 
 INGEST_DATE_COL = "ingest_date"
-# Rows of one partition value above which a partitioned write lets AQE
-# split the value over several writer tasks.
+# Rows of one partition value that one writer task takes; a larger value is
+# dealt over several.
 HOT_PARTITION_ROWS = 5_000_000
+# Buckets of a history table that ``write_gold`` creates.
+MERGE_BUCKETS = 256
 
 
 @dataclass
@@ -46,6 +50,7 @@ def write_gold(
     snapshots: bool = False,
     keep_versions: int = 3,
     hot_partition_rows: int = HOT_PARTITION_ROWS,
+    buckets: int = MERGE_BUCKETS,
 ) -> WriteReport:
     """Write a gold table.
 
@@ -54,7 +59,10 @@ def write_gold(
       partitioned; ``dynamic_partitions=True`` replaces only the partitions
       present in ``df``;
     * ``append`` adds the rows;
-    * ``merge`` keeps SCD-2 history keyed on ``primary_key``.
+    * ``merge`` keeps SCD-2 history keyed on ``primary_key``, in ``buckets``
+      hash buckets of the key, so a load rewrites the buckets it touches and
+      not the history.  A table that exists as snapshots, or one with
+      ``partition_cols``, stays a table of snapshots.
 
     An in-place overwrite removes the old files before the job writes the
     new ones, so readers see an empty or partial table while it runs.  With
@@ -68,38 +76,44 @@ def write_gold(
     if mode.lower() == "merge":
         if not primary_key:
             raise ValueError("primary_key is required for mode='merge'")
-        # Each load commits the whole history as a new snapshot: keep a few.
-        table = VersionedTable(spark, path, partition_cols, keep=keep_versions)
+        table = open_table(spark, path)
+        if isinstance(table, VersionedTable) and (partition_cols or table.exists()):
+            # Each load commits the whole history as a new snapshot: keep a few.
+            table = VersionedTable(spark, path, partition_cols, keep=keep_versions)
+        elif isinstance(table, VersionedTable):
+            table = BucketedTable(spark, path, [primary_key] if isinstance(primary_key, str) else list(primary_key), buckets)
         return scd2_apply(spark, df, table, primary_key, clock)
     if snapshots and (mode != "overwrite" or dynamic_partitions):
         raise ValueError("snapshots apply to full overwrites only")
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        hot = False
         if partition_cols:
             # One small job over the cached result: emptiness and the size
             # of the largest partition value.
-            st = (
-                df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n"))
-                .agg(F.sum("_n").alias("rows"), F.max("_n").alias("largest")).first()
-            )
+            sizes = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n"))
+            st = sizes.agg(F.sum("_n").alias("rows"), F.max("_n").alias("largest")).first()
             if not st["rows"]:
                 return WriteReport(path, "skipped-empty")
-            hot = st["largest"] > hot_partition_rows
         elif _is_empty(df):
             return WriteReport(path, "skipped-empty")
         obs = Observation()
         out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if partition_cols:
-            # Rows of one partition value go to one writer task: one file
-            # per directory instead of one per task and value, and values
-            # written in parallel.  A value holding more than
-            # ``hot_partition_rows`` rows (a day with a third of the data)
-            # goes through a REBALANCE instead, which AQE splits over several
-            # writers.  (REBALANCE is not the default: AQE would also merge
-            # thousands of small days into one serial writer task.)
+            # Rows of one partition value go to one writer task for each
+            # ``hot_partition_rows`` of them: one file a directory, or for a
+            # large value (a day with a third of the data) as many as its
+            # count gives, and values written in parallel.
             cols = [F.col(c) for c in partition_cols]
-            out = out.hint("rebalance", *partition_cols) if hot else out.repartition(*cols)
+            if st["largest"] <= hot_partition_rows:
+                out = out.repartition(*cols)
+            else:
+                large = sizes.where(F.col("_n") > hot_partition_rows).withColumn("_n", F.ceil(F.col("_n") / hot_partition_rows))
+                salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.coalesce(F.col("_n"), F.lit(1)))
+                # A stated number of partitions: AQE would merge many small
+                # values into one serial writer.
+                tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-st["rows"] // hot_partition_rows))
+                salted = join_on_keys(out, large, partition_cols).withColumn("_writer", salt.cast("int"))
+                out = salted.repartition(tasks, *cols, "_writer").select(*df.columns)
         if snapshots:
             table = VersionedTable(spark, path, partition_cols, keep=keep_versions)
             v = table.commit(out)
@@ -148,13 +162,10 @@ def upsert(
             return WriteReport(table.root, "created")
         table.check_columns(batch)
         b = table.with_bucket(batch)
-        # One small int per touched partition reaches the driver: at most the
-        # bucket count (hash layout) or the number of key ranges the batch
-        # spans (range layout) -- both bounded by the table's partition list.
-        touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]
+        touched, n_touched = table.touched(b)
         old = table.read(with_bucket=True).filter(F.col(BUCKET_COL).isin(touched))
         table.replace_buckets(upsert_df(old, b, keys, updated_col, guard_stale))
-        return WriteReport(table.root, "merged", {"buckets_rewritten": len(touched)})
+        return WriteReport(table.root, "merged", {"buckets_rewritten": n_touched})
     finally:
         batch.unpersist()
 
@@ -191,13 +202,13 @@ def scd2_apply(
         table.check_columns(updates)
         b = table.with_bucket(updates)
         history = table.read(with_bucket=True)
-        touched = None
+        n_touched = "all"
         if not expire_missing:
-            touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # one int per partition
+            touched, n_touched = table.touched(b)
             history = history.filter(F.col(BUCKET_COL).isin(touched))
         table.replace_buckets(scd2_df(history, b, pk, clock, compare_cols, expire_missing))
         return WriteReport(table.root, "merged",
-                           {"buckets_rewritten": len(touched) if touched is not None else "all"})
+                           {"buckets_rewritten": n_touched})
     finally:
         updates.unpersist()
 
@@ -226,8 +237,3 @@ def append_bronze(
     )
     m = obs.get
     return WriteReport(path, "appended" if m.get("rows") else "skipped-empty", m)
-
-
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of a bronze table across all schema versions."""
-    return spark.read.option("mergeSchema", "true").parquet(path)

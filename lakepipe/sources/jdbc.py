@@ -85,20 +85,6 @@ def read_jdbc_full(
     return reader.load()
 
 
-def read_jdbc_incremental(
-    spark: SparkSession,
-    opts: JdbcOptions,
-    table: str,
-    updated_col: str,
-    watermark,
-    partitioning: JdbcPartitioning | None = None,
-) -> DataFrame:
-    """Rows with ``updated_col > watermark``.  Expressed as a DataFrame filter
-    with a typed literal, which Spark pushes into the database query."""
-    df = read_jdbc_full(spark, opts, table, partitioning)
-    return df.filter(F.col(updated_col) > F.lit(watermark).cast("timestamp"))
-
-
 def sql_literal(v) -> str:
     """A value as a SQL literal (timestamps, dates, numbers, text)."""
     if isinstance(v, dt.datetime):

@@ -111,3 +111,30 @@ def test_lifetime_value_joins_its_dimension_once(spark):
     t = fx.Tables(spark, SF)
     p = user_lifetime_value(fx.v_user(t), fx.v_payment(t), fx.v_booking(t), catalog.CLOCK)
     assert p._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+
+
+def test_guarded_upsert_reads_its_target_once(spark, tmp_root):
+    schema = "id long, v string, at timestamp"
+    target = [(k, "old", dt.datetime(2024, 1, 1 + k % 20)) for k in range(100)]
+    spark.createDataFrame(target, schema).write.parquet(tmp_root + "/t")
+    t = spark.read.parquet(tmp_root + "/t")
+    b = spark.createDataFrame([(k, dt.datetime(2024, 1, 10), k) for k in range(90, 110)], "id long, at timestamp, extra long")
+    out = upsert_df(t, b, "id", "at", guard_stale=True)
+    assert out.columns == ["id", "v", "at", "extra"]
+    assert plan(out).count("FileScan parquet") == 1
+    got = {r.id: (r.v, r.extra) for r in out.collect()}
+    assert len(got) == 110 and all(got[k] == ("old", None) for k in range(90))
+    assert all(got[k] == (("old", None) if target[k][2] > dt.datetime(2024, 1, 10) else (None, k)) for k in range(90, 100))
+    assert all(got[k] == (None, k) for k in range(100, 110))
+
+
+def test_money_is_exact_and_keeps_what_is_no_number(spark):
+    from lakepipe.plans.gold import money_sum
+
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "amount double").agg(money_sum("amount").alias("s")).first().s
+
+    assert total(*[0.004] * 1000) == 4.0 and total(0.1, 0.2) == 0.3
+    assert total(None, None) is None and total(None, 2.5) == 2.5
+    assert str(total(float("nan"), 1.0)) == "nan" and total(float("inf"), 1.0) == float("inf")
+    assert total(1e20, 1.0) == 1e20 + 1.0
