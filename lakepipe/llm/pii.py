@@ -16,6 +16,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakepipe.session import scratch_path
 
@@ -92,28 +93,39 @@ def _words(words: list[str]) -> str:
     return "(?i)(?<![A-Za-z])(?:" + "|".join(words) + ")(?![A-Za-z])"
 
 
-def _matches(text: Column, kind: str) -> Column:
-    """Array of (kind, start, end, valid, votes) of a pattern's leftmost matches; code points, end exclusive."""
+def _found(kind: str) -> tuple[Column, Column]:
+    """The leftmost matches of a pattern in the column ``t``, and the pieces of text between them."""
     pattern, needs = _pattern(kind)
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    none = F.array().cast("array<string>")
+    hits = F.regexp_extract_all(F.col("t"), F.lit(pattern), F.lit(0))
+    hits = F.when(F.contains(F.col("t"), F.lit(needs)), hits).otherwise(none) if needs else hits
+    return hits, F.when(F.size(f"m_{kind}") > 0, F.split(F.col("t"), pattern, -1)).otherwise(none)
+
+
+def _spans(kind: str) -> Column:
+    """Array of what is known of each match by itself: the labellers' votes, and lengths from which its place follows.
+
+    Matches and pieces are columns made before, so a text is searched once
+    whatever the number of its matches.
+    """
+    found, between = F.col(f"m_{kind}"), F.col(f"b_{kind}")
 
     def vote(yes: Column, no: Column | None = None) -> Column:
         """2 yes, 1 no, 0 abstain."""
         out = F.when(yes, 2)
         return out.otherwise(0) if no is None else out.when(no, 1).otherwise(0)
 
-    def step(acc: Column, i: Column) -> Column:
-        m, before, after = F.get(found, i), F.get(between, i), F.get(between, i + 1)
-        start = acc["at"] + F.length(before)
-        end = start + F.length(m)
+    def span(m: Column, i: Column) -> Column:
+        before, after = F.get(between, i), F.get(between, i + 1)
         around = F.concat_ws(" ", F.right(before, F.lit(40)), F.left(after, F.lit(20)))
         valid = _valid(kind, m)
         digits = _digits(m)
         distinct = F.size(F.array_distinct(F.split(digits, "")))
-        span = F.struct(
+        return F.struct(
             F.lit(kind).alias("kind"),
-            start.alias("start"),
-            end.alias("end"),
+            i.alias("nth"),
+            F.length(before).alias("gap"),
+            F.length(m).alias("size"),
             valid.alias("valid"),
             F.struct(
                 vote(valid, ~valid).alias("shape"),
@@ -125,22 +137,8 @@ def _matches(text: Column, kind: str) -> Column:
             F.least(F.length(m), F.lit(64)).alias("length"),
             (F.length(digits) / F.greatest(F.length(m), F.lit(1))).alias("digit_share"),
         )
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-
-    empty = F.expr(f"cast(array() as array<{_SPAN}>)")
-    steps = F.aggregate(
-        F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"]
-    )
-    there = F.size(found) > 0
-    if needs:
-        there = F.contains(text, F.lit(needs)) & there
-    return F.when(there, steps).otherwise(empty)
 
-
-_SPAN = (
-    "struct<kind:string,start:int,end:int,valid:boolean,"
-    "votes:struct<shape:int,gazetteer:int,context:int,against:int,digits:int>,length:int,digit_share:double>"
-)
+    return F.transform(found, span)
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> dict[tuple[int, ...], float]:
@@ -186,7 +184,7 @@ def _classifier(spans: DataFrame, max_spans: int):
             same = same & (F.col("s")["votes"][v] == k)
         posterior = F.when(same, x).otherwise(posterior)
     names = list(_features(F.col("s")))
-    sample = spans.orderBy("h").limit(max_spans).withColumn("q", posterior)
+    sample = spans.orderBy("h", "s").limit(max_spans).withColumn("q", posterior)
     rows = sample.select(
         (F.col("q") >= 0.5).cast("double").alias("label"),
         F.abs(F.col("q") * 2 - 1).alias("weight"),
@@ -194,7 +192,7 @@ def _classifier(spans: DataFrame, max_spans: int):
     ).coalesce(1)
     rows = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     fitted = LogisticRegression(weightCol="weight", regParam=0.01, maxIter=50).fit(rows)
-    weights, bias = fitted.coefficients.tolist(), float(fitted.intercept)
+    weights, bias = fitted.coefficients.toArray().tolist(), float(fitted.intercept)
 
     def probability(span: Column) -> Column:
         z = F.lit(bias)
@@ -220,39 +218,44 @@ def personal_data(
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "pii")
-    text = F.coalesce(F.col("t"), F.lit(""))
-    found = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).select(
-        "i", F.concat(*[_matches(text, k) for k in _ORDER]).alias("found")
-    )
-    found.write.parquet(f"{path}/found")
+    rows = docs.select(F.monotonically_increasing_id().alias("r"), F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    rows = rows.withColumns({f"m_{k}": _found(k)[0] for k in _ORDER})
+    rows = rows.withColumns({f"b_{k}": _found(k)[1] for k in _ORDER})
+    # Stored: the number of a row, once given, stays with it.
+    rows.select("r", "i", F.concat(*[_spans(k) for k in _ORDER]).alias("found")).write.parquet(f"{path}/found")
     found = spark.read.parquet(f"{path}/found")
-    spans = found.select(F.explode("found").alias("s")).select("s", F.xxhash64("s.start", "s.end", "s.kind", "s.digit_share").alias("h"))
-    probability = _classifier(spans, max_spans)
-    base_kinds = list(BASE)
-
-    def listed(spans: Column) -> Column:
-        """Spans by start, then kind as listed, joined."""
-        order = F.array(*[F.lit(k) for k in _ORDER])
-        keyed = F.transform(
-            spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"))
-        )
-        return F.array_join(F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-    base = F.filter("found", lambda s: s["kind"].isin(*base_kinds) & s["valid"])
-    out = found.withColumn("base", base).withColumn(
-        "more",
-        F.filter(
-            "found",
-            lambda s: ~s["kind"].isin(*base_kinds)
-            & s["valid"]
-            & (probability(s) >= threshold)
-            & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-        ),
+    # The spans of a text come together once; places, overlaps and lists are passes along them.
+    spans = found.select("r", F.explode("found").alias("s")).repartition("r")
+    up_to = Window.partitionBy("r", "s.kind").orderBy("s.nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("s.gap") + F.col("s.size")).over(up_to)
+    placed = spans.select("r", "s", (end - F.col("s.size")).alias("start"), end.alias("end"))
+    placed.write.parquet(f"{path}/placed")
+    placed = spark.read.parquet(f"{path}/placed")
+    probability = _classifier(placed.select("s", F.xxhash64("r", "start", "end", "s.kind").alias("h")), max_spans)
+    kind, valid = F.col("s.kind"), F.col("s.valid")
+    is_base = kind.isin(*BASE) & valid
+    # A looser span stays where no base span that starts at or before it reaches into it and none starts inside it.
+    along = Window.partitionBy("r").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = Window.partitionBy("r").orderBy("start").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    placed = placed.repartition("r").withColumns(
+        {"base": is_base, "reach": F.max(F.when(is_base, F.col("end"))).over(along), "next": F.min(F.when(is_base, F.col("start"))).over(onward)}
+    )
+    free = ~(F.coalesce(F.col("reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("next") < F.col("end"), F.lit(False)))
+    kept = placed.where(F.col("base") | (~kind.isin(*BASE) & valid & (probability(F.col("s")) >= threshold) & free))
+    rank = F.array_position(F.array(*[F.lit(k) for k in _ORDER]), kind)
+    entry = F.struct("start", rank.alias("rank"), F.concat_ws(":", kind, "start", "end").alias("span"))
+
+    def listed(which: Column) -> Column:
+        """Spans of a text by start, then kind as listed, joined."""
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(which, entry))), lambda x: x["span"]), ",")
+
+    lists = kept.groupBy("r").agg(
+        *(F.count(F.when(F.col("base") & (kind == k), 1)).alias(f"n_{k}") for k in BASE), listed(F.col("base")).alias("base_spans"), listed(F.lit(True)).alias("spans")
     )
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    out = found.select("r", "i").join(lists, "r", "left")
     return out.select(
         F.col("i").alias(id_col),
-        *(count(k) for k in base_kinds),
-        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
-        listed(F.concat("base", "more")).alias("spans"),
+        *(F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in BASE),
+        F.sha2(F.coalesce("base_spans", F.lit("")), 256).alias("base_sha256"),
+        F.coalesce("spans", F.lit("")).alias("spans"),
     )
