@@ -6,6 +6,8 @@ drops late.  Each drop is one run of the stream over the same checkpoints.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,7 +141,7 @@ def q_stream_join_payment_booking(spark, sf_dir):
     bookings.write.parquet(f"{root}/bookings")
     left = spark.readStream.schema(payments.schema).parquet(f"{root}/payments")
     right = spark.readStream.schema(bookings.schema).parquet(f"{root}/bookings")
-    joined = join_within(left, right, ["userId"], "paidAt", "bookedAt", "30 days", "132 hours")
+    joined = join_within(left, right, ["userId"], "paidAt", "bookedAt", dt.timedelta(days=30), "132 hours")
     run_to_table(joined, f"{root}/joined", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/joined").select("paymentId", "userId", "paidAt", "bookingId", "bookedAt")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -45,23 +46,34 @@ def event_windows(
     return grouped.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *rest)
 
 
-def join_within(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, within: str, delay: str, how: str = "left_outer") -> DataFrame:
+def join_within(
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, within: dt.timedelta, delay: str, how: str = "left_outer"
+) -> DataFrame:
     """Stream-stream join: right rows of the key at most ``within`` after the left row (or at the same time).
 
     Both sides are buffered until the watermark shows that no partner can come.
     With ``left_outer`` a left row without a partner comes out then, with
     NULLs.  A left row with a NULL key or time never has one: those with a NULL
     time are not joined at all.  Other column names must differ.
+
+    Rows meet on the key and a bin of time ``within`` long: a left row lies in
+    one, a right row goes to its own and the one before, so a busy key is
+    spread over its bins and each pair still meets once.
     """
     if clash := (set(left.columns) & set(right.columns)) - set(on):
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    one = left.where(F.col(left_time).isNotNull()).withWatermark(left_time, delay)
+    width = round(within.total_seconds() * 1_000_000)
+
+    def bin_of(time: str) -> Column:
+        return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / F.lit(max(1, width)))
+
+    one = left.where(F.col(left_time).isNotNull()).withWatermark(left_time, delay).withColumn("_l_bin", bin_of(left_time))
     two = right.where(F.col(right_time).isNotNull()).withWatermark(right_time, delay)
-    two = two.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in two.columns])
-    condition = (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + F.expr(f"interval {within}"))
+    two = two.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in two.columns], F.explode(F.array(bin_of(right_time) - 1, bin_of(right_time))).alias("_r_bin"))
+    condition = (F.col("_l_bin") == F.col("_r_bin")) & (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + F.expr(f"interval {width} microseconds"))
     for c in on:
         condition = condition & (F.col(c) == F.col(f"_r_{c}"))
-    return one.join(two, condition, how).drop(*[f"_r_{c}" for c in on])
+    return one.join(two, condition, how).drop("_l_bin", "_r_bin", *[f"_r_{c}" for c in on])
 
 
 class LatestRow(StatefulProcessor):

@@ -89,7 +89,7 @@ def test_stream_join_keeps_unmatched_rows(spark, tmp_root):
     def run():
         left = side("l", lefts, "l long, k long, lt timestamp")
         right = side("r", rights, "r long, k long, rt timestamp")
-        joined = join_within(left, right, ["k"], "lt", "rt", "3 hours", "1 hour")
+        joined = join_within(left, right, ["k"], "lt", "rt", dt.timedelta(hours=3), "1 hour")
         run_to_table(joined, f"{tmp_root}/out", f"{tmp_root}/c").awaitTermination()
 
     lefts, rights = [(1, 1, at(10)), (2, 1, at(20)), (3, None, at(10)), (4, 2, at(10)), (9, 1, None)], [(1, 1, at(13)), (2, 1, at(14)), (3, 2, at(9))]
