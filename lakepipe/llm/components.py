@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def components(edges: DataFrame, path: str, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, path: str) -> DataFrame:
     """(v, root) for every vertex of the undirected ``edges`` (a, b); root is the smallest vertex reachable.
 
     Each round rewrites the edge table under ``path`` (lineage is cut there).
     The minimum of a vertex's neighbours is a partial aggregate; a vertex's
-    neighbours are never gathered in one row.
+    neighbours are never gathered in one row.  Rounds go on until one changes
+    nothing: every edge moves towards a smaller vertex, so one comes.
     """
     spark = edges.sparkSession
     cur = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("m")).distinct()
     state = None
-    for k in range(max_rounds):
+    for k in count():
         both = cur.unionByName(cur.select(F.col("m").alias("u"), F.col("u").alias("m")))
         low = both.groupBy("u").agg(F.min("m").alias("low"))
         # Large star: every larger neighbour is moved to the smallest one.

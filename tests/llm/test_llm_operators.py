@@ -4,6 +4,7 @@ import math
 import re
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -65,12 +66,15 @@ def operators(spark, d):
         "join": ngram_join.jaccard_components(d),
         "dedup": ngram_join.drop_near_duplicates(d),
         "mix": mixing.mix_sources(d),
+        "tokens": token_counts.token_counts(d, public_tokenizers.path("word_bpe_49k.json")),
+        "links": ngram_join.jaccard_links(d),
+        "link_counts": ngram_join.link_counts(d),
     }
 
 
 def test_edge_rows(spark, edge):
     got = {k: v.collect() for k, v in operators(spark, edge).items()}
-    for k in ("quality", "lm", "redacted", "pii", "toxicity", "join", "mix"):
+    for k in ("quality", "lm", "redacted", "pii", "toxicity", "join", "mix", "tokens", "link_counts"):
         assert len(got[k]) == len(EDGE), k
     assert {(r.doc_id, r.item_id) for r in got["tiling"]} == {(4, 1), (5, 1)} and len(got["tiling"]) == 3
     assert sorted(r.doc_id or 0 for r in got["clean"]) == [0, 1, 2, 3, 6]
@@ -78,6 +82,9 @@ def test_edge_rows(spark, edge):
     assert sorted(r.doc_id or 0 for r in got["dedup"]) == [0, 1, 2, 3, 4, 6]
     assert [r.n_tokens for r in got["lm"] if r.doc_id in (1, 2)] == [1, 1]
     assert all(r.taken <= 2 * r.size for r in got["mix"])
+    tokens = [(r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in got["tokens"]]
+    assert (1, 0, 0, False) in tokens and (2, 0, 0, False) in tokens and tokens.count((4, 24, 5, False)) == 2
+    assert [(b, n > 2048, over) for i, b, n, over in tokens if i in (3, 6)] == [(150_000, True, True), (10_000, True, True)]
 
 
 def test_empty_table(spark, edge):
