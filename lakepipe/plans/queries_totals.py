@@ -12,13 +12,16 @@ from lakepipe.plans.fixtures import Tables, read_table, with_views
 from lakepipe.session import scratch_path
 from lakepipe.sinks.colocated import write_colocated
 
-_MONEY = F.col("amount").cast("decimal(18,2)")
-_BY = {"center": F.col("fitnessCenterId"), "day": F.col("createdAt").cast("date"), "status": F.col("status")}
+def _money():
+    return F.col("amount").cast("decimal(18,2)")
+
+
 _PAID = "select fitnessCenterId center, cast(createdAt as date) as day, status, cast(amount as decimal(18,2)) amount from v_payment"
 
 
 def _totals(spark, sf_dir, by, sets):
-    out = totals(fx.v_payment(Tables(spark, sf_dir)), {k: _BY[k] for k in by}, {"revenue": _MONEY, "n": F.lit(1)}, sets)
+    known = {"center": F.col("fitnessCenterId"), "day": F.col("createdAt").cast("date"), "status": F.col("status")}
+    out = totals(fx.v_payment(Tables(spark, sf_dir)), {k: known[k] for k in by}, {"revenue": _money(), "n": F.lit(1)}, sets)
     return out.withColumn("revenue", F.col("revenue").cast("double"))
 
 
@@ -73,7 +76,7 @@ def q_totals_grouping_sets(spark, sf_dir):
 )
 def q_pivot_center_status(spark, sf_dir):
     paid = fx.v_payment(Tables(spark, sf_dir)).select(F.col("fitnessCenterId").alias("center"), "status", "amount")
-    out = pivoted(paid, ["center"], "status", ["SUCCESS", "PENDING", "FAILED"], _MONEY)
+    out = pivoted(paid, ["center"], "status", ["SUCCESS", "PENDING", "FAILED"], _money())
     return out.withColumns({c: F.col(c).cast("double") for c in ("SUCCESS", "PENDING", "FAILED")})
 
 
@@ -147,6 +150,6 @@ def q_colocated_user_activity(spark, sf_dir):
     t = Tables(spark, sf_dir)
     payments = write_colocated(fx.v_payment(t).where("userId is not null").select("id", "userId", "amount"), "payment", ["userId"], 16, ["userId"])
     bookings = write_colocated(fx.v_booking(t).where("userId is not null").select("id", "userId"), "booking", ["userId"], 16, ["userId"])
-    paid = payments.groupBy("userId").agg(F.count(F.lit(1)).alias("payments"), F.sum(_MONEY).cast("double").alias("paid"))
+    paid = payments.groupBy("userId").agg(F.count(F.lit(1)).alias("payments"), F.sum(_money()).cast("double").alias("paid"))
     booked = bookings.groupBy("userId").agg(F.count(F.lit(1)).alias("bookings"))
     return booked.hint("merge").join(paid, "userId").select("userId", "bookings", "payments", "paid")

@@ -38,3 +38,11 @@ def test_oracle_agrees(spark, duck, name):
     assert sc == dc
     assert sn == dn
     assert sh == dh, (sorted(set(srows) - set(drows))[:3], sorted(set(drows) - set(srows))[:3])
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    assert subprocess.run([sys.executable, "-c", code], cwd=E.__file__.rsplit("/", 1)[0], capture_output=True).returncode == 0

@@ -54,7 +54,7 @@ def brute_asof(left, right, direction, equal, tolerance):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("max_rows", [7, 40, 10_000])
+@pytest.mark.parametrize("max_rows", [7, 10_000])
 @pytest.mark.parametrize("direction,equal,tolerance", [("backward", True, None), ("backward", False, 5), ("forward", True, 3), ("forward", False, None)])
 def test_asof_join(spark, max_rows, direction, equal, tolerance):
     left, right = rows_of(1, 220), rows_of(2, 90, hot=0.7)
@@ -111,7 +111,7 @@ def spans(seed, n, hot=0.6):
     return out + out[:2]
 
 
-@pytest.mark.parametrize("max_pairs", [4, 100, 10**6])
+@pytest.mark.parametrize("max_pairs", [4, 10**6])
 def test_interval_join(spark, max_pairs):
     left, right = spans(3, 90), spans(4, 70)
     one = spark.createDataFrame(left, "i long, k long, s long, e long")
@@ -162,7 +162,7 @@ def test_with_previous(spark, max_rows):
 
 
 @pytest.mark.parametrize("max_rows", [5, 10_000])
-@pytest.mark.parametrize("gap", [0, 2, 100])
+@pytest.mark.parametrize("gap", [0, 2])
 def test_sessionize(spark, max_rows, gap):
     rows = rows_of(6, 120, span=300)
     d = spark.createDataFrame([(i, k, at(t)) for i, k, t in rows], "id long, k long, t timestamp")
@@ -190,7 +190,7 @@ def test_rolling_sum(spark):
 # ------------------------------------------------------------ global order
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 9])
+@pytest.mark.parametrize("partitions", [1, 5])
 def test_global_order(spark, partitions):
     rng = random.Random(7)
     rows = [(i, 5 if rng.random() < 0.4 else rng.choice([None, *range(20)])) for i in range(200)]
