@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakepipe.llm import text as tx
+from lakepipe.llm.kneser_ney import _mapped, _save
 from lakepipe.session import scratch_path
 
 CANDIDATE = re.compile(rb"[A-Za-z0-9_\-+/=.~]{12,}")
@@ -53,7 +55,35 @@ def spans(raw: bytes) -> list[tuple[int, int]]:
     return out
 
 
-def covered(raw: bytes, spans: Sequence[tuple[int, int]], dictionary: np.ndarray) -> np.ndarray:
+@dataclass
+class Dictionary:
+    """Sorted hashes of words: an array that goes with the tasks, or for larger ones sorted files that they map.
+
+    Which of the two holds a word decides nothing: every word is found.
+    """
+
+    words: np.ndarray
+    root: str = ""
+    parts: int = 0
+    _open: dict = field(default_factory=dict, repr=False)
+
+    def __getstate__(self):
+        return {**self.__dict__, "_open": {}}
+
+    def known(self, h: np.ndarray) -> np.ndarray:
+        """Whether each hash is in it."""
+        out = np.zeros(len(h), bool)
+        place = h % np.uint64(max(1, self.parts))
+        for p in np.unique(place).tolist() if len(h) else []:
+            if p not in self._open:
+                self._open[p] = _mapped(self.root, f"words-{p}").view("<u8") if self.parts else self.words
+            words, at = self._open[p], place == p
+            if len(words):
+                out[at] = words[np.minimum(np.searchsorted(words, h[at]), len(words) - 1)] == h[at]
+        return out
+
+
+def covered(raw: bytes, spans: Sequence[tuple[int, int]], dictionary: Dictionary) -> np.ndarray:
     """Share of each span that words of the dictionary cover."""
     size = np.array([b - a for a, b in spans], np.int64)
     off = np.concatenate([[0], np.cumsum(size)])
@@ -62,10 +92,7 @@ def covered(raw: bytes, spans: Sequence[tuple[int, int]], dictionary: np.ndarray
     long = ends - starts >= 3
     starts, ends = starts[long], ends[long]
     out = np.zeros(len(size))
-    if not len(dictionary):
-        return out
-    h = tx.span_hashes(data, starts, ends)
-    known = dictionary[np.minimum(np.searchsorted(dictionary, h), len(dictionary) - 1)] == h
+    known = dictionary.known(tx.span_hashes(data, starts, ends))
     np.add.at(out, np.searchsorted(off, starts[known], side="right") - 1, (ends - starts)[known])
     return out / size
 
@@ -194,7 +221,7 @@ def rule_label(raw: bytes, span: tuple[int, int], path: bytes) -> int:
 class Scanner:
     """Candidates of a text and the forest's probability for each."""
 
-    def __init__(self, forest: Forest, dictionary: np.ndarray):
+    def __init__(self, forest: Forest, dictionary: Dictionary):
         self.forest, self.dictionary = forest, dictionary
 
     def scan(self, raws: Sequence[bytes], paths: Sequence[bytes]) -> list[list[tuple[int, int, float]]]:
@@ -225,9 +252,10 @@ def train(
     """A scanner trained from the findings in at most ``max_texts`` texts with candidates, labelled by ``label``.
 
     The dictionary is that of all documents: the lower-case words that occur
-    in three or more of them, as sorted hashes.  Should there be more than
-    ``max_words``, the rarest go, whole classes of document frequency at a
-    time.  For the forest, texts are chosen by a hash; each gives the features
+    in three or more of them, as sorted hashes.  Up to ``max_words`` of them go
+    with the tasks; a larger dictionary is written to the shared checkpoint
+    folder as sorted files of about ``max_words`` each, which tasks map, so its
+    size is not bounded.  For the forest, texts are chosen by a hash; each gives the features
     of at most 20 findings, so the sample is bounded.  All findings are counted
     with the words; the count sets the hash value below which about twice the
     sample lies, and only texts below it send findings to the driver, however
@@ -262,8 +290,8 @@ def train(
     return Scanner(forest, dictionary)
 
 
-def _dictionary(rows: DataFrame, max_words: int) -> tuple[np.ndarray, int]:
-    """Sorted hashes of the words in three or more texts, and the number of candidates in all texts."""
+def _dictionary(rows: DataFrame, max_words: int) -> tuple[Dictionary, int]:
+    """The words in three or more texts, and the number of candidates in all texts."""
     spark = rows.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,20 +310,28 @@ def _dictionary(rows: DataFrame, max_words: int) -> tuple[np.ndarray, int]:
     path = scratch_path(spark, "secret-scan")
     # The row without a word counts the candidates.
     counts = rows.select("t").mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    counts.where("w is null or n >= 3").withColumn("c", F.when(F.col("w").isNotNull(), F.floor(8 * F.log2("n")))).write.parquet(f"{path}/words")
+    counts.where("w is null or n >= 3").write.parquet(f"{path}/words")
     counts = spark.read.parquet(f"{path}/words")
-    classes = {r["c"]: (r["words"], r["n"]) for r in counts.groupBy("c").agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()}
-    total = classes.pop(None, (0, 0))[1]
-    least, words = None, 0
-    for c in sorted(classes, reverse=True):
-        words += classes[c][0]
-        if words > max_words:
-            break
-        least = c
-    if least is None:
-        return np.zeros(0, np.uint64), total
-    packed = counts.where(F.col("c") >= least).select("w").mapInArrow(pack, "w binary").collect()
-    return np.sort(np.concatenate([np.frombuffer(bytes(r["w"]), np.uint64) for r in packed])), total
+    size = counts.agg(F.count("w").alias("words"), F.sum(F.when(F.col("w").isNull(), F.col("n"))).alias("found")).first()
+    words, total = counts.where("w is not null").select("w"), size["found"] or 0
+    if size["words"] <= max_words:
+        packed = words.mapInArrow(pack, "w binary").collect()
+        flat = [np.frombuffer(bytes(r["w"]), np.uint64) for r in packed]
+        return Dictionary(np.sort(np.concatenate(flat)) if flat else np.zeros(0, np.uint64)), total
+    parts, root = -(-size["words"] // max_words), path.replace("s3a://", "s3://", 1)
+
+    def save(table: pa.Table) -> pa.Table:
+        h = table.column("w").to_numpy().view(np.uint64)
+        part = int(h[0] % np.uint64(parts))
+        _save(root, f"words-{part}", np.sort(h).astype("<u8"))
+        return pa.table({"part": pa.array([part], pa.int64())})
+
+    # The part of an unsigned hash, in signed arithmetic.
+    unsigned = F.pmod(F.pmod(F.col("w"), F.lit(parts)) + F.when(F.col("w") < 0, F.lit((1 << 64) % parts)).otherwise(0), F.lit(parts))
+    wrote = {r["part"] for r in words.groupBy(unsigned.alias("p")).applyInArrow(save, "part long").collect()}
+    for part in set(range(parts)) - wrote:
+        _save(root, f"words-{part}")
+    return Dictionary(np.zeros(0, np.uint64), root, parts), total
 
 
 def secret_findings(docs: DataFrame, scanner: Scanner, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:

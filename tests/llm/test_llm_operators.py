@@ -369,12 +369,18 @@ def test_secret_dictionary_counts_all_documents(spark):
     want = sorted(w for w, n in in_texts.items() if n >= 3)
     assert want == ["far", "fill", "giraffe", "key", "words", "zebra"]
     hashes = tx.word_hashes(*tx.texts(pa.array([" ".join(want)])))[0]
-    assert secret_scan.train(d).dictionary.tolist() == sorted(hashes.tolist())
-    assert secret_scan.train(d, max_findings=1, max_texts=1).dictionary.tolist() == sorted(hashes.tolist())
-    few = secret_scan.train(d, max_words=5).dictionary.tolist()
-    assert set(few) == set(hashes.tolist()) - {hashes[want.index("giraffe")]}
-    share = secret_scan.covered(b"/zebra/xxxxx Giraffe123", [(0, 12), (13, 23)], np.sort(hashes))
+    assert secret_scan.train(d).dictionary.words.tolist() == sorted(hashes.tolist())
+    assert secret_scan.train(d, max_findings=1, max_texts=1).dictionary.words.tolist() == sorted(hashes.tolist())
+    share = secret_scan.covered(b"/zebra/xxxxx Giraffe123", [(0, 12), (13, 23)], secret_scan.Dictionary(np.sort(hashes)))
     assert share.tolist() == [5 / 12, 0.7]
+    # In files of any number it holds the same words, and the findings are the same.
+    whole = {(r.doc_id, r.start, r.probability) for r in secret_scan.secret_findings(d, secret_scan.train(d)).collect()}
+    asked = np.concatenate([hashes, hashes + np.uint64(1), np.arange(100, dtype=np.uint64)])
+    for most in (1, 2, 5):
+        scanner = secret_scan.train(d, max_words=most)
+        assert scanner.dictionary.parts == -(-6 // most) and not len(scanner.dictionary.words)
+        assert scanner.dictionary.known(asked).tolist() == [True] * 6 + [False] * 106
+        assert {(r.doc_id, r.start, r.probability) for r in secret_scan.secret_findings(d, scanner).collect()} == whole
 
 
 def test_nearest_recall(spark):
