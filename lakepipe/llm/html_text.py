@@ -55,14 +55,16 @@ _SCOPES = frozenset(("ul", "ol", "dl", "table", "menu", "dir"))
 # Words of class and id that name a part which is not the article.
 _NAMES = frozenset(
     """
-    ad ads adv advert advertisement adverts adsense adslot banner banners breadcrumb breadcrumbs byline comment
-    commentlist comments consent cookie cookies copyright dialog discussion disqus footer gdpr login masthead menu
-    menus modal nav navbar navi navigation newsletter notice notices notification overlay pager paging pagination
-    paywall popup promo promoted promotion recommended recommendations related replies reply respond search share
-    sharebar sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription teaser toc toolbar
-    topbar widget widgets
+    ad adbox adcontainer ads adsense adslot adunit adv advert advertisement adverts affiliate alert alerts announcement
+    aside banner banners breadcrumb breadcrumbs comment commentlist comments consent cookie cookies copyright dialog
+    discussion disqus feedback footer gdpr login masthead menu menus modal nav navbar navi navigation newsletter notice
+    notices notification overlay pager paging pagination paywall popup promo promoted promotion rail reader recommended
+    recommendations related replies reply respond responses search share sharebar sharing side sidebar sidenav signup
+    skip social sponsor sponsored subscribe subscription toc toolbar topbar widget widgets
     """.split()
 )
+# What a header belongs to when it is the article's own.
+_OWN_HEADERS = frozenset(("article", "content", "entry", "post", "section", "story", "title"))
 _NOT_OWN = frozenset(("has", "with", "without", "no", "is", "show", "hide", "js"))
 
 _TOKEN = re.compile(
@@ -78,6 +80,7 @@ _PARTS = re.compile(r"[-_:]+|(?<=[a-z])(?=[A-Z])")
 
 # Where a block stands; a larger place is nearer to the article.
 NEVER, LOOSE, MAIN, ARTICLE = -1, 0, 1, 2
+HEADER = 3  # said of an element: only headings inside an article count
 BAD, OPEN, GOOD = -1, 0, 1
 
 
@@ -159,7 +162,7 @@ class _Blocks:
             place, soft = ARTICLE, False
         elif name == "main" or said == MAIN:
             place, soft = max(place, MAIN), False
-        elif name in ("header", "form"):
+        elif name in ("header", "form") or said == HEADER:
             soft = True
         self.stack.append((name, place, soft))
         self.count[name] += 1
@@ -177,8 +180,12 @@ def _place_by_name(attributes: str, name: str) -> int | None:
         if key in ("class", "id") and name != "main":
             for token in value.split():
                 words = [w.lower() for w in _PARTS.split(token) if w]
-                if words and words[0] not in _NOT_OWN and (words[0] in _NAMES or words[-1] in _NAMES):
+                if not words or words[0] in _NOT_OWN:
+                    continue
+                if words[0] in _NAMES or words[-1] in _NAMES:
                     return NEVER
+                if words[-1] == "header" and words[0] not in _OWN_HEADERS:
+                    return HEADER
         elif key == "role":
             if value.lower() in _NEVER_ROLES:
                 return NEVER

@@ -74,6 +74,19 @@ def test_blocks_without_an_article():
     assert main_text(page) == f"A title\n\n{LONG}\n\nYes.\n\n{LONG}\n\n{MID}"
 
 
+def test_places_by_class_and_id():
+    def kept(markup):
+        return main_text(f"<div><p>{LONG}</p>{markup}<p>{LONG}</p></div>") != f"{LONG}\n\n{LONG}"
+
+    for name in ("ad", "top-ad", "AdSlot", "cookieNotice", "site_footer", "main-nav", "post-comments", "comment-list", "left-side", "alert", "page-header"):
+        assert not kept(f"<div class='x {name}'>{LONG}</div>") and not kept(f"<div id='{name}'>{LONG}</div>"), name
+    for name in ("add", "has-sidebar", "with-ads", "no-nav", "content-sidebar-wrap", "post-header", "lead", "byline", "adventure", "navy"):
+        assert kept(f"<div class='x {name}'>{LONG}</div>"), name
+    assert not kept(f"<div hidden>{LONG}</div><div style='display: none'>{LONG}</div><p aria-hidden=true>{LONG}</p><div role=banner>{LONG}</div>")
+    assert main_text(f"<div id=header><h1>Site</h1></div><p>{LONG}</p>") == LONG
+    assert main_text(f"<main><div class=page-header><h1>Title</h1><p>{MID}</p></div><p>{LONG}</p></main>") == f"Title\n\n{LONG}"
+
+
 def test_open_blocks_follow_the_nearest_decided_ones():
     links = "<div><a href='#'>One link and another of them</a></div>"
     assert main_text(f"{links}<div>Near links</div>{links}<p>{LONG}</p>") == LONG
