@@ -33,9 +33,9 @@ def _args(argv):
     ing.add_argument("--parallelism", type=int, default=1)
     ing.add_argument("--overlap-seconds", type=int, default=0)
     ing.add_argument("--partition-column", action="append", default=[], metavar="TABLE=COLUMN",
-                     help="read TABLE in --jdbc-partitions ranges of COLUMN (repeatable)")
+                     help="read TABLE in ranges of COLUMN instead of its change column (repeatable)")
     ing.add_argument("--jdbc-partitions", type=int, default=16,
-                     help="ranges a table with a --partition-column is read in")
+                     help="ranges each table is read in; 1: one connection a table")
     ing.add_argument("--run-date", default=dt.date.today().isoformat())
 
     sd = sub.add_parser("seed", help="seed CSV / zipped CSV files -> source database tables (append)")

@@ -73,24 +73,30 @@ def select_tables(specs: Iterable[TableSpec], schedule: str | None = None) -> li
 Source = Callable[[TableSpec, object], DataFrame]
 
 
+DEFAULT_JDBC_PARTITIONS = 16
+
+
 def jdbc_source(
     spark: SparkSession,
     opts: JdbcOptions,
     partition_columns: dict[str, str] | None = None,
-    num_partitions: int = 1,
+    num_partitions: int = DEFAULT_JDBC_PARTITIONS,
 ) -> Source:
-    """Whole source tables over JDBC.  For tables named in
-    ``partition_columns`` the read is split into ``num_partitions`` ranges
-    of that column (bounds from one min/max query), so executors fetch in
-    parallel instead of one connection reading the table."""
+    """Whole source tables over JDBC, each read in ``num_partitions`` ranges
+    of a column (bounds from one min/max query), so executors fetch in
+    parallel instead of one connection reading the table.  The column is the
+    one ``partition_columns`` names for a table, else its change column; a
+    table with neither is one read.  Rows with a NULL there come with the
+    first range."""
 
     def src(spec: TableSpec, after=None) -> DataFrame:
         part = None
-        if partition_columns and spec.name in partition_columns and num_partitions > 1:
+        column = (partition_columns or {}).get(spec.name, spec.updated_column)
+        if column and num_partitions > 1:
             where = None
             if after is not None and spec.updated_column:
                 where = f"{quote_ident(spec.updated_column)} > {sql_literal(after)}"
-            part = partitioning_for(spark, opts, spec.name, partition_columns[spec.name], num_partitions, where)
+            part = partitioning_for(spark, opts, spec.name, column, num_partitions, where)
         return read_jdbc_full(spark, opts, spec.name, part)
 
     return src

@@ -166,3 +166,23 @@ def test_silver_skips_a_bronze_table_without_rows(spark, tmp_root):
     specs = [SILVER_SPECS["user"], SILVER_SPECS["booking"]]  # an empty first load; no load at all
     tables = run_silver_tables(spark, lake, specs, lambda s: BucketedTable(spark, lake.silver(s.entity), [s.pk], 4))
     assert not any(t.exists() for t in tables.values())
+
+
+def test_jdbc_reads_are_split_by_default(spark, monkeypatch):
+    from lakepipe.plans import ingest
+    from lakepipe.sources.jdbc import JdbcPartitioning
+
+    asked = []
+
+    def bounds(spark, opts, table, column, n, where=None):
+        asked.append((table, column, n, where))
+        return JdbcPartitioning(column, 0, 10, n)
+
+    monkeypatch.setattr(ingest, "partitioning_for", bounds)
+    monkeypatch.setattr(ingest, "read_jdbc_full", lambda spark, opts, table, part=None: part)
+    src = ingest.jdbc_source(spark, None, {"Booking": "id"})
+    assert src(TABLE_SPECS["Booking"]).column == "id" and src(TABLE_SPECS["Payment"]).num_partitions == 16
+    assert src(TableSpec("plain", None)) is None
+    assert src(TABLE_SPECS["User"], after=1).column == "updatedAt"
+    assert asked == [("Booking", "id", 16, None), ("Payment", "updatedAt", 16, None), ("User", "updatedAt", 16, '"updatedAt" > 1')]
+    assert ingest.jdbc_source(spark, None, num_partitions=1)(TABLE_SPECS["User"]) is None
