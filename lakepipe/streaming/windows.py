@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+JOIN_STATE_FORMAT = "spark.sql.streaming.join.stateFormatVersion"
+# Wider bins keep fewer right rows twice, narrower ones spread a busy key over more tasks.
+_BIN_WIDTHS = 4
 
 
 def keep_state_on_disk(spark: SparkSession) -> None:
@@ -23,6 +26,17 @@ def keep_state_on_disk(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def keep_join_state_on_disk(spark: SparkSession) -> None:
+    """State of a stream-stream join in one RocksDB a partition (join state format 3) instead of four stores.
+
+    What the session or the cluster has set stays, and a query that goes on
+    from a checkpoint keeps the provider and format it was started with.
+    """
+    keep_state_on_disk(spark)
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") == ROCKSDB and spark.conf.get(JOIN_STATE_FORMAT, None) is None:
+        spark.conf.set(JOIN_STATE_FORMAT, "3")
+
+
 def _named(keys: Sequence[str | Column]) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
@@ -56,20 +70,24 @@ def join_within(
     NULLs.  A left row with a NULL key or time never has one: those with a NULL
     time are not joined at all.  Other column names must differ.
 
-    Rows meet on the key and a bin of time ``within`` long: a left row lies in
-    one, a right row goes to its own and the one before, so a busy key is
-    spread over its bins and each pair still meets once.
+    Rows meet on the key and a bin of time, ``_BIN_WIDTHS`` times ``within``
+    long: a left row lies in one, a right row goes to its own and, when a left
+    row ``within`` before it lies in the one before, to that too.  So a busy key
+    is spread over its bins, each pair still meets once, and of the right rows
+    one in ``_BIN_WIDTHS`` is kept twice.  State goes to disk
+    (``keep_join_state_on_disk``).
     """
     if clash := (set(left.columns) & set(right.columns)) - set(on):
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    keep_join_state_on_disk(left.sparkSession)
     width = round(within.total_seconds() * 1_000_000)
 
-    def bin_of(time: str) -> Column:
-        return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / F.lit(max(1, width)))
+    def bin_of(time: str, before: int = 0) -> Column:
+        return F.floor((F.unix_micros(F.col(time).cast("timestamp")) - before) / F.lit(max(1, _BIN_WIDTHS * width)))
 
     one = left.where(F.col(left_time).isNotNull()).withWatermark(left_time, delay).withColumn("_l_bin", bin_of(left_time))
     two = right.where(F.col(right_time).isNotNull()).withWatermark(right_time, delay)
-    two = two.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in two.columns], F.explode(F.array(bin_of(right_time) - 1, bin_of(right_time))).alias("_r_bin"))
+    two = two.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in two.columns], F.explode(F.array_distinct(F.array(bin_of(right_time, width), bin_of(right_time)))).alias("_r_bin"))
     condition = (F.col("_l_bin") == F.col("_r_bin")) & (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + F.expr(f"interval {width} microseconds"))
     for c in on:
         condition = condition & (F.col(c) == F.col(f"_r_{c}"))

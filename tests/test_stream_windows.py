@@ -1,6 +1,7 @@
 """Late rows, windows, keyed state, stream joins and rescued data across several runs."""
 
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,23 @@ def test_stream_join_keeps_unmatched_rows(spark, tmp_root):
     assert got == sorted([(1, 1), (2, 4), (3, None), (4, None), (5, 5)], key=str)
 
 
+def test_stream_join_state_is_on_disk_and_bins_lose_no_pair(spark, tmp_root):
+    """State goes to RocksDB, not to the heap; pairs up to ``within`` apart meet once on either side of a bin's edge."""
+    for key in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.join.stateFormatVersion"):
+        spark.conf.unset(key)
+    lefts, rights = [(h, h % 2, at(h)) for h in range(0, 40)], [(h, h % 2, at(h)) for h in range(0, 40)]
+    for name, rows, schema in (("l", lefts, "l long, k long, lt timestamp"), ("r", rights, "r long, k long, rt timestamp")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_root}/{name}")
+    left = spark.readStream.schema("l long, k long, lt timestamp").parquet(f"{tmp_root}/l")
+    right = spark.readStream.schema("r long, k long, rt timestamp").parquet(f"{tmp_root}/r")
+    joined = join_within(left, right, ["k"], "lt", "rt", dt.timedelta(hours=3), "1 hour")
+    run_to_table(joined, f"{tmp_root}/out", f"{tmp_root}/c").awaitTermination()
+    got = sorted((r.l, r.r) for r in spark.read.parquet(f"{tmp_root}/out").collect())
+    assert got == sorted((x, y) for x, k, _ in lefts for y, j, _ in rights if k == j and 0 <= y - x <= 3)
+    kept = {p.suffix for p in pathlib.Path(f"{tmp_root}/c/state").rglob("*") if p.is_file()}
+    assert ".delta" not in kept and ".zip" in kept
+
+
 # ---------------------------------------------------------------- rescue
 
 
