@@ -133,6 +133,26 @@ def test_range_join_and_condition(spark):
     assert interval_join(one.where("i > 99"), two, "k", ("s", "e"), ("rs", "re")).count() == 0
 
 
+@pytest.mark.parametrize("few_rows", [0, 5, 40])
+def test_interval_join_of_busy_and_other_keys(spark, few_rows):
+    """Keys above ``few_rows`` meet in bins, the others on the key: the same pairs, repeated rows as often as they occur."""
+    left, right = spans(5, 60), spans(6, 60)
+    one = spark.createDataFrame(left, "i long, k long, s long, e long")
+    two = spark.createDataFrame(right, "j long, k long, rs long, re long")
+    got = interval_join(one, two, "k", ("s", "e"), ("rs", "re"), few_rows=few_rows)
+    assert sorted((r.k, r.i, r.j) for r in got.collect()) == brute_overlaps(left, right)
+
+
+def test_interval_join_copies_no_row_of_small_keys(spark):
+    """Rows of keys with few rows are shuffled once a side, not once a level and bin."""
+    rows = spark.range(0, 4000).selectExpr("id i", "id % 400 k", "id s", "id + pow(2, id % 11) e").selectExpr("i", "k", "s", "cast(e as long) e")
+    other = rows.selectExpr("i j", "k", "s rs", "e re")
+    found = interval_join(rows, other, "k", ("s", "e"), ("rs", "re"))
+    p = plan(found)
+    assert "Generate" not in p and "explode" not in p and p.count("SortMergeJoin") + p.count("HashJoin") == 1
+    assert found.count() == rows.crossJoin(other.withColumnRenamed("k", "k2")).where("k = k2 and ((s < re and rs < e) or s = rs)").count()
+
+
 def test_interval_join_is_an_equi_join(spark):
     p = plan(catalog.queries()["interval_booking_overlap"](spark, SF))
     assert "_bin" in p and "NestedLoopJoin" not in p and "CartesianProduct" not in p
