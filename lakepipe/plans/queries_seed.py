@@ -7,6 +7,7 @@ loaded, and read back as whole rows.
 
 from __future__ import annotations
 
+import struct
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from lakepipe.plans.fixtures import TABLES, read_table
 from lakepipe.session import scratch_path
 from lakepipe.sources.catalog import Layer, check_primary_key
 from lakepipe.sources.layout import hadoop_fs
-from lakepipe.sources.seed import SEED_PRIMARY_KEYS, SEED_SCHEMAS, SEED_TABLES, TRANSLATION_SEED, load_seeds, read_csv_seed
+from lakepipe.sources.seed import GZIP_HEADER, SEED_PRIMARY_KEYS, SEED_SCHEMAS, SEED_TABLES, TRANSLATION_SEED, load_seeds, read_csv_seed
 
 _DAY = "date_trunc('day', o_orderdate)"
 # What each seed table holds, in SQL that both engines run; synthetic keys are not part of the files.
@@ -56,27 +57,50 @@ def _source(spark, sf_dir, table):
     raise KeyError(table)
 
 
-def _write_csv(rows, folder, shuffled=False):
+def _write_csv(rows, folder, shuffled=False, **options):
     """The rows as text, each twice, headers with spaces and capitals; ``shuffled`` turns the order of the columns round."""
     text = rows.select(*[F.col(c).cast("string").alias(f" {c.title()} ") for c in rows.columns])
     if shuffled:
         text = text.select(*reversed(text.columns))
-    text.unionAll(text).write.option("header", "true").option("escape", '"').csv(folder)
+    text.unionAll(text).write.option("header", "true").option("escape", '"').options(**options).csv(folder)
 
 
 def _zip(spark, folders, archive):
-    """Pack the files of some folders into one archive, as a seed delivery has them."""
+    """Pack the gzip files of some folders into one archive, as a seed delivery has them.
+
+    A gzip file holds a deflated member between a header of 10 bytes and its checksum and length; the tasks
+    that wrote the files have done the work, here bytes are copied.
+    """
     jvm = spark.sparkContext._jvm
+    copy = jvm.org.apache.commons.io.IOUtils.copyLarge
     fs, to = hadoop_fs(spark, archive)
-    out = jvm.java.util.zip.ZipOutputStream(fs.create(to, True))
+    out, directory, at = fs.create(to, True), [], 0
     for k, folder in enumerate(folders):
-        for f in fs.listStatus(hadoop_fs(spark, folder)[1]):
-            if f.getPath().getName().endswith(".csv"):
-                out.putNextEntry(jvm.java.util.zip.ZipEntry(f"{k}/{f.getPath().getName()}"))
-                stream = fs.open(f.getPath())
-                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 65536, False)
-                stream.close()
-                out.closeEntry()
+        for f in sorted(fs.listStatus(hadoop_fs(spark, folder)[1]), key=lambda f: f.getPath().getName()):
+            name, size = f.getPath().getName(), f.getLen() - 18
+            if not name.endswith(".csv.gz"):
+                continue
+            stream = fs.open(f.getPath())
+            head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, 10))
+            assert head[:4] == GZIP_HEADER[:4] and size < 2**32 - 1, (name, head, size)
+            stream.seek(10 + size)
+            crc, length = struct.unpack("<LL", bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, 8)))
+            entry = f"{k}/{name.removesuffix('.gz')}".encode()
+            shape = (0, 8, 0, 0x21, crc, size, length, len(entry))  # flags, deflated, time, date 1980-01-01
+            local = struct.pack("<LH4H3L2H", 0x04034B50, 45, *shape, 0) + entry
+            # An offset beyond 4 GB goes into an extra field.
+            extra = struct.pack("<HHQ", 1, 8, at) if at >= 2**32 - 1 else b""
+            directory.append(struct.pack("<L2H4H3L5H2L", 0x02014B50, 45, 45, *shape, len(extra), 0, 0, 0, 0, min(at, 2**32 - 1)) + entry + extra)
+            out.write(local)
+            stream.seek(10)
+            copy(stream, out, 0, size)
+            stream.close()
+            at += len(local) + size
+    for entry in directory:
+        out.write(entry)
+    n, size = len(directory), sum(map(len, directory))
+    out.write(struct.pack("<LQ2H2L4Q", 0x06064B50, 44, 45, 45, 0, 0, n, n, size, at) + struct.pack("<LLQL", 0x07064B50, 0, at + size, 1))
+    out.write(struct.pack("<L4H2LH", 0x06054B50, 0, 0, min(n, 2**16 - 1), min(n, 2**16 - 1), min(size, 2**32 - 1), min(at, 2**32 - 1), 0))
     out.close()
 
 
@@ -88,8 +112,10 @@ def _deliver(spark, sf_dir, table, data, where=None):
         return
     parts = scratch_path(spark, "seed-parts")
     half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
-    _write_csv(rows.where(half == 0), f"{parts}/a")
-    _write_csv(rows.where(half == 1), f"{parts}/b", shuffled=True)
+    # A gzip file keeps its length modulo 4 GB, so files are bounded.
+    packed = {"compression": "gzip", "maxRecordsPerFile": 4_000_000}
+    _write_csv(rows.where(half == 0), f"{parts}/a", **packed)
+    _write_csv(rows.where(half == 1), f"{parts}/b", shuffled=True, **packed)
     _zip(spark, [f"{parts}/a", f"{parts}/b"], f"{data}/{_FILES[table]}.zip")
 
 

@@ -1,15 +1,19 @@
 """Seed files (CSV or zipped CSV), their typed tables and their normalisation.
 
-A zip archive is not splittable.  Its members are streamed, one buffer at a
-time, into the shared scratch folder through the file system classes that Spark
-itself reads with (any archive size, any store), and are then plain CSV files
-for Spark's own reader, each with its own header.
+A zip archive is not splittable.  Its members are copied, one buffer at a time
+and still compressed, into the shared scratch folder through the file system
+classes that Spark itself reads with (any archive size, any store): a deflated
+member is what a gzip file holds.  They are then CSV files for Spark's own
+reader, which inflates them in its tasks, each with its own header.
 
 CSV follows RFC 4180 as the seed files do: quoted fields may hold commas,
 newlines and doubled quotes."""
 
 from __future__ import annotations
 
+import io
+import struct
+import zipfile
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -76,36 +80,92 @@ SEED_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-def unzip_to(spark: SparkSession, archive: str, folder: str) -> list[str]:
+GZIP_HEADER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff"
+# Spark's readers unpack files by these endings.
+_PACKED = (".gz", ".bz2", ".deflate", ".snappy", ".lz4", ".zst", ".zstd", ".xz")
+
+
+class _HadoopFile(io.RawIOBase):
+    """A file of any store as a seekable stream; used for an archive's directory only."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark.sparkContext._jvm
+        fs, source = hadoop_fs(spark, path)
+        self.stream, self.size, self.at = fs.open(source), fs.getFileStatus(source).getLen(), 0
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        self.at = max(0, offset + {io.SEEK_SET: 0, io.SEEK_CUR: self.at, io.SEEK_END: self.size}[whence])
+        return self.at
+
+    def readinto(self, buffer) -> int:
+        n = max(0, min(len(buffer), self.size - self.at))
+        if n:
+            self.stream.seek(self.at)
+            buffer[:n] = bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(self.stream, n))
+            self.at += n
+        return n
+
+    def close(self) -> None:
+        if not self.closed:
+            self.stream.close()
+        super().close()
+
+
+def unzip_to(spark: SparkSession, archive: str, folder: str, threads: int = 8) -> list[str]:
     """Write every file of a zip archive below ``folder``; returns their paths in the archive's order.
 
-    Bytes go from one stream to the other through a buffer of 64 kB.  Members
-    are numbered, so names that repeat or climb out of the folder do no harm.
+    Deflated members become gzip files (``.gz`` after their name) without being
+    inflated; bytes go from one stream to the other through a small buffer,
+    several members at a time.  Members are numbered, so names that repeat or
+    climb out of the folder do no harm.
     """
-    jvm = spark.sparkContext._jvm
-    fs, source = hadoop_fs(spark, archive)
-    out = []
-    stream = jvm.java.util.zip.ZipInputStream(fs.open(source))
-    try:
-        while (entry := stream.getNextEntry()) is not None:
-            if entry.isDirectory():
-                continue
-            name = entry.getName().rsplit("/", 1)[-1] or "member"
-            to_fs, to = hadoop_fs(spark, f"{folder}/{len(out):06d}/{name}")
-            target = to_fs.create(to, True)
-            try:
-                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, target, 65536, False)
-            finally:
-                target.close()
-            out.append(f"{folder}/{len(out):06d}/{name}")
-    finally:
-        stream.close()
-    return out
+    with zipfile.ZipFile(io.BufferedReader(_HadoopFile(spark, archive), 65536)) as z:
+        members = [m for m in z.infolist() if not m.is_dir()]
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(lambda m: _copy_member(spark, archive, m[1], f"{folder}/{m[0]:06d}"), enumerate(members)))
 
 
-def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+def _copy_member(spark: SparkSession, archive: str, member: zipfile.ZipInfo, folder: str) -> str:
+    if member.flag_bits & 1 or member.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        raise ValueError(f"{member.filename} in {archive}: encrypted, or neither stored nor deflated")
+    jvm = spark.sparkContext._jvm
+    copy = jvm.org.apache.commons.io.IOUtils.copyLarge
+    name = member.filename.rsplit("/", 1)[-1] or "member"
+    deflated = member.compress_type == zipfile.ZIP_DEFLATED and member.file_size > 0
+    as_gzip = deflated and not name.lower().endswith(_PACKED)
+    to = f"{folder}/{name}.gz" if as_gzip else f"{folder}/{name}"
+    with _HadoopFile(spark, archive) as source:
+        # The local header may name other lengths of name and extra field than the directory.
+        source.seek(member.header_offset + 26)
+        source.stream.seek(member.header_offset + 30 + sum(struct.unpack("<HH", source.read(4))))
+        fs, path = hadoop_fs(spark, to)
+        target = fs.create(path, True)
+        try:
+            if as_gzip:
+                target.write(GZIP_HEADER)
+                copy(source.stream, target, 0, member.compress_size)
+                target.write(struct.pack("<LL", member.CRC, member.file_size & 0xFFFFFFFF))
+            elif deflated:
+                copy(jvm.java.util.zip.InflaterInputStream(source.stream, jvm.java.util.zip.Inflater(True)), target, 0, member.file_size)
+            else:
+                copy(source.stream, target, 0, member.file_size)
+        finally:
+            target.close()
+    return to
+
+
+def _read_csv(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
     reader = spark.read.option("header", "true").option("inferSchema", "false").options(**CSV_OPTIONS)
-    return normalise_headers((reader.option("multiLine", "true") if multi_line else reader).csv(path))
+    return (reader.option("multiLine", "true") if multi_line else reader).csv(path)
 
 
 def read_zipped_csv(spark: SparkSession, zip_path: str, schema: T.StructType | None = None, multi_line: bool = True, threads: int = 8) -> DataFrame:
@@ -121,8 +181,15 @@ def read_zipped_csv(spark: SparkSession, zip_path: str, schema: T.StructType | N
     folder = scratch_path(spark, "unzipped")
     with ThreadPoolExecutor(threads) as pool:
         unpacked = list(pool.map(lambda a: unzip_to(spark, a[1], f"{folder}/{a[0]:06d}"), enumerate(archives)))
-    members = [_read_csv(spark, path, multi_line) for paths in unpacked for path in paths]
-    members = [m for m in members if m.columns]
+    paths = [path for some in unpacked for path in some]
+    with ThreadPoolExecutor(threads) as pool:
+        headers = list(pool.map(lambda p: tuple(_read_csv(spark, p, multi_line).columns), paths))
+    # Members of the same header are one read.
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, headers):
+        if header:
+            alike.setdefault(header, []).append(path)
+    members = [normalise_headers(_read_csv(spark, some, multi_line)) for some in alike.values()]
     if not members:
         return spark.createDataFrame([], schema or T.StructType([]))
     first = members[0].columns
@@ -159,7 +226,7 @@ def read_csv_seed(
     best delivered as many files.  Files known to have no quoted newlines can
     pass ``False`` to split each file over many tasks."""
     if path_exists(spark, path):
-        rows = _read_csv(spark, path, multi_line)
+        rows = normalise_headers(_read_csv(spark, path, multi_line))
         return rows if schema is None else conform_to(rows, schema)
     if path_exists(spark, path + ".zip"):
         return read_zipped_csv(spark, path + ".zip", schema, multi_line)

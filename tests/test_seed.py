@@ -1,10 +1,12 @@
 """CSV / zipped CSV seeds and their normalisation."""
 
+import gzip
 import zipfile
 
 import pytest
 from pyspark.sql import types as T
 
+from lakepipe.plans.queries_seed import _write_csv, _zip
 from lakepipe.sources.seed import (
     SEED_PRIMARY_KEYS,
     SEED_SCHEMAS,
@@ -15,6 +17,7 @@ from lakepipe.sources.seed import (
     read_csv_seed,
     read_zipped_csv,
     seed_normalise,
+    unzip_to,
 )
 
 
@@ -81,6 +84,33 @@ def test_zip_members_are_joined_by_name(spark, tmp_root):
         read_zipped_csv(spark, tmp_root + "/*.zip")
 
 
+def test_zip_members_stay_compressed_and_alike_ones_are_one_read(spark, tmp_root):
+    """The driver copies deflated bytes; tasks inflate them.  Stored, packed and empty members keep their rows."""
+    with zipfile.ZipFile(tmp_root + "/a.zip", "w") as z:
+        for n in range(30):
+            z.writestr(f"p{n}.csv", f"A,b\n{n},x{n}\n", zipfile.ZIP_DEFLATED)
+        z.writestr("stored.csv", "b,a\nx30,30\n", zipfile.ZIP_STORED)
+        z.writestr("inner.csv.gz", gzip.compress(b"a,b\n31,x31\n"), zipfile.ZIP_DEFLATED)
+        z.writestr("empty.csv", "", zipfile.ZIP_DEFLATED)
+    files = unzip_to(spark, tmp_root + "/a.zip", tmp_root + "/out")
+    assert [f.rsplit("/", 1)[-1] for f in files] == [f"p{n}.csv.gz" for n in range(30)] + ["stored.csv", "inner.csv.gz", "empty.csv"]
+    assert gzip.decompress(open(files[7], "rb").read()) == b"A,b\n7,x7\n"
+    df = read_zipped_csv(spark, tmp_root + "/a.zip")
+    assert sorted(map(tuple, df.collect()), key=lambda r: int(r[0])) == [(str(n), f"x{n}") for n in range(32)]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 3
+
+
+def test_delivered_archive_is_a_zip(spark, tmp_root):
+    rows = spark.range(0, 50, numPartitions=3).selectExpr("id", "concat('a \"', id, '\"') v")
+    for folder in ("a", "b"):
+        _write_csv(rows, f"{tmp_root}/{folder}", compression="gzip")
+    _zip(spark, [f"{tmp_root}/a", f"{tmp_root}/b"], f"{tmp_root}/d.zip")
+    with zipfile.ZipFile(f"{tmp_root}/d.zip") as z:
+        assert z.testzip() is None and {m.compress_type for m in z.infolist()} == {zipfile.ZIP_DEFLATED}
+    got = read_zipped_csv(spark, f"{tmp_root}/d.zip")
+    assert sorted((int(r.id), r.v) for r in got.collect()) == sorted([(n, f'a "{n}"') for n in range(50)] * 4)
+
+
 def test_keys_go_on_after_the_stored_ones(spark, tmp_root):
     with open(tmp_root + "/pay.csv", "w") as f:
         f.write("Order_ID,Payment_Value\nb,2.5\na,1\na,1\n")
