@@ -2,11 +2,13 @@
 
 import gzip
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import types as T
 
-from lakepipe.plans.queries_seed import _write_csv, _zip
+from lakepipe.plans import queries_seed
+from lakepipe.plans.queries_seed import _deliver, _write_csv, _zip
 from lakepipe.sources.seed import (
     SEED_PRIMARY_KEYS,
     SEED_SCHEMAS,
@@ -111,6 +113,31 @@ def test_delivered_archive_is_a_zip(spark, tmp_root):
     assert sorted((int(r.id), r.v) for r in got.collect()) == sorted([(n, f'a "{n}"') for n in range(50)] * 4)
 
 
+def test_delivered_text_is_made_once_and_packed_twice(spark, tmp_root, monkeypatch):
+    """Every row arrives twice, half of them with the columns turned round; each member is deflated once."""
+    rows = spark.range(0, 40, numPartitions=2).selectExpr("id s_suppkey", "concat('s \"', id, '\"') s_name", "cast(id % 25 as int) s_nationkey")
+    rows.write.parquet(f"{tmp_root}/supplier.parquet")
+    made = []
+
+    def pack(spark, folders, archive):
+        made.extend(sorted(set(folders)))
+        _zip(spark, folders, archive)
+
+    monkeypatch.setattr(queries_seed, "_zip", pack)
+    _deliver(spark, tmp_root, "sellers", tmp_root)
+    assert sum(spark.read.option("header", "true").csv(folder).count() for folder in made) == 40
+    with zipfile.ZipFile(f"{tmp_root}/olist_sellers_dataset.csv.zip") as z:
+        members = z.infolist()
+        assert z.testzip() is None and len({m.filename for m in members}) == len(members)
+        assert {z.open(m).readline().strip() for m in members} == {
+            b"Seller_Id,Seller_Zip_Code_Prefix,Seller_City,Seller_State",
+            b"Seller_State,Seller_City,Seller_Zip_Code_Prefix,Seller_Id",
+        }
+    assert sorted(Counter(m.CRC for m in members).values()) == [2] * (len(members) // 2)
+    got = read_csv_seed(spark, f"{tmp_root}/olist_sellers_dataset.csv").collect()
+    assert Counter((r.seller_id, r.seller_city, r.seller_state) for r in got) == {(str(n), f's "{n}"', str(n % 25)): 2 for n in range(40)}
+
+
 def test_keys_go_on_after_the_stored_ones(spark, tmp_root):
     with open(tmp_root + "/pay.csv", "w") as f:
         f.write("Order_ID,Payment_Value\nb,2.5\na,1\na,1\n")
