@@ -166,6 +166,32 @@ def test_long_intervals_are_not_copied_more(spark):
     assert _own(_binned(one, ["k"], ("s", "e"), "_l"), "_l").groupBy("i").count().agg(F.max("count")).first()[0] <= 2
 
 
+@pytest.mark.parametrize("max_pairs", [4, 900, 10**8])
+def test_range_join_over_slices_of_busy_keys(spark, max_pairs):
+    """Instants on either side, many of them equal, keys of very different size, repeated rows, empty and endless intervals."""
+    rng = random.Random(7)
+    points = [(i, rng.choice([0, 0, 0, 0, 1, 1, 2, None]), rng.choice([50, 50, None, *range(100)])) for i in range(2500)]
+    points = [(i, k, t, t) for i, k, t in points + points[:3]]
+    other = [(i, k, s, e if i % 9 else (1 << 63) - 1) for i, k, s, e in spans(8, 60)]
+    one = spark.createDataFrame(points, "i long, k long, s long, e long").drop("e")
+    two = spark.createDataFrame(other, "j long, k long, rs long, re long")
+    want = brute_overlaps(points, other)
+    got = interval_join(one, two, "k", ("s", "s"), ("rs", "re"), max_pairs=max_pairs)
+    assert got.columns == ["k", "i", "s", "j", "rs", "re"] and sorted((r.k, r.i, r.j) for r in got.collect()) == want
+    got = interval_join(two, one, "k", ("rs", "re"), ("s", "s"), max_pairs=max_pairs)
+    assert got.columns == ["k", "j", "rs", "re", "i", "s"] and sorted((r.k, r.i, r.j) for r in got.collect()) == want
+
+
+def test_range_join_copies_no_instant(spark):
+    """An instant is shuffled once, not once for each length of interval; an interval goes to the slices it touches."""
+    points = spark.range(0, 20000).selectExpr("id i", "id % 2 k", "id s")
+    other = spark.range(0, 400).selectExpr("id j", "id % 2 k", "id * 45 rs", "cast(id * 45 + pow(2, id % 14) as long) re")
+    found = interval_join(points, other, "k", ("s", "s"), ("rs", "re"))
+    p = plan(found)
+    assert p.count("Generate") == 1 and p.count("SortMergeJoin") + p.count("HashJoin") == 1 + 3  # keys of both sides, the cuts of either
+    assert found.count() == points.crossJoin(other.withColumnRenamed("k", "k2")).where("k = k2 and rs <= s and s < re").count()
+
+
 # ------------------------------------------------- gaps, sessions, rolling
 
 
