@@ -2,8 +2,8 @@
 
 Rows are dealt into ranges of the sort order (sampled bounds), sorted and
 numbered inside each range; the number of rows in the ranges before is added.
-The ranges are kept in a checkpoint, as counts and numbers must come from the
-same ones.
+The ranges are stored, as counts and numbers must come from the same ones: in
+a checkpoint, or packed in Parquet, which takes a fraction of that.
 """
 
 from __future__ import annotations
@@ -13,18 +13,39 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakepipe.operators.sizing import broadcast_if_small
-from lakepipe.session import checkpoint_root
+from lakepipe.session import checkpoint_root, scratch_path, shuffles_removed
 
+# What Parquet gives back as it was; times of long ago it may refuse.
+_PLAIN = (T.StringType, T.BinaryType, T.BooleanType, T.IntegralType, T.FractionalType)
 
-def _ranges(df: DataFrame, order: Sequence[str | Column], partitions: int | None) -> DataFrame:
-    """``df`` sorted over range partitions, with ``_part``; partition k comes before partition k + 1."""
+
+def _ranges(df: DataFrame, order: Sequence[str | Column], partitions: int | None, distinct: bool = False, packed: bool = False) -> DataFrame:
+    """``df`` over range partitions, with ``_part`` and, in the sort order, ``_id``; partition k comes before partition k + 1.
+
+    With ``distinct`` rows that are equal in all columns stay once: they are in
+    the same range, so this takes no other shuffle.  With ``packed`` the ranges
+    are kept in Parquet, where the kinds of columns allow it.
+    """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(parts, *order).sortWithinPartitions(*order).checkpoint().withColumn("_part", F.spark_partition_id())
+    dealt = df.repartitionByRange(parts, *order)
+    ranged = (dealt.dropDuplicates() if distinct else dealt).sortWithinPartitions(*order)
+    # The id holds the partition above its low 33 bits and counts the partition's rows in them.
+    with shuffles_removed(spark):
+        if packed and all(isinstance(f.dataType, _PLAIN) for f in df.schema.fields):
+            path = scratch_path(spark, "ranges")
+            ranged = ranged.withColumn("_id", F.monotonically_increasing_id())
+            ranged.write.option("compression", "zstd").parquet(path)
+            # Files are read in any order.
+            stored = spark.read.schema(ranged.schema).parquet(path).repartitionById(parts, F.shiftright("_id", 33).cast("int")).sortWithinPartitions("_id")
+        else:
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+            stored = ranged.checkpoint().withColumn("_id", F.monotonically_increasing_id())
+    return stored.withColumn("_part", F.shiftright("_id", 33).cast("int"))
 
 
 def _offsets(ranged: DataFrame, **sums: Column) -> DataFrame:
@@ -37,13 +58,17 @@ def _offsets(ranged: DataFrame, **sums: Column) -> DataFrame:
     return F.broadcast(ranged.sparkSession.createDataFrame(out, "_part int, " + ", ".join(f"{n} long" for n in sums)))
 
 
-def global_row_number(df: DataFrame, *order: str | Column, partitions: int | None = None, name: str = "position") -> DataFrame:
+def global_row_number(
+    df: DataFrame, *order: str | Column, partitions: int | None = None, name: str = "position", distinct: bool = False, packed: bool = False
+) -> DataFrame:
     """``df`` with each row's position (from 1) in the whole relation.
 
     Rows equal in ``order`` are numbered in any sequence and fall into one
-    range; add a unique column for a repeatable number and even ranges.
+    range; add a unique column for a repeatable number and even ranges.  With
+    ``distinct`` rows equal in all columns are one.  ``packed`` is for wide
+    rows: they take less of the scratch folder and one more shuffle.
     """
-    ranged = _ranges(df, order, partitions).withColumn("_id", F.monotonically_increasing_id())
+    ranged = _ranges(df, order, partitions, distinct, packed)
     # The id counts the rows of a partition in its low 33 bits, so no window is needed.
     within = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     placed = ranged.join(_offsets(ranged, _before=F.count(F.lit(1))), "_part")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakepipe.plans.catalog import register
 from lakepipe.plans.fixtures import TABLES, read_table
-from lakepipe.session import scratch_path
+from lakepipe.session import remove_paths, scratch_listed, scratch_path
 from lakepipe.sources.catalog import Layer, check_primary_key
 from lakepipe.sources.layout import hadoop_fs
 from lakepipe.sources.seed import GZIP_HEADER, SEED_PRIMARY_KEYS, SEED_SCHEMAS, SEED_TABLES, TRANSLATION_SEED, load_seeds, read_csv_seed
@@ -124,6 +124,14 @@ def _deliver(spark, sf_dir, table, data, where=None):
     _zip(spark, [f"{parts}/a", f"{parts}/b"] * 2, f"{data}/{_FILES[table]}.zip")
 
 
+def _place(spark, sf_dir, table, data, where=None):
+    """``_deliver``, which leaves no more than the delivered file: the parts of an archive go once it is packed."""
+    parts = []
+    with scratch_listed(parts):
+        _deliver(spark, sf_dir, table, data, where)
+    remove_paths(spark, parts)
+
+
 def _load(spark, layer, data, tables):
     """Load seed files into catalog tables of their contracts, which are created when missing."""
     for table in tables:
@@ -131,6 +139,8 @@ def _load(spark, layer, data, tables):
 
     def append(table, df):
         df.write.insertInto(layer.qualified(table).replace("`", ""))
+        # A delivered file is of no use once its rows are stored.
+        remove_paths(spark, [f"{data}/{_FILES[table]}", f"{data}/{_FILES[table]}.zip"])
 
     # Keys follow the rows' own order, so the stored result can be compared as a whole.
     order = {t: [f.name for f in SEED_SCHEMAS[t].fields if f.name != _KEYS[t]] for t in tables}
@@ -157,7 +167,7 @@ def _register_table(table):
     @register(f"seed_{table}", _oracle(table), "SRC-7 SRC-8 SRC-9 SRC-13" + (" (zipped, two members of different column order)" if table in _ZIPPED else ""))
     def build(spark, sf_dir):
         data, layer = scratch_path(spark, "seed-data"), _layer()
-        _deliver(spark, sf_dir, table, data)
+        _place(spark, sf_dir, table, data)
         results = _load(spark, layer, data, [table])
         assert [r.status for r in results] == ["loaded"], results
         return layer.read(spark, table)
@@ -170,7 +180,7 @@ for _table in _SOURCES:
 @register("seed_zip", f"select cast(columns(*) as varchar) from ({_SOURCES['order_reviews']}) union all select cast(columns(*) as varchar) from ({_SOURCES['order_reviews']})", "SRC-7 (every member, own header each, quoted line breaks)")
 def q_seed_zip(spark, sf_dir):
     data = scratch_path(spark, "seed-data")
-    _deliver(spark, sf_dir, "order_reviews", data)
+    _place(spark, sf_dir, "order_reviews", data)
     return read_csv_seed(spark, f"{data}/{_FILES['order_reviews']}")
 
 
@@ -187,7 +197,7 @@ def q_seed_synthetic_key(spark, sf_dir):
     layer = _layer()
     for where in ("payment_sequential < 3", "payment_sequential = 3"):
         data = scratch_path(spark, "seed-data")
-        _deliver(spark, sf_dir, "order_payments", data, where)
+        _place(spark, sf_dir, "order_payments", data, where)
         _load(spark, layer, data, ["order_payments"])
     return layer.read(spark, "order_payments")
 
@@ -204,7 +214,7 @@ def q_seed_load_tables(spark, sf_dir):
     data, layer = scratch_path(spark, "seed-data"), _layer()
     # Archives are packed by the driver while tasks write the other files.
     with ThreadPoolExecutor(len(tables)) as pool:
-        list(pool.map(lambda t: _deliver(spark, sf_dir, t, data), sorted(tables, key=lambda t: t not in _ZIPPED)))
+        list(pool.map(lambda t: _place(spark, sf_dir, t, data), sorted(tables, key=lambda t: t not in _ZIPPED)))
     _load(spark, layer, data, tables)
     c, o, i, s = (layer.read(spark, t) for t in tables)
     return o.join(c, "customer_id").join(i, "order_id").join(s, "seller_id").select(

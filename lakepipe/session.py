@@ -11,7 +11,7 @@ import os
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -68,9 +68,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_listing = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique directory name under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/lakepipe/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/lakepipe/{name}-{uuid.uuid4().hex[:12]}"
+    for paths in getattr(_listing, "now", []):
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_listed(paths: list[str]) -> Iterator[None]:
+    """Inside, and in this thread, new scratch paths are put down in ``paths``, so that a step can remove what it made
+    once its rows are stored."""
+    _listing.now = [*getattr(_listing, "now", []), paths]
+    try:
+        yield
+    finally:
+        _listing.now = _listing.now[:-1]
+
+
+def remove_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete files or folders, through the file system classes that Spark itself writes with."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        to = jvm.org.apache.hadoop.fs.Path(path)
+        to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(to, True)
 
 
 _REMOVAL = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from lakepipe.functions.numeric import std_cast
 from lakepipe.operators.ordering import global_row_number
-from lakepipe.session import checkpoint_root, scratch_path
+from lakepipe.session import checkpoint_root, remove_paths, scratch_listed, scratch_path, shuffles_removed
 from lakepipe.sources.layout import hadoop_fs, path_exists
 
 # RFC 4180: a quote inside a quoted field is written twice.
@@ -237,19 +237,20 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def dense_key(df: DataFrame, name: str, offset: int = 0, order: Sequence[str] | None = None) -> DataFrame:
+def dense_key(df: DataFrame, name: str, offset: int = 0, order: Sequence[str] | None = None, distinct: bool = False) -> DataFrame:
     """Add ``name`` = 1..n (+ ``offset``), unique and gap-free, in the order of
     the ``order`` columns (a range shuffle) or, without them, in any order.
+    With ``distinct`` rows equal in all columns are one.
 
     Per-partition row counts (one small row per partition) give each
     partition its starting offset; the row's position inside its partition
     comes from ``monotonically_increasing_id``.  The input is checkpointed
     first so both passes see identical partitions."""
     if order:
-        keyed = global_row_number(df, *order, name=name).withColumn(name, F.col(name) + offset)
+        keyed = global_row_number(df, *order, name=name, distinct=distinct, packed=True).withColumn(name, F.col(name) + offset)
         return keyed.select(name, *df.columns)
     checkpoint_root(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    df = (df.dropDuplicates() if distinct else df).checkpoint(eager=True)
     pos = df.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
     counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select(
@@ -279,9 +280,11 @@ def seed_normalise(
     order instead: its timestamps are the date/time columns whatever their
     names, and columns missing in the file are NULL.  Columns beyond it
     raise."""
-    df = normalise_headers(df).dropDuplicates()
+    df = normalise_headers(df)
     if pk and pk not in df.columns:
-        df = dense_key(df, pk, key_offset, key_order)
+        df = dense_key(df, pk, key_offset, key_order, distinct=True)
+    else:
+        df = df.dropDuplicates()
     if schema is not None:
         if beyond := set(df.columns) - {f.name for f in schema.fields}:
             raise ValueError(f"columns {sorted(beyond)} are not in the table's contract")
@@ -349,27 +352,35 @@ def load_seeds(
     that synthetic keys go on after its greatest one.  A missing file is reported and skipped.  A failed
     table raises, or with ``on_error="skip"`` is reported and the loop goes
     on.  Row counts are observed on the write itself, so ``sink`` must
-    write (run) the frame it is given."""
+    write (run) the frame it is given.  What a table's load has put into the
+    scratch folder (unzipped members, sorted ranges) goes when it is stored."""
     tables = SEED_TABLES if tables is None else tables
     primary_keys = SEED_PRIMARY_KEYS if primary_keys is None else primary_keys
     out = []
     for file, table in tables.items():
-        raw = read_csv_seed(spark, f"{data_dir.rstrip('/')}/{file}")
-        if raw is None:
-            out.append(SeedLoadResult(table, file, "missing"))
-            continue
-        obs = Observation()
-        pk = primary_keys.get(table)
-        offset = (key_offsets or {}).get(table, 0)
-        if stored is not None and pk and pk not in raw.columns:
-            offset = max(offset, next_offset(stored(table), pk))
-        df = seed_normalise(raw, pk=pk, key_offset=offset, schema=(schemas or {}).get(table), key_order=(key_order or {}).get(table))
+        made: list[str] = []
         try:
-            sink(table, df.observe(obs, F.count(F.lit(1)).alias("rows")))
-        except Exception as e:  # noqa: BLE001 - reported per table when skipping
-            if on_error != "skip":
-                raise
-            out.append(SeedLoadResult(table, file, "failed", error=str(e)))
-            continue
-        out.append(SeedLoadResult(table, file, "loaded", rows=obs.get.get("rows")))
+            with scratch_listed(made):
+                raw = read_csv_seed(spark, f"{data_dir.rstrip('/')}/{file}")
+            if raw is None:
+                out.append(SeedLoadResult(table, file, "missing"))
+                continue
+            obs = Observation()
+            pk = primary_keys.get(table)
+            offset = (key_offsets or {}).get(table, 0)
+            if stored is not None and pk and pk not in raw.columns:
+                offset = max(offset, next_offset(stored(table), pk))
+            with shuffles_removed(spark):
+                with scratch_listed(made):
+                    df = seed_normalise(raw, pk=pk, key_offset=offset, schema=(schemas or {}).get(table), key_order=(key_order or {}).get(table))
+                try:
+                    sink(table, df.observe(obs, F.count(F.lit(1)).alias("rows")))
+                except Exception as e:  # noqa: BLE001 - reported per table when skipping
+                    if on_error != "skip":
+                        raise
+                    out.append(SeedLoadResult(table, file, "failed", error=str(e)))
+                    continue
+            out.append(SeedLoadResult(table, file, "loaded", rows=obs.get.get("rows")))
+        finally:
+            remove_paths(spark, made)
     return out

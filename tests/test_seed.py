@@ -1,6 +1,8 @@
 """CSV / zipped CSV seeds and their normalisation."""
 
+import glob
 import gzip
+import os
 import zipfile
 from collections import Counter
 
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 
 from lakepipe.plans import queries_seed
 from lakepipe.plans.queries_seed import _deliver, _write_csv, _zip
+from lakepipe.session import checkpoint_root
 from lakepipe.sources.seed import (
     SEED_PRIMARY_KEYS,
     SEED_SCHEMAS,
@@ -154,6 +157,41 @@ def test_keys_go_on_after_the_stored_ones(spark, tmp_root):
     assert [(r.id, r.order_id, r.payment_value, r.payment_type) for r in stored] == [(1, "a", 1.0, None), (2, "b", 2.5, None), (3, "a", 1.0, None), (4, "b", 2.5, None)]
 
 
+def test_distinct_rows_are_numbered_in_one_shuffle(spark):
+    """Equal rows fall in one range, so rows are told apart where they are put in order; NULL and empty text differ."""
+    rows = [("b", "2", None), ("a", "10", "x"), ("a", "9", "x"), ("a", "9", ""), ("a", "9", None), (None, "1", "x")] * 3
+    df = spark.createDataFrame(rows, "k string, n string, v string").repartition(5)
+    out = dense_key(df, "id", 7, ["k", "n"], distinct=True)
+    got = out.orderBy("id").collect()
+    assert [r.id for r in got] == list(range(8, 14)) and {(r.k, r.n, r.v) for r in got} == set(rows)
+    assert [(r.k, r.n) for r in got] == [(None, "1"), ("a", "10"), ("a", "9"), ("a", "9"), ("a", "9"), ("b", "2")]
+    ranged = df.repartitionByRange(3, "k", "n").dropDuplicates().sortWithinPartitions("k", "n")
+    assert ranged._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 2  # repartition(5) and the ranges
+
+
+def test_ranges_of_other_kinds_keep_their_values(spark):
+    """Times of long ago, arrays and maps are numbered too."""
+    df = spark.sql("select id, timestamp'0900-01-01 00:00:00' + make_interval(cast(id as int)) t, array(id) a, map(id, 'x') m from range(5)")
+    got = dense_key(df, "n", 0, ["t"]).selectExpr("*", "year(t) y").drop("t").orderBy("n").collect()
+    assert [(r.n, r.id, r.a, r.m, r.y) for r in got] == [(i + 1, i, [i], {i: "x"}, 900 + i) for i in range(5)]
+
+
+def test_a_load_leaves_only_its_table(spark, tmp_root):
+    """Unzipped members, sorted ranges, shuffle files and what the query delivered go when the rows are stored."""
+    left = lambda: {p for name in ("unzipped", "ranges", "seed-parts") for p in glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/lakepipe/{name}-*")}
+    before, setting = left(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    spark.range(0, 30).selectExpr("id s_suppkey", "concat('s', id) s_name", "cast(id as int) s_nationkey").write.parquet(f"{tmp_root}/supplier.parquet")
+    spark.range(0, 30).selectExpr("id c_custkey", "id * 0.5D c_acctbal", "concat('c', id) c_name", "cast(id as int) c_nationkey", "'m' c_mktsegment").write.parquet(f"{tmp_root}/customer.parquet")
+    layer, data = queries_seed._layer(), f"{tmp_root}/data"
+    for table in ("sellers", "customers", "geolocation"):
+        queries_seed._place(spark, tmp_root, table, data)
+    results = queries_seed._load(spark, layer, data, ["sellers", "customers", "geolocation"])
+    assert [(r.status, r.rows) for r in results] == [("loaded", 30)] * 3
+    assert [layer.read(spark, r.table).count() for r in results] == [30] * 3
+    assert left() == before and not [f for f in os.listdir(data) if not f.startswith(".")]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == setting
+
+
 def test_contracts_of_all_tables(spark):
     assert set(SEED_SCHEMAS) == {*SEED_TABLES.values(), *TRANSLATION_SEED.values()}
     assert all(SEED_PRIMARY_KEYS.get(t, "id") in s.fieldNames() for t, s in SEED_SCHEMAS.items())
